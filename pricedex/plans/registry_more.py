@@ -1 +1,59 @@
-"""Further registered queries (windows, sources, forecasting, monitoring)."""
+"""Further registered queries: windows and alignments (W, J07, J11). Sources, forecasting and monitoring are
+registered from their own modules, imported at the end."""
+
+from __future__ import annotations
+
+from pricedex.operators import windows as WN
+from pricedex.plans import tables as T
+from pricedex.plans.registry import W, flt, register
+
+_SERIES_W = "partition by source, area, category order by obs_date"
+
+register("w01_moving_average_12", W(f"""
+    select obs_date, area, category, cast(value as double) as value,
+           cast(sign(s) * ((abs(s) * 200 + n * 10000) // (n * 20000)) as double) / 100 as moving_avg_12
+    from (select *, sum(cast(value * 10000 as hugeint)) over w as s, count(value) over w as n
+          from unified where {flt('INSEE', None, '1996-01-01', '2000-12-31')}
+          window w as ({_SERIES_W} rows between 11 preceding and current row))""", "unified"))(
+    lambda spark, sf: WN.moving_average(T.unified(spark, sf), "INSEE", "1996-01-01", "2000-12-31"))
+
+register("w02_year_over_year", W(f"""
+    select obs_date, area, category, cast(yoy as double) as yoy,
+           case when yoy < 0 then 'down' else 'up' end as direction
+    from (select obs_date, area, category, value - lag(value, 12) over ({_SERIES_W}) as yoy
+          from unified where {flt('EUROSTAT')})
+    where yoy is not null""", "unified"))(
+    lambda spark, sf: WN.year_over_year(T.unified(spark, sf), "EUROSTAT"))
+
+register("w02_year_over_year_calendar", W(f"""
+    select a.obs_date, a.area, a.category, cast(a.value - b.value as double) as yoy,
+           case when a.value - b.value < 0 then 'down' else 'up' end as direction
+    from (select * from unified where {flt('EUROSTAT')}) a
+    join (select * from unified where {flt('EUROSTAT')}) b
+      on a.source = b.source and a.area = b.area and a.category = b.category
+     and a.obs_date = cast(b.obs_date + interval 12 month as date)""", "unified"))(
+    lambda spark, sf: WN.year_over_year_calendar(T.unified(spark, sf), "EUROSTAT"))
+
+register("w03_month_over_month", W(f"""
+    select obs_date, area, category, mom_pct
+    from (select obs_date, area, category,
+                 (cast(value as double) / lag(cast(value as double), 1) over ({_SERIES_W}) - 1) * 100 as mom_pct
+          from unified where {flt('ECB')})
+    where mom_pct is not null""", "unified"))(
+    lambda spark, sf: WN.month_over_month(T.unified(spark, sf), "ECB"))
+
+register("j07_category_vs_overall", W("""
+    select area, obs_date,
+           cast(max(case when substring(category, 1, 2) = '03' then value end) as double) as category_value,
+           cast(max(case when substring(category, 1, 2) = '00' then value end) as double) as overall_value
+    from unified where source = 'EUROSTAT' and substring(category, 1, 2) in ('03', '00')
+    group by area, obs_date""", "unified"))(
+    lambda spark, sf: WN.category_vs_overall(T.unified(spark, sf), "03", "EUROSTAT"))
+
+register("j11_source_gap", W("""
+    select a.obs_date, a.area, a.category, cast(a.value as double) as left_value,
+           cast(b.value as double) as right_value, cast(abs(a.value - b.value) as double) as abs_gap
+    from (select * from unified where source = 'INSEE') a
+    left join (select * from unified where source = 'ECB') b
+      on a.obs_date = b.obs_date and a.area = b.area and a.category = b.category""", "unified"))(
+    lambda spark, sf: WN.source_gap(T.unified(spark, sf), "INSEE", "ECB"))
