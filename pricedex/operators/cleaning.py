@@ -99,7 +99,7 @@ LONG_CSV_COLUMNS = ["IDX_TYPE", "IND_TYPE", "PRODUCT_GROUP", "COICOP_2018", "OBS
                     "TIME_PERIOD", "OBS_VALUE"]
 
 
-def clean_long_csv(raw: DataFrame, source: str = "data.gouv.fr") -> DataFrame:
+def clean_long_csv(raw: DataFrame, source: str = "data.gouv.fr", keep_area: str | None = None) -> DataFrame:
     """P29 (long CSV): P10 monthly-or-all, P12 index unit, P13-P15 optional filters, P11 base-or-all, P06, P09, P05.
 
     Output: obs_date, value, category, source.
@@ -115,6 +115,7 @@ def clean_long_csv(raw: DataFrame, source: str = "data.gouv.fr") -> DataFrame:
         to_number("OBS_VALUE").alias("value"),
         F.col("COICOP_2018").alias("category"),
         F.lit(source).alias("source"),
+        *([F.col(keep_area).alias("area")] if keep_area else []),
     )
     return out.dropna(subset=["obs_date", "value", "category"])
 
@@ -144,8 +145,9 @@ def clean_xml_series(series: DataFrame) -> DataFrame:
     """
     from pricedex.operators.normalise import label_series
 
-    obs = series.select("series_id", "title", F.explode("obs").alias("o")).select(
-        "series_id", "title", F.col("o.period").alias("period"), F.col("o.value").alias("raw_value"),
+    extra = [c for c in ("area",) if c in series.columns]
+    obs = series.select("series_id", "title", *extra, F.explode("obs").alias("o")).select(
+        "series_id", "title", *extra, F.col("o.period").alias("period"), F.col("o.value").alias("raw_value"),
         F.coalesce(F.col("o.status"), F.lit("A")).alias("status"))
     obs = obs.where(~F.col("status").isin("M", "L") & F.col("raw_value").isNotNull() & (F.col("raw_value") != "")
                     & F.col("period").isNotNull() & (F.col("period") != ""))
@@ -157,5 +159,6 @@ def clean_xml_series(series: DataFrame) -> DataFrame:
         truncate100("title").alias("sub_category"),
         "series_id",
         F.lit("INSEE").alias("source"),
+        *extra,
     )
     return out.where(F.col("obs_date").isNotNull())
