@@ -7,7 +7,7 @@ from pricedex.plans import registry
 
 def _load() -> None:
     # Importing a module registers its queries.
-    from pricedex.plans import registry_forecast, registry_more, registry_sources  # noqa: F401
+    from pricedex.plans import registry_forecast, registry_monitor, registry_more, registry_sources  # noqa: F401
 
 
 def queries():

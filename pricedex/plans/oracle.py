@@ -97,6 +97,25 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                value / 100 as latency_s,
                case when event_type = 'purchase' then lpad(cast(user_id % 13 as varchar), 2, '0') end as category
         from events"""),
+    "enriched": (("request_log",), """
+        select *,
+               case when path = '/api/inflation' then '/api/inflation'
+                    when starts_with(path, '/api/inflation/') then '/api/inflation/{sub}'
+                    when path = '/api/prix-alimentaires' then '/api/prix-alimentaires'
+                    when starts_with(path, '/api/prix-alimentaires/') then '/api/prix-alimentaires/{sub}'
+                    when starts_with(path, '/api/predict/') then '/api/predict/{categorie}'
+                    when starts_with(path, '/api/metrics/') then '/api/metrics/{categorie}'
+                    else path end as endpoint,
+               case when status >= 500 then 'server_error'
+                    when status = 404 and starts_with(path, '/api/') then 'not_found'
+                    when status = 422 then 'validation' when status = 403 then 'unauthorized' end as error_type,
+               case when starts_with(path, '/api/predict') or starts_with(path, '/api/metrics/') then 'model'
+                    else 'data' end as api,
+               cast(status as varchar) as status_code
+        from request_log"""),
+    "observed": (("enriched",), """
+        select * from enriched
+        where (api = 'data' and starts_with(path, '/api/')) or (api = 'model' and contains(path, '/predict'))"""),
 }
 
 
@@ -140,3 +159,19 @@ def filters(source=None, category=None, date_from=None, date_to=None) -> str:
     if date_to:
         preds.append(f"obs_date <= date '{date_to}'")
     return " and ".join(preds) if preds else "true"
+
+
+def dbl(x: float) -> str:
+    return f"cast({float(x)!r} as double)"
+
+
+def hist_quantile(q: float, counts: list[str], total: str, bounds) -> str:
+    """SQL twin of ``streaming.monitor.histogram_quantile`` (same double operations in the same order)."""
+    rank = f"({dbl(q)} * {total})"
+    parts = []
+    for i, ub in enumerate(bounds):
+        start = 0.0 if i == 0 else float(bounds[i - 1])
+        prev = "0" if i == 0 else counts[i - 1]
+        val = f"({dbl(start)} + {dbl(float(ub) - start)} * (({rank} - {prev}) / ({counts[i]} - {prev})))"
+        parts.append(f"when {counts[i]} >= {rank} then {val}")
+    return f"(case {' '.join(parts)} else {dbl(bounds[-1])} end)"
