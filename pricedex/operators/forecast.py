@@ -81,9 +81,11 @@ def _fit_group(models: tuple[str, ...]):
                     emit(name, "future", fut, tr + yr, m.band(fut["ds"].values), tr, yr)
                 else:
                     emit(name, "future", fut, m.predict(fut["ds"].values), m.band(fut["ds"].values))
-        if not frames:
-            return pd.DataFrame({c: [] for c in ["source", "area", "category", "model", "kind", "ds", "y", "yhat",
-                                                 "yhat_lower", "yhat_upper", "trend", "yearly", "n_train"]})
+        if not frames:  # series too short for any fit: typed empty result
+            return pd.DataFrame({**{c: pd.Series(dtype="object") for c in SERIES_KEY + ["model", "kind", "ds"]},
+                                 **{c: pd.Series(dtype="float64") for c in ["y", "yhat", "yhat_lower", "yhat_upper",
+                                                                            "trend", "yearly"]},
+                                 "n_train": pd.Series(dtype="int32")})
         out = pd.concat(frames, ignore_index=True)
         for k, v in key.items():
             out[k] = v

@@ -36,7 +36,11 @@ def detect_encoding(spark: SparkSession, path: str, candidates=("UTF-8", "window
     """
     lines = spark.read.format("text").load(path)
     all_utf8 = lines.agg(F.min(F.is_valid_utf8("value").cast("int")).alias("ok")).first()["ok"]
-    return candidates[0] if all_utf8 in (None, 1) else candidates[1]
+    if all_utf8 in (None, 1):
+        return candidates[0]
+    # Spark 4 accepts windows-1252 only with legacy Java charsets; ISO-8859-1 differs from it only in 0x80-0x9F.
+    legacy = str(spark.conf.get("spark.sql.legacy.javaCharsets", "false")).lower() == "true"
+    return candidates[1] if legacy else candidates[2]
 
 
 def read_long_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
