@@ -20,7 +20,7 @@ UNIFIED_COLUMNS = ["obs_date", "area", "category", "value", "source", "base_ref"
 
 def _ref(df: DataFrame) -> DataFrame:
     # 13 rows: broadcast is always safe.
-    return F.broadcast(df.sparkSession.createDataFrame(R.COICOP_LEVEL1, "code string, label string"))
+    return F.broadcast(R.coicop_dim(df.sparkSession))
 
 
 def _unified(df: DataFrame, date: Column, area: Column, value: Column, source: str, base_ref: str) -> DataFrame:
@@ -76,6 +76,8 @@ def first_wins(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> Dat
     a hot key is reduced in every task before the shuffle and never gathers its rows in one place.
     """
     rest = [c for c in df.columns if c not in key_cols and c not in order_cols]
+    if not rest and len(order_cols) == 1:  # plain min: a hash aggregate with a fixed-width buffer
+        return df.groupBy(*key_cols).agg(F.min(order_cols[0]).alias(order_cols[0])).select(*df.columns)
     packed = F.min(F.struct(*[F.col(c) for c in order_cols + rest])).alias("_w")
     return df.groupBy(*key_cols).agg(packed).select(*key_cols, *[F.col(f"_w.{c}").alias(c) for c in order_cols + rest]
                                                     ).select(*df.columns)
@@ -84,17 +86,18 @@ def first_wins(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> Dat
 def unify(*normalised: DataFrame) -> DataFrame:
     """U03 + J05: union of the normalised sources, first wins per logical key (smallest value)."""
     union = reduce(lambda a, b: a.unionByName(b), normalised)
-    return first_wins(union.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["value"])
+    # base_ref is a function of source: grouping by it too leaves a single min(value) to aggregate
+    return first_wins(union.select(*UNIFIED_COLUMNS), UNIFIED_KEY + ["base_ref"], ["value"])
 
 
 def anti_join_append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     """Idempotent append: rows of ``incoming`` whose key is not yet in ``target``, deduplicated."""
-    fresh = first_wins(incoming.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["value"])
+    fresh = first_wins(incoming.select(*UNIFIED_COLUMNS), UNIFIED_KEY + ["base_ref"], ["value"])
     return fresh.join(target.select(*UNIFIED_KEY), UNIFIED_KEY, "left_anti")
 
 
 def label_series(obs: DataFrame, id_col: str = "series_id", title_col: str = "title") -> DataFrame:
     """Series id -> fixed label (broadcast lookup, 13 rows), falling back to a label parsed from the title."""
-    dim = F.broadcast(obs.sparkSession.createDataFrame(R.SERIES_LABELS, f"{id_col} string, _label string"))
+    dim = F.broadcast(R.series_label_dim(obs.sparkSession, id_col, "_label"))
     return obs.join(dim, id_col, "left").withColumn(
         "category", F.coalesce(F.col("_label"), short_label(F.col(title_col)))).drop("_label")

@@ -85,8 +85,8 @@ def _j06(spark, sf):
     from pyspark.sql import functions as F
     from pricedex import reference_data as R
     raw = S.insee_raw(spark, sf)
-    ids = spark.createDataFrame([(lbl[:2], sid) for sid, lbl in R.SERIES_LABELS if lbl[:2].isdigit()],
-                                "code string, _sid string")
+    ids = R.literal_table(spark, [(lbl[:2], sid) for sid, lbl in R.SERIES_LABELS if lbl[:2].isdigit()],
+                          ["code", "_sid"])
     keyed = raw.join(F.broadcast(ids), F.substring(raw["category"], 1, 2) == ids["code"], "left").select(
         "obs_date", "area", "category",
         F.when(F.col("sub_category") == F.col("category"), F.col("_sid"))
@@ -96,7 +96,7 @@ def _j06(spark, sf):
     return out.select("obs_date", "area", "series_id", F.col("category").alias("label"))
 
 
-register("u03_unified", W(UNIFIED_SELECT + "unified", "unified"))(lambda spark, sf: _out(T.unified(spark, sf)))
+register("u03_unified", W(UNIFIED_SELECT + "unified", "unified"))(lambda spark, sf: _out(T.unified_plan(spark, sf)))
 
 register("a09_load_audit", W("""
     select source, count(*) as n_rows, min(obs_date) as first_date, max(obs_date) as last_date

@@ -6,12 +6,15 @@ The model fits run in Python (per series), so their outputs have no SQL oracle;
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from pricedex.operators import forecast as FC
 from pricedex.operators import impact as IM
 from pricedex.plans import tables as T
 from pricedex.plans.registry import W, m2, register
+from pricedex.sources.store import materialise
 
 SRC = "INSEE"
 CUTOFF = FC.DEFAULT_CUTOFF
@@ -22,7 +25,10 @@ def _series(spark, sf):
 
 
 def _fc(spark, sf, models=("additive",), horizon=12):
-    return FC.forecast(_series(spark, sf), CUTOFF, horizon, models)
+    """The forecast output, written once per application and parameter set (the model store of the reference)."""
+    key = (os.path.abspath(sf), SRC, CUTOFF, horizon, tuple(models))
+    return materialise(spark, "forecast", key, lambda: FC.forecast(_series(spark, sf), CUTOFF, horizon, models),
+                       schema=FC.FORECAST_SCHEMA)
 
 
 register("f01_modelling_series", W(f"""

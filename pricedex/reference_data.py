@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # --- Fixed values (must equal the reference's for identical results) -------------------------------------------
 # Level-1 consumer-price categories: two-digit code -> normalised "XX - Label".
@@ -58,12 +59,19 @@ UNCLASSIFIED_CATEGORY = "non-classe"
 # ------------------------------------------------------------------------------------------------------------------
 
 
-def coicop_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COICOP_LEVEL1, "code string, label string")
+def literal_table(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """A small fixed table built from literals on the JVM (folded into a local relation by the optimizer): no
+    Python worker at run time, unlike ``createDataFrame`` of a Python list."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def series_label_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SERIES_LABELS, "series_id string, label string")
+def coicop_dim(spark: SparkSession, code="code", label="label") -> DataFrame:
+    return literal_table(spark, COICOP_LEVEL1, [code, label])
+
+
+def series_label_dim(spark: SparkSession, series_id="series_id", label="label") -> DataFrame:
+    return literal_table(spark, SERIES_LABELS, [series_id, label])
 
 
 def sql_values(rows, columns) -> str:

@@ -16,15 +16,12 @@ is bounded by months × areas × priorities × codes × 2, independent of the nu
 
 from __future__ import annotations
 
-import hashlib
 import os
-import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricedex import reference_data as R
-from pricedex.session import shared_table_root
 
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
                  "benchmark labels conversations").split()
@@ -83,25 +80,16 @@ def base_obs_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
                "* cast(0.0001 as decimal(5,4)) as decimal(18,4))").alias("value"))
 
 
-_LOCK = threading.Lock()
-_MATERIALISED: dict[tuple[str, str], str] = {}
-
-
 def base_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base_obs`` as a written table (built on first use in this application, then reused)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    with _LOCK:
-        path = _MATERIALISED.get(key)
-        if path is None:
-            digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
-            path = f"{shared_table_root(spark)}/base_obs/{digest}"
-            base_obs_plan(spark, sf_dir).write.mode("overwrite").partitionBy("prio").parquet(path)
-            _MATERIALISED[key] = path
-    return spark.read.schema(BASE_OBS_SCHEMA).parquet(path)
+    from pricedex.sources.store import materialise
+
+    return materialise(spark, "base_obs", (os.path.abspath(sf_dir),), lambda: base_obs_plan(spark, sf_dir),
+                       partition_by=["prio"], schema=BASE_OBS_SCHEMA)
 
 
 def _with_labels(df: DataFrame) -> DataFrame:
-    dim = F.broadcast(df.sparkSession.createDataFrame(R.COICOP_LEVEL1, "code string, label string"))
+    dim = F.broadcast(R.coicop_dim(df.sparkSession))
     return df.join(dim, "code")
 
 
