@@ -212,6 +212,14 @@ def descriptive_stats(unified: DataFrame, source="EUROSTAT", category=None) -> D
         F.count(F.lit(1)).alias("n_points"))
 
 
+def series_span(unified: DataFrame, source: str, category: str, area: str) -> DataFrame:
+    """Min, max and last - first of one series (zero rows when the series does not exist)."""
+    df = unified.where(index_filters(source, category) & (F.col("area") == area))
+    return df.agg(_dbl(F.min("value")).alias("min_level"), _dbl(F.max("value")).alias("max_level"),
+                  _dbl(F.max_by("value", "obs_date") - F.min_by("value", "obs_date")).alias("total_change"),
+                  F.count(F.lit(1)).alias("n_points")).where(F.col("n_points") > 0)
+
+
 def category_kpis(unified: DataFrame, source="EUROSTAT", category=None) -> DataFrame:
     """Per series: latest value, total change, maximum and the first month reaching it, std."""
     df = unified.where(index_filters(source, category))

@@ -252,6 +252,12 @@ register("a19_category_kpis", W(f"""
           from unified where {flt('DATAGOUV')}) group by area, category""", "unified"))(
     lambda spark, sf: A.category_kpis(T.unified(spark, sf), "DATAGOUV"))
 
+register("a23_series_span", W(f"""
+    select cast(min(value) as double) as min_level, cast(max(value) as double) as max_level,
+           cast(arg_max(value, obs_date) - arg_min(value, obs_date) as double) as total_change, count(*) as n_points
+    from unified where {flt('EUROSTAT', '00')} and area = 'NATION_7' having count(*) > 0""", "unified"))(
+    lambda spark, sf: A.series_span(T.unified(spark, sf), "EUROSTAT", "00", "NATION_7"))
+
 _YEARS = list(range(1995, 2002))
 register("a20_seasonality_matrix", W(
     "select month(obs_date) as month, "

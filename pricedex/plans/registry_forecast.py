@@ -122,3 +122,16 @@ register("a21_forecast_quality_summary")(lambda spark, sf: FC.quality_summary(_m
 register("a22_forecast_quality_mean")(lambda spark, sf: FC.quality_mean(_metrics(spark, sf)))
 register("l07_metrics_by_mae")(lambda spark, sf: _metrics(spark, sf).orderBy("mae", "area", "category"))
 register("m09_mae_alert")(lambda spark, sf: FC.reliability(_metrics(spark, sf)).where(F.col("alert")))
+
+
+@register("s11_metrics_json_roundtrip")
+def _s11(spark, sf):
+    """Per-series metrics persisted as JSON lines and loaded back (a table, not a driver dict)."""
+    from pricedex.sources import files as FS
+    from pricedex.sources.landing import fresh_path
+
+    m = _metrics(spark, sf).select(F.concat_ws(" / ", "area", "category").alias("category"), "mae", "rmse",
+                                    "mape_pct", "n_train", "n_eval")
+    path = fresh_path(spark, "metrics_json")
+    FS.write_metrics(m, path)
+    return FS.read_metrics(spark, path)
