@@ -89,7 +89,7 @@ def volatility(unified: DataFrame, source="EUROSTAT", date_from=None, date_to=No
         _round2(F.max("value")).alias("max_level"))
 
 
-def months_above(unified: DataFrame, source="EUROSTAT", threshold=1500) -> DataFrame:
+def months_above(unified: DataFrame, source="EUROSTAT", threshold=2300) -> DataFrame:
     """Per category, number of months whose mean (over areas) exceeds ``threshold``, and the peak monthly mean.
 
     ``mean > t`` is evaluated as ``sum > t * count`` so the test is exact.

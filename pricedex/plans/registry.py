@@ -139,10 +139,10 @@ register("a05_volatility", W(f"""
 
 register("a06_months_above_threshold", W(f"""
     select category, count(*) filter (where above) as n_months_above, max(monthly_mean) as peak_monthly_mean
-    from (select category, obs_date, {m2('value')} as monthly_mean, sum(value) > 1450 * count(value) as above
+    from (select category, obs_date, {m2('value')} as monthly_mean, sum(value) > 2300 * count(value) as above
           from unified where source = 'EUROSTAT' group by category, obs_date)
     group by category""", "unified"))(
-    lambda spark, sf: A.months_above(T.unified(spark, sf), "EUROSTAT", 1450))
+    lambda spark, sf: A.months_above(T.unified(spark, sf), "EUROSTAT", 2300))
 
 register("a07_coverage_by_source", W("""
     select source, count(*) as n_rows, min(obs_date) as first_date, max(obs_date) as last_date,

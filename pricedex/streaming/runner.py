@@ -19,7 +19,7 @@ from pricedex.sources import standins as S
 REQUEST_LOG_SCHEMA = "ts timestamp_ntz, method string, path string, status int, latency_s double, category string"
 
 
-def land_request_log(spark: SparkSession, sf_dir: str, files: int = 12) -> str:
+def land_request_log(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
     """Request log as parquet files, each holding a contiguous time range."""
     path = L.fresh_path(spark, "request_log")
     S.request_log(spark, sf_dir).repartitionByRange(files, "ts").write.parquet(path)

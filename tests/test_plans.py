@@ -38,3 +38,9 @@ def test_no_cartesian_and_no_row_udf(spark, name):
 def test_source_filter_is_pushed_to_partitioned_stand_in(spark):
     plan = plan_of(S.ecb_raw(spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(prio" in plan and "1-URGENT" in plan
+
+
+def test_unified_reads_prune_source_partitions(spark):
+    from pricedex.plans import tables as T
+    plan = plan_of(T.unified(spark, SF_SMALL).where("source = 'EUROSTAT'"))
+    assert "PartitionFilters: [isnotnull(source" in plan and "EUROSTAT" in plan
