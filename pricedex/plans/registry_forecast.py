@@ -113,7 +113,13 @@ def _metrics(spark, sf):
 
 
 register("f20_reliability_flags")(lambda spark, sf: FC.reliability(_metrics(spark, sf)))
-register("f21_modelled_categories")(lambda spark, sf: FC.modelled_categories(_metrics(spark, sf)))
+register("f21_modelled_categories", W(f"""
+    select distinct category from (
+        select category, count(*) filter (where obs_date < date '{CUTOFF}') as n_train,
+               count(*) filter (where obs_date >= date '{CUTOFF}') as n_eval
+        from unified where source = '{SRC}' group by source, area, category)
+    where n_train >= 2 and n_eval >= 1""", "unified"))(
+    lambda spark, sf: FC.modelled_categories(_metrics(spark, sf)))
 register("j08_actual_vs_predicted")(lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "eval").select(
     *FC.SERIES_KEY, "ds", F.col("y").alias("actual"), F.col("yhat").alias("predicted"),
     (F.col("y") - F.col("yhat")).alias("error")))
