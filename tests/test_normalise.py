@@ -80,3 +80,17 @@ def test_filter_or_all_evaluated_after_previous_filters(spark):
     df = spark.createDataFrame([("M", "X"), ("A", "Y")], "f string, u string")
     # after dropping the only M row, no M exists any more: keep all remaining rows
     assert filter_or_all(df.where(F.col("u") == "Y"), "f", "M").count() == 1
+
+
+def test_unified_structure(spark):
+    """Four sources, base year per source, only level-1 normalised labels, unique logical key."""
+    from conftest import SF_SMALL
+    from pricedex.plans import tables as T
+
+    u = T.unified(spark, SF_SMALL)
+    bases = {(r.source, r.base_ref) for r in u.select("source", "base_ref").distinct().collect()}
+    assert bases == {("ECB", "2015"), ("INSEE", "2015"), ("DATAGOUV", "2025"), ("EUROSTAT", "2015")}
+    labels = {label for _, label in R.COICOP_LEVEL1}
+    assert {r.category for r in u.select("category").distinct().collect()} <= labels
+    assert u.groupBy(*N.UNIFIED_KEY).count().where("count > 1").count() == 0
+    assert u.count() == T.unified_plan(spark, SF_SMALL).count()
