@@ -8,6 +8,7 @@ from pricedex.plans import oracle as O
 from pricedex.plans.registry import W, register
 from pricedex.sources import standins as S
 from pricedex.streaming import monitor as M
+from pricedex.streaming import held_for_state as HS
 from pricedex.streaming import runner as RN
 
 
@@ -79,15 +80,16 @@ register("m08_predictions_by_category", W("""
     select category, count(*) as predictions from enriched where starts_with(path, '/api/predict/')
     group by category""", "enriched"))(lambda spark, sf: M.predictions_by_category(_log(spark, sf)))
 
-register("m10_alert_held_for", W(f"""
+M10_SQL = W(f"""
     select api, min(window_start) as first_start, max(window_start) as last_start, count(*) as n_windows,
            min(window_start) + interval 3 minute as fired_at
     from (select api, window_start,
                  datediff('minute', timestamp '1970-01-01', window_start)
                    - row_number() over (partition by api order by window_start) as grp
           from ({M07_BODY}) a where alert)
-    group by api, grp having count(*) - 1 >= 3""", "enriched"))(
-    lambda spark, sf: M.held_for(M.error_ratio(_log(spark, sf)), 3))
+    group by api, grp having count(*) - 1 >= 3""", "enriched")
+
+register("m10_alert_held_for", M10_SQL)(lambda spark, sf: M.held_for(M.error_ratio(_log(spark, sf)), 3))
 
 register("m11_absences", W("""
     select api, prev + interval 1 minute as silent_from, minute as silent_until,
@@ -104,3 +106,5 @@ register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: RN.run_updat
     spark, RN.land_request_log(spark, sf), M.latency_quantiles, ["window_start"]))
 register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: RN.run_update_stream(
     spark, RN.land_request_log(spark, sf), M.error_ratio, ["window_start", "api"]))
+register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: RN.run_append_stream(
+    spark, RN.land_request_log_in_order(spark, sf), lambda log: HS.held_for_stream(log, 3)))

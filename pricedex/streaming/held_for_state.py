@@ -1,0 +1,117 @@
+"""M10 as a custom stateful streaming operator (``applyInPandasWithState``): alert runs held for N minutes.
+
+Per service (the grouping key) the state keeps the per-minute request and server-error counts of the minutes whose
+5-minute windows are not final yet, the next window to evaluate and the open run of alerting windows. A window is
+final once the event-time watermark has passed its end; final windows are evaluated in order (the same ratio and
+threshold as ``monitor.error_ratio``), consecutive alerting windows extend the run, a non-alerting window closes it,
+and a closed run that held for N minutes is emitted (append mode). State is bounded by the watermark delay plus five
+minutes of counts per service.
+
+End of input is signalled by a heartbeat row per service (punctuation) or by the event-time timeout; both evaluate
+the remaining windows and close the run, so a finished stream emits exactly the batch result of
+``monitor.held_for(monitor.error_ratio(log))``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
+
+from pricedex.streaming.monitor import SERVER_ERROR, enrich
+
+HEARTBEAT_METHOD = "HEARTBEAT"
+WINDOW_MINUTES = 5
+STATE_SCHEMA = ("minutes array<bigint>, reqs array<bigint>, errs array<bigint>, next_window bigint, "
+                "last_minute bigint, run_first bigint, run_last bigint, run_n bigint")
+RUN_SCHEMA = "api string, first_minute bigint, last_minute bigint, n_windows bigint"
+
+
+def _alert(reqs: int, errs: int, threshold: float) -> bool:
+    # same double operations as monitor.error_ratio
+    return (errs / 300.0) / ((reqs / 300.0) + 0.001) > threshold
+
+
+def _runs_fn(minutes_held: int, threshold: float):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        api = key[0]
+        if state.exists:
+            minutes, reqs, errs, next_w, last_m, run_first, run_last, run_n = state.get
+            counts = {int(m): [int(r), int(e)] for m, r, e in zip(minutes, reqs, errs)}
+        else:
+            counts, next_w, last_m, run_first, run_last, run_n = {}, None, None, -1, -1, 0
+        flush = state.hasTimedOut
+        for pdf in pdfs:
+            hb = pdf["heartbeat"].to_numpy(dtype=bool)
+            flush = flush or bool(hb.any())
+            data = pdf[~hb]
+            if len(data):
+                g = data.groupby("minute").agg(n=("is_err", "size"), e=("is_err", "sum"))
+                for m, n, e in zip(g.index.to_numpy(), g["n"].to_numpy(), g["e"].to_numpy()):
+                    c = counts.setdefault(int(m), [0, 0])
+                    c[0] += int(n)
+                    c[1] += int(e)
+                lo, hi = int(g.index.min()), int(g.index.max())
+                if next_w is None:  # windows before the first minute seen hold no data; never move back
+                    next_w = lo - (WINDOW_MINUTES - 1)
+                last_m = hi if last_m is None else max(last_m, hi)
+        out = []
+        if next_w is not None:
+            if flush:
+                limit = last_m
+            else:
+                final_minute = state.getCurrentWatermarkMs() // 60000  # minutes before it are complete
+                limit = min(final_minute - WINDOW_MINUTES, last_m)
+            for s in range(next_w, limit + 1):
+                n = sum(counts.get(m, (0, 0))[0] for m in range(s, s + WINDOW_MINUTES))
+                e = sum(counts.get(m, (0, 0))[1] for m in range(s, s + WINDOW_MINUTES))
+                if n > 0 and _alert(n, e, threshold):
+                    if run_n > 0:
+                        run_last, run_n = s, run_n + 1
+                    else:
+                        run_first, run_last, run_n = s, s, 1
+                else:
+                    if run_n > 0 and run_n - 1 >= minutes_held:
+                        out.append((api, run_first, run_last, run_n))
+                    run_n = 0
+            next_w = max(next_w, limit + 1)
+        if flush:
+            if run_n > 0 and run_n - 1 >= minutes_held:
+                out.append((api, run_first, run_last, run_n))
+            state.remove()
+        elif next_w is not None:
+            keep = sorted(m for m in counts if m >= next_w)
+            state.update((keep, [counts[m][0] for m in keep], [counts[m][1] for m in keep], next_w, last_m,
+                          run_first, run_last, run_n))
+            # if no more data arrives, the timeout evaluates the last windows once the watermark passes them
+            state.setTimeoutTimestamp(max((last_m + WINDOW_MINUTES + 1) * 60000, state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["api", "first_minute", "last_minute", "n_windows"]).astype(
+                {"first_minute": np.int64, "last_minute": np.int64, "n_windows": np.int64})
+    return fn
+
+
+def held_for_stream(log: DataFrame, minutes: int = 3, threshold: float = 0.05, watermark: str = "10 minutes"
+                    ) -> DataFrame:
+    """Streaming (or batch) request log -> alert runs held for ``minutes`` (same columns as ``monitor.held_for``).
+
+    Heartbeat rows (method 'HEARTBEAT', one per service) are not counted; they only close the input."""
+    e = enrich(log).withColumn("ts_l", F.col("ts").cast("timestamp")).withWatermark("ts_l", watermark)
+    rows = e.select(
+        "api", "ts_l", F.floor(F.unix_seconds("ts_l") / 60).cast("bigint").alias("minute"),
+        F.coalesce((F.col("error_type") == SERVER_ERROR).cast("int"), F.lit(0)).alias("is_err"),
+        (F.col("method") == HEARTBEAT_METHOD).alias("heartbeat"))
+    runs = rows.groupBy("api").applyInPandasWithState(
+        _runs_fn(minutes, threshold), RUN_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
+
+    def ts(idx):
+        return F.timestamp_seconds(F.col(idx) * 60).cast("timestamp_ntz")
+
+    return runs.select("api", ts("first_minute").alias("first_start"), ts("last_minute").alias("last_start"),
+                       "n_windows", ts("first_minute").alias("_f")).select(
+        "api", "first_start", "last_start", "n_windows",
+        (F.col("_f") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))).alias("fired_at"))

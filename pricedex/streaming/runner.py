@@ -43,3 +43,42 @@ def run_update_stream(spark: SparkSession, source_path: str, build: Callable[[Da
     value_cols = [c for c in result.columns if c not in key_cols]
     latest = out.groupBy(*key_cols).agg(F.max_by(F.struct(*value_cols), "epoch").alias("_v"))
     return latest.select(*key_cols, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+
+
+def land_request_log_in_order(spark: SparkSession, sf_dir: str, files: int = 6) -> str:
+    """Request log in ``files`` consecutive time slices, each written after the previous one (so the file source,
+    which reads oldest files first, sees time advance), then one heartbeat row per service after the end."""
+    from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
+
+    path = L.fresh_path(spark, "request_log_ordered")
+    log = S.request_log(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = log.agg(F.min(micros), F.max(micros)).first()  # one row: the time span
+    step = (hi - lo) // files + 1
+    for i in range(files):
+        log.where((micros >= lo + i * step) & (micros < lo + (i + 1) * step)).write.mode("append").parquet(path)
+    end = F.timestamp_micros(F.lit(hi + 3600 * 10 ** 6)).cast("timestamp_ntz")
+    beats = spark.range(2).select(
+        end.alias("ts"), F.lit(HEARTBEAT_METHOD).alias("method"),
+        F.when(F.col("id") == 0, F.lit("/")).otherwise(F.lit("/api/predict")).alias("path"),
+        F.lit(200).alias("status"), F.lit(0.0).alias("latency_s"), F.lit(None).cast("string").alias("category"))
+    beats.write.mode("append").parquet(path)
+    return path
+
+
+def run_append_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
+                      max_files: int = 2) -> DataFrame:
+    """Append-mode query: every output row is final when emitted; the result is the union of all epochs."""
+    stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
+    result = build(stream)
+    sink = L.fresh_path(spark, "stream_sink")
+    checkpoint = L.fresh_path(spark, "stream_checkpoint")
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
+
+    q = (result.writeStream.outputMode("append").foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in result.schema.fields)
+                             ).parquet(sink).select(*result.columns)
