@@ -123,6 +123,8 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "M08": ("streaming.monitor.errors_by_type, predictions_by_category",
             ("m08_errors_by_type", "m08_predictions_by_category")),
     "M09": ("operators.forecast.reliability (alert)", ("m09_mae_alert",)),
-    "M10": ("streaming.monitor.held_for", ("m10_alert_held_for",)),
-    "M11": ("streaming.monitor.absences", ("m11_absences",)),
+    "M10": ("streaming.monitor.held_for, streaming.held_for_state.held_for_stream",
+            ("m10_alert_held_for", "m10_stream_alert_held_for")),
+    "M11": ("streaming.monitor.absences, streaming.held_for_state.absences_stream",
+            ("m11_absences", "m11_stream_absences")),
 }

@@ -91,13 +91,14 @@ M10_SQL = W(f"""
 
 register("m10_alert_held_for", M10_SQL)(lambda spark, sf: M.held_for(M.error_ratio(_log(spark, sf)), 3))
 
-register("m11_absences", W("""
+M11_SQL = W("""
     select api, prev + interval 1 minute as silent_from, minute as silent_until,
            datediff('minute', prev, minute) - 1 as silent_minutes
     from (select api, minute, lag(minute) over (partition by api order by minute) as prev
           from (select distinct api, date_trunc('minute', ts) as minute from enriched))
-    where prev is not null and datediff('minute', prev, minute) - 1 >= 5""", "enriched"))(
-    lambda spark, sf: M.absences(_log(spark, sf), 5))
+    where prev is not null and datediff('minute', prev, minute) - 1 >= 5""", "enriched")
+
+register("m11_absences", M11_SQL)(lambda spark, sf: M.absences(_log(spark, sf), 5))
 
 # ---------------------------------------------------------------------------------------- streaming twins
 register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: RN.run_update_stream(
@@ -108,3 +109,5 @@ register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: RN.run_update_stre
     spark, RN.land_request_log(spark, sf), M.error_ratio, ["window_start", "api"]))
 register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: RN.run_append_stream(
     spark, RN.land_request_log_in_order(spark, sf), lambda log: HS.held_for_stream(log, 3)))
+register("m11_stream_absences", M11_SQL)(lambda spark, sf: RN.run_append_stream(
+    spark, RN.land_request_log_in_order(spark, sf), lambda log: HS.absences_stream(log, 5)))

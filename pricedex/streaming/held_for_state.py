@@ -115,3 +115,53 @@ def held_for_stream(log: DataFrame, minutes: int = 3, threshold: float = 0.05, w
                        "n_windows", ts("first_minute").alias("_f")).select(
         "api", "first_start", "last_start", "n_windows",
         (F.col("_f") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))).alias("fired_at"))
+
+
+# ------------------------------------------------------------------------------------------------ M11 absences
+ABSENCE_STATE = "pending array<bigint>, last_active bigint"
+ABSENCE_SCHEMA = "api string, from_minute bigint, until_minute bigint, silent_minutes bigint"
+
+
+def _absence_fn(minutes_silent: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        api = key[0]
+        pending, last_active = (set(state.get[0]), state.get[1]) if state.exists else (set(), None)
+        flush = state.hasTimedOut
+        for pdf in pdfs:
+            hb = pdf["heartbeat"].to_numpy(dtype=bool)
+            flush = flush or bool(hb.any())
+            pending.update(int(m) for m in pdf.loc[~hb, "minute"].to_numpy())
+        final_minute = None if flush else state.getCurrentWatermarkMs() // 60000
+        ready = sorted(m for m in pending if final_minute is None or m < final_minute)
+        out = []
+        for m in ready:
+            if last_active is not None and m > last_active and m - last_active - 1 >= minutes_silent:
+                out.append((api, last_active + 1, m, m - last_active - 1))
+            last_active = m if last_active is None else max(last_active, m)
+        pending.difference_update(ready)
+        if flush:
+            state.remove()
+        else:
+            state.update((sorted(pending), last_active))
+            nxt = (max(pending) + 1) * 60000 if pending else state.getCurrentWatermarkMs() + 1
+            state.setTimeoutTimestamp(max(nxt, state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["api", "from_minute", "until_minute", "silent_minutes"]).astype(
+                {"from_minute": np.int64, "until_minute": np.int64, "silent_minutes": np.int64})
+    return fn
+
+
+def absences_stream(log: DataFrame, minutes: int = 5, watermark: str = "10 minutes") -> DataFrame:
+    """Streaming form of ``monitor.absences``: stretches of at least ``minutes`` whole minutes without a request.
+    A minute is final once the watermark has passed it; the heartbeat (or the timeout) closes the input."""
+    e = enrich(log).withColumn("ts_l", F.col("ts").cast("timestamp")).withWatermark("ts_l", watermark)
+    rows = e.select("api", "ts_l", F.floor(F.unix_seconds("ts_l") / 60).cast("bigint").alias("minute"),
+                    (F.col("method") == HEARTBEAT_METHOD).alias("heartbeat"))
+    gaps = rows.groupBy("api").applyInPandasWithState(
+        _absence_fn(minutes), ABSENCE_SCHEMA, ABSENCE_STATE, "append", "EventTimeTimeout")
+
+    def ts(idx):
+        return F.timestamp_seconds(F.col(idx) * 60).cast("timestamp_ntz")
+
+    return gaps.select("api", ts("from_minute").alias("silent_from"), ts("until_minute").alias("silent_until"),
+                       "silent_minutes")

@@ -53,3 +53,48 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = RN.run_update_stream(spark, path, M.error_ratio, ["window_start", "api"], max_files=2)
     batch = M.error_ratio(spark.read.schema(RN.REQUEST_LOG_SCHEMA).parquet(path))
     assert sorted(stream.select(*batch.columns).collect()) == sorted(batch.collect())
+
+
+def _ordered_log(spark, tmp_path, rows, slices=3):
+    """Land rows in time order (one write per slice) plus one heartbeat per service."""
+    from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
+
+    path = str(tmp_path / "ordered")
+    rows = sorted(rows)
+    size = len(rows) // slices + 1
+    for i in range(slices):
+        log_df(spark, rows[i * size:(i + 1) * size]).coalesce(1).write.mode("append").parquet(path)
+    end = rows[-1][0] + dt.timedelta(hours=1)
+    log_df(spark, [(end, HEARTBEAT_METHOD, "/", 200, 0.0, None),
+                   (end, HEARTBEAT_METHOD, "/api/predict", 200, 0.0, None)]).coalesce(1).write.mode(
+        "append").parquet(path)
+    return path
+
+
+def _batch_of(spark, path):
+    from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
+    return spark.read.schema(RN.REQUEST_LOG_SCHEMA).parquet(path).where(F.col("method") != HEARTBEAT_METHOD)
+
+
+def test_stateful_stream_forms_equal_batch(spark, tmp_path):
+    from pricedex.streaming import held_for_state as HS
+
+    rows = []
+    for minute in range(0, 240, 2):  # traffic every 2 minutes, errors between minute 60 and 80, silence 150-170
+        if 150 <= minute < 170:
+            continue
+        status = 500 if 60 <= minute < 80 else 200
+        path = "/api/inflation" if minute % 4 else "/api/predict/03"
+        rows.append((T0 + dt.timedelta(minutes=minute, seconds=7), "GET", path, status, 0.2, None))
+    path = _ordered_log(spark, tmp_path, rows)
+    batch = _batch_of(spark, path)
+
+    runs = RN.run_append_stream(spark, path, lambda log: HS.held_for_stream(log, 3), max_files=1)
+    expected = M.held_for(M.error_ratio(batch), 3)
+    assert sorted(runs.select(*expected.columns).collect()) == sorted(expected.collect())
+    assert runs.count() >= 1
+
+    gaps = RN.run_append_stream(spark, path, lambda log: HS.absences_stream(log, 5), max_files=1)
+    expected_gaps = M.absences(batch, 5)
+    assert sorted(gaps.select(*expected_gaps.columns).collect()) == sorted(expected_gaps.collect())
+    assert any(g.silent_minutes >= 20 for g in gaps.collect())
