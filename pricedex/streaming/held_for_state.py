@@ -31,6 +31,28 @@ STATE_SCHEMA = ("minutes array<bigint>, reqs array<bigint>, errs array<bigint>,
 RUN_SCHEMA = "api string, first_minute bigint, last_minute bigint, n_windows bigint"
 
 
+COMBINED_SCHEMA = "api string, minute bigint, heartbeat boolean, n bigint, e bigint, ts_l timestamp"
+
+
+def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per Arrow batch: requests and server errors per (service, minute). Stateless, so it runs where the rows are
+    read; the stateful task of a service then receives counts, not events."""
+    for pdf in batches:
+        if len(pdf):
+            yield pdf.groupby(["api", "minute", "heartbeat"], as_index=False).agg(
+                n=("is_err", "size"), e=("is_err", "sum"), ts_l=("ts_l", "max")).astype({"n": "int64", "e": "int64"})
+
+
+def _combined_rows(log: DataFrame, watermark: str) -> DataFrame:
+    e = enrich(log).withColumn("ts_l", F.col("ts").cast("timestamp"))
+    rows = e.select(
+        "api", "ts_l", F.floor(F.unix_seconds("ts_l") / 60).cast("bigint").alias("minute"),
+        F.coalesce((F.col("error_type") == SERVER_ERROR).cast("int"), F.lit(0)).alias("is_err"),
+        (F.col("method") == HEARTBEAT_METHOD).alias("heartbeat"))
+    # the watermark is taken on the combined rows (their latest event time): the same maximum as on the events
+    return rows.mapInPandas(_combine, COMBINED_SCHEMA).withWatermark("ts_l", watermark)
+
+
 def _alert(reqs: int, errs: int, threshold: float) -> bool:
     # same double operations as monitor.error_ratio
     return (errs / 300.0) / ((reqs / 300.0) + 0.001) > threshold
@@ -50,7 +72,7 @@ def _runs_fn(minutes_held: int, threshold: float):
             flush = flush or bool(hb.any())
             data = pdf[~hb]
             if len(data):
-                g = data.groupby("minute").agg(n=("is_err", "size"), e=("is_err", "sum"))
+                g = data.groupby("minute").agg(n=("n", "sum"), e=("e", "sum"))
                 for m, n, e in zip(g.index.to_numpy(), g["n"].to_numpy(), g["e"].to_numpy()):
                     c = counts.setdefault(int(m), [0, 0])
                     c[0] += int(n)
@@ -100,11 +122,7 @@ def held_for_stream(log: DataFrame, minutes: int = 3, threshold: float = 0.05, w
     """Streaming (or batch) request log -> alert runs held for ``minutes`` (same columns as ``monitor.held_for``).
 
     Heartbeat rows (method 'HEARTBEAT', one per service) are not counted; they only close the input."""
-    e = enrich(log).withColumn("ts_l", F.col("ts").cast("timestamp")).withWatermark("ts_l", watermark)
-    rows = e.select(
-        "api", "ts_l", F.floor(F.unix_seconds("ts_l") / 60).cast("bigint").alias("minute"),
-        F.coalesce((F.col("error_type") == SERVER_ERROR).cast("int"), F.lit(0)).alias("is_err"),
-        (F.col("method") == HEARTBEAT_METHOD).alias("heartbeat"))
+    rows = _combined_rows(log, watermark)
     runs = rows.groupBy("api").applyInPandasWithState(
         _runs_fn(minutes, threshold), RUN_SCHEMA, STATE_SCHEMA, "append", "EventTimeTimeout")
 
@@ -154,9 +172,7 @@ def _absence_fn(minutes_silent: int):
 def absences_stream(log: DataFrame, minutes: int = 5, watermark: str = "10 minutes") -> DataFrame:
     """Streaming form of ``monitor.absences``: stretches of at least ``minutes`` whole minutes without a request.
     A minute is final once the watermark has passed it; the heartbeat (or the timeout) closes the input."""
-    e = enrich(log).withColumn("ts_l", F.col("ts").cast("timestamp")).withWatermark("ts_l", watermark)
-    rows = e.select("api", "ts_l", F.floor(F.unix_seconds("ts_l") / 60).cast("bigint").alias("minute"),
-                    (F.col("method") == HEARTBEAT_METHOD).alias("heartbeat"))
+    rows = _combined_rows(log, watermark)
     gaps = rows.groupBy("api").applyInPandasWithState(
         _absence_fn(minutes), ABSENCE_SCHEMA, ABSENCE_STATE, "append", "EventTimeTimeout")
 
