@@ -120,6 +120,38 @@ def clean_long_csv(raw: DataFrame, source: str = "data.gouv.fr", keep_area: str
     return out.dropna(subset=["obs_date", "value", "category"])
 
 
+def long_csv_report(raw: DataFrame) -> DataFrame:
+    """P28 for the long-CSV job: rows in, rows out and rows dropped per cleaning step, from one aggregate.
+
+    Each step's predicate is the one ``clean_long_csv`` applies; "keep all if none matches" flags are scalar
+    subqueries over the rows that survive the previous steps, exactly as in the job.
+    """
+    freq_ok = F.col("FREQ") == "M"
+    has_m = raw.select(F.max(freq_ok.cast("int"))).scalar()
+    steps = [("monthly", (F.coalesce(has_m, F.lit(0)) == 0) | freq_ok), ("index_unit", F.col("UNIT_MEASURE") == "IX")]
+    for name, col, val in (("index_type", "IND_TYPE", "IX"), ("territory", "GEO", "F"),
+                           ("aggregate", "PRODUCT_GROUP", "_Z")):
+        if col in raw.columns:
+            steps.append((name, F.col(col) == val))
+    so_far = F.lit(True)
+    for _, p in steps:
+        so_far = so_far & p
+    base_ok = F.col("BASE_PER") == "2015"
+    has_base = raw.where(so_far).select(F.max(base_ok.cast("int"))).scalar()
+    steps.append(("base_2015", (F.coalesce(has_base, F.lit(0)) == 0) | base_ok))
+    steps.append(("valid_row", period_to_date("TIME_PERIOD").isNotNull() & to_number("OBS_VALUE").isNotNull()
+                  & F.col("COICOP_2018").isNotNull()))
+    cums, cum = [F.count(F.lit(1)).alias("s0")], F.lit(True)
+    for i, (_, p) in enumerate(steps, start=1):
+        cum = cum & F.coalesce(p, F.lit(False))
+        cums.append(F.count_if(cum).alias(f"s{i}"))
+    agg = raw.agg(*cums)
+    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"),
+                              F.col(f"s{i - 1}").alias("rows_in"), F.col(f"s{i}").alias("rows_out"))
+                     for i, (name, _) in enumerate(steps, start=1)])
+    return agg.select(F.inline(rows)).withColumn("rows_dropped", F.col("rows_in") - F.col("rows_out"))
+
+
 # ------------------------------------------------------------------------------------------------ series CSV
 SERIES_RENAME = {"TIME_PERIOD": "time_period", "OBS_VALUE": "obs_value", "REF_AREA": "ref_area",
                  "ICP_ITEM": "coicop", "UNIT_MEASURE": "unit"}

@@ -43,7 +43,7 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "P25": ("operators.analytics.summary (not ilike)", ("a13_summary",)),
     "P26": ("between / isin / or of ands", ("a04_two_area_pivot", "q02_two_sources_in_year")),
     "P27": ("operators.normalise (rlike level-1 patterns)", ("j03_dotted_normalise", "j04_prefixed_normalise")),
-    "P28": ("operators.cleaning.with_row_report (observe)", ()),
+    "P28": ("operators.cleaning.with_row_report (observe), long_csv_report", ("p28_cleaning_report",)),
     "P29": ("operators.cleaning.clean_*", ("s01_wide_bulk_clean", "s02_long_csv_clean", "s03_series_csv_clean",
                                            "s04_sdmx_xml_clean", "s05_price_json_clean")),
     "J01": ("operators.normalise.normalise_six_digit", ("j01_six_digit_normalise",)),

@@ -80,3 +80,25 @@ def _s12(spark, sf):
     table = spark.read.parquet(path)
     return table.select("obs_date", "area", "category", F.col("value").cast("double").alias("value"), "source",
                         "base_ref")
+
+
+_P28_COUNTS = """(select n + n1 + n2 + n3 + n4 + n5 + n6 as s0, n + n1 + n2 + n3 + n4 + n6 as s1,
+                          n + n2 + n3 + n4 + n6 as s2, n + n3 + n4 + n6 as s3, n + n4 + n6 as s4, n + n6 as s5,
+                          n as s6, n as s7
+                   from (select count(*) as n, count(*) filter (where month(obs_date) = 1) as n1,
+                                count(*) filter (where month(obs_date) = 2) as n2,
+                                count(*) filter (where month(obs_date) = 3) as n3,
+                                count(*) filter (where month(obs_date) = 4) as n4,
+                                count(*) filter (where month(obs_date) = 5) as n5,
+                                count(*) filter (where month(obs_date) = 6) as n6 from datagouv_raw))"""
+_P28_STEPS = ["monthly", "index_unit", "index_type", "territory", "aggregate", "base_2015", "valid_row"]
+
+
+@register("p28_cleaning_report", W("select step_no, step, rows_in, rows_out, rows_in - rows_out as rows_dropped "
+                                   "from (" + " union all ".join(
+                                       f"select {i} as step_no, '{name}' as step, s{i - 1} as rows_in, "
+                                       f"s{i} as rows_out from {_P28_COUNTS}"
+                                       for i, name in enumerate(_P28_STEPS, start=1)) + ")", "datagouv_raw"))
+def _p28(spark, sf):
+    """The step report of the long-CSV cleaning job on the landed file (one pass, no repeated counts)."""
+    return C.long_csv_report(FS.read_long_csv(spark, L.land_long_csv(spark, sf)))
