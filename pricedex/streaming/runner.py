@@ -56,7 +56,9 @@ def land_request_log_in_order(spark: SparkSession, sf_dir: str, files: int = 6)
     lo, hi = log.agg(F.min(micros), F.max(micros)).first()  # one row: the time span
     step = (hi - lo) // files + 1
     for i in range(files):
-        log.where((micros >= lo + i * step) & (micros < lo + (i + 1) * step)).write.mode("append").parquet(path)
+        # one file per slice: a slice split over several files would let the watermark pass part of it
+        (log.where((micros >= lo + i * step) & (micros < lo + (i + 1) * step)).coalesce(1)
+         .write.mode("append").parquet(path))
     end = F.timestamp_micros(F.lit(hi + 3600 * 10 ** 6)).cast("timestamp_ntz")
     beats = spark.range(2).select(
         end.alias("ts"), F.lit(HEARTBEAT_METHOD).alias("method"),
