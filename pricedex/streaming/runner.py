@@ -19,8 +19,25 @@ from pricedex.sources import standins as S
 REQUEST_LOG_SCHEMA = "ts timestamp_ntz, method string, path string, status int, latency_s double, category string"
 
 
+_LANDED: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, name: str, sf_dir: str, land: Callable[[], str]) -> str:
+    """A landed stream source is written once per application and shared by the streaming queries reading it."""
+    import os
+
+    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
+    if key not in _LANDED:
+        _LANDED[key] = land()
+    return _LANDED[key]
+
+
 def land_request_log(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
-    """Request log as parquet files, each holding a contiguous time range."""
+    """Request log as parquet files, each holding a contiguous time range (landed once per application)."""
+    return _once(spark, "request_log", sf_dir, lambda: _land_request_log(spark, sf_dir, files))
+
+
+def _land_request_log(spark: SparkSession, sf_dir: str, files: int) -> str:
     path = L.fresh_path(spark, "request_log")
     S.request_log(spark, sf_dir).repartitionByRange(files, "ts").write.parquet(path)
     return path
@@ -48,6 +65,10 @@ def run_update_stream(spark: SparkSession, source_path: str, build: Callable[[Da
 def land_request_log_in_order(spark: SparkSession, sf_dir: str, files: int = 6) -> str:
     """Request log in ``files`` consecutive time slices, each written after the previous one (so the file source,
     which reads oldest files first, sees time advance), then one heartbeat row per service after the end."""
+    return _once(spark, "request_log_in_order", sf_dir, lambda: _land_in_order(spark, sf_dir, files))
+
+
+def _land_in_order(spark: SparkSession, sf_dir: str, files: int) -> str:
     from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
 
     path = L.fresh_path(spark, "request_log_ordered")
@@ -69,7 +90,7 @@ def land_request_log_in_order(spark: SparkSession, sf_dir: str, files: int = 6)
 
 
 def run_append_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
-                      max_files: int = 2) -> DataFrame:
+                      max_files: int = 3) -> DataFrame:
     """Append-mode query: every output row is final when emitted; the result is the union of all epochs."""
     stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
     result = build(stream)
