@@ -167,7 +167,7 @@ register("a10_monthly_trend_filtered", W(f"""
 
 register("a11_top_n_ranked", W(f"""
     select category, mean_level, peak, n_obs,
-           row_number() over (order by mean_level desc, category) as rank
+           cast(row_number() over (order by mean_level desc, category) as integer) as rank
     from (select category, {m2('value')} as mean_level, {r2('max(value)')} as peak, count(*) as n_obs
           from unified where {flt('EUROSTAT', None, '1997-01-01', '1999-12-31')}
           group by category order by mean_level desc, category limit 5)""", "unified"))(
@@ -260,7 +260,7 @@ register("a23_series_span", W(f"""
 
 _YEARS = list(range(1995, 2002))
 register("a20_seasonality_matrix", W(
-    "select month(obs_date) as month, "
+    "select cast(month(obs_date) as integer) as month, "
     + ", ".join(f"{O.mean(f'case when year(obs_date) = {y} then value end', 4)} as y{y}" for y in _YEARS)
     + f" from unified where {flt('EUROSTAT', 'alimentation')} group by 1", "unified"))(
     lambda spark, sf: A.seasonality_matrix(T.unified(spark, sf), _YEARS, "EUROSTAT", "alimentation"))

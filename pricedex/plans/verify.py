@@ -34,7 +34,22 @@ def _key(row):
     return tuple((0, "") if x is None else (1, str(x)) for x in row)
 
 
+# Spark type -> DuckDB type of the same values
+TYPE_PAIRS = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[tuple[str, str, str]]:
+    rel = con.sql(sql)
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(f.name, f.dataType.simpleString(), duck.get(f.name)) for f in spark_df.schema.fields
+            if TYPE_PAIRS.get(f.dataType.simpleString(), f.dataType.simpleString()) != duck.get(f.name)]
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str, int]:
+    bad_types = type_mismatches(spark_df, con, sql)
+    if bad_types:
+        return False, f"types (column, spark, duckdb): {bad_types}", 0
     cols = spark_df.columns
     s_rows = [tuple(_norm(r[c]) for c in cols) for r in spark_df.collect()]
     cur = con.execute(sql)

@@ -156,7 +156,8 @@ def absences(log: DataFrame, minutes: int = 5) -> DataFrame:
     Requests are first reduced to the set of active minutes (a combinable aggregate), then consecutive active
     minutes are compared with lag; the window runs over at most one row per minute of the period.
     """
-    e = enrich(log).select("api", F.date_trunc("minute", "ts").alias("minute")).distinct()
+    # date_trunc yields a zoned timestamp; back to wall-clock time without zone, like the input
+    e = enrich(log).select("api", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")).distinct()
     prev = F.lag("minute").over(Window.partitionBy("api").orderBy("minute"))
     gaps = e.withColumn("prev", prev).where(F.col("prev").isNotNull())
     silent = minute_index("minute") - minute_index("prev") - 1
