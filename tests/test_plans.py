@@ -44,3 +44,24 @@ def test_unified_reads_prune_source_partitions(spark):
     from pricedex.plans import tables as T
     plan = plan_of(T.unified(spark, SF_SMALL).where("source = 'EUROSTAT'"))
     assert "PartitionFilters: [isnotnull(source" in plan and "EUROSTAT" in plan
+
+
+def test_partial_aggregation_before_shuffles(spark):
+    """Hot keys are reduced in every task before the exchange: partial aggregates in the stand-in build and in the
+    unified dedup, and the dedup is a hash aggregate (fixed-width min), not a sort-based one."""
+    from pricedex.plans import tables as T
+
+    base = plan_of(S.base_obs_plan(spark, SF_SMALL))
+    assert "partial_sum" in base
+    unified = plan_of(T.unified_plan(spark, SF_SMALL))
+    assert "partial_min" in unified and "SortAggregate" not in unified
+
+
+def test_forecast_groups_are_series(spark):
+    """The only Python step groups by the series key (bounded by months), nothing coarser."""
+    from pricedex.operators import forecast as FC
+    from pricedex.plans import tables as T
+
+    fc = FC.forecast(FC.modelling_series(T.unified(spark, SF_SMALL)), horizon=3)
+    plan = plan_of(fc)
+    assert re.search(r"FlatMapGroupsInPandas \[source#\d+, area#\d+, category#\d+\]", plan)
