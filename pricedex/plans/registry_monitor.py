@@ -3,6 +3,8 @@ Structured Streaming queries (stream result = batch result, checked against the
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pricedex import reference_data as R
 from pricedex.plans import oracle as O
 from pricedex.plans.registry import W, register
@@ -101,12 +103,27 @@ M11_SQL = W("""
 register("m11_absences", M11_SQL)(lambda spark, sf: M.absences(_log(spark, sf), 5))
 
 # ---------------------------------------------------------------------------------------- streaming twins
+def _event_time(log, watermark="10 minutes"):
+    """Event time as a zoned timestamp (watermarks need one), the watermark, then heartbeats dropped (they still
+    advance the watermark)."""
+    return (log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+            .where(F.col("method") != HS.HEARTBEAT_METHOD))
+
+
+def _ntz(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
 register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: RN.run_update_stream(
-    spark, RN.land_request_log(spark, sf), M.request_counts, ["method", "endpoint", "status_code"]))
+    spark, RN.land_request_log_in_order(spark, sf),
+    lambda log: M.request_counts(log.where(F.col("method") != HS.HEARTBEAT_METHOD)),
+    ["method", "endpoint", "status_code"]))
 register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: RN.run_update_stream(
-    spark, RN.land_request_log(spark, sf), M.latency_quantiles, ["window_start"]))
+    spark, RN.land_request_log_in_order(spark, sf),
+    lambda log: _ntz(M.latency_quantiles(_event_time(log)), "window_start", "window_end"), ["window_start"]))
 register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: RN.run_update_stream(
-    spark, RN.land_request_log(spark, sf), M.error_ratio, ["window_start", "api"]))
+    spark, RN.land_request_log_in_order(spark, sf),
+    lambda log: _ntz(M.error_ratio(_event_time(log)), "window_start"), ["window_start", "api"]))
 register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: RN.run_append_stream(
     spark, RN.land_request_log_in_order(spark, sf), lambda log: HS.held_for_stream(log, 3)))
 register("m11_stream_absences", M11_SQL)(lambda spark, sf: RN.run_append_stream(

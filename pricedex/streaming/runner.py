@@ -32,17 +32,6 @@ def _once(spark: SparkSession, name: str, sf_dir: str, land: Callable[[], str])
     return _LANDED[key]
 
 
-def land_request_log(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
-    """Request log as parquet files, each holding a contiguous time range (landed once per application)."""
-    return _once(spark, "request_log", sf_dir, lambda: _land_request_log(spark, sf_dir, files))
-
-
-def _land_request_log(spark: SparkSession, sf_dir: str, files: int) -> str:
-    path = L.fresh_path(spark, "request_log")
-    S.request_log(spark, sf_dir).repartitionByRange(files, "ts").write.parquet(path)
-    return path
-
-
 def run_update_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
                       key_cols: list[str], max_files: int = 3) -> DataFrame:
     stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
