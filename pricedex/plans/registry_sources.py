@@ -9,6 +9,7 @@ from pricedex.operators import cleaning as C
 from pricedex.operators.normalise import UNIFIED_KEY, first_wins
 from pricedex.plans import tables as T
 from pricedex.plans.registry import W, register
+from pricedex.session import parallelism
 from pricedex.sources import files as FS
 from pricedex.sources import landing as L
 from pricedex.sources import standins as S
@@ -17,7 +18,7 @@ from pricedex.sources import standins as S
 @register("s01_wide_bulk_clean", W("""
     select area, coicop, obs_date, cast(value as double) as value, unit from eurostat_raw""", "eurostat_raw"))
 def _s01(spark, sf):
-    wide = FS.read_wide_tsv(spark, L.land_wide_bulk(spark, sf), partitions=spark.sparkContext.defaultParallelism)
+    wide = FS.read_wide_tsv(spark, L.land_wide_bulk(spark, sf), partitions=parallelism(spark))
     out = C.clean_wide_bulk(wide, unit="I15")
     return out.withColumn("value", F.col("value").cast("double"))
 

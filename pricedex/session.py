@@ -25,11 +25,29 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app_na
         .config("spark.driver.memory", os.environ.get("PRICEDEX_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    return sc.defaultParallelism if sc is not None else int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
@@ -37,22 +55,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created; on a cluster an unset value is an error, because a machine-local folder would not survive
     the loss of an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="pricedex-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir() or path
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path
 
 
 def shared_table_root(spark: SparkSession) -> str:
     """Folder for tables this library materialises (bronze stand-ins), next to the checkpoints."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/pricedex-tables/{spark.sparkContext.applicationId}"
+    return f"{root}/pricedex-tables/{application_id(spark)}"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricedex.operators.cleaning import LONG_CSV_COLUMNS
+from pricedex.session import parallelism
 
 
 # ------------------------------------------------------------------------------------------------ S01 wide bulk
@@ -21,7 +22,7 @@ def read_wide_tsv(spark: SparkSession, path: str, partitions: int | None = None)
           .option("encoding", "UTF-8").csv(path))
     df = df.toDF(*[c.strip() for c in df.columns])
     if path.endswith(".gz") or partitions:
-        df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
+        df = df.repartition(partitions or parallelism(spark))
     return df
 
 

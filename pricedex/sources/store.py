@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricedex.session import shared_table_root
+from pricedex.session import application_id, shared_table_root
 
 _LOCK = threading.RLock()  # builds may materialise their own inputs
 _WRITTEN: dict[tuple, str] = {}
@@ -22,7 +22,7 @@ _WRITTEN: dict[tuple, str] = {}
 def materialise(spark: SparkSession, name: str, key: tuple, build: Callable[[], DataFrame],
                 partition_by: list[str] | None = None, schema: str | None = None,
                 columns: list[str] | None = None) -> DataFrame:
-    memo = (spark.sparkContext.applicationId, name, key)
+    memo = (application_id(spark), name, key)
     with _LOCK:
         path = _WRITTEN.get(memo)
         if path is None:

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricedex.session import application_id
 from pricedex.sources import landing as L
 from pricedex.sources import standins as S
 
@@ -26,7 +27,7 @@ def _once(spark: SparkSession, name: str, sf_dir: str, land: Callable[[], str])
     """A landed stream source is written once per application and shared by the streaming queries reading it."""
     import os
 
-    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
+    key = (application_id(spark), name, os.path.abspath(sf_dir))
     if key not in _LANDED:
         _LANDED[key] = land()
     return _LANDED[key]
