@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.session import application_id
+from pricedex.session import application_id, parallelism
 from pricedex.sources import landing as L
 from pricedex.sources import standins as S
 
@@ -23,6 +23,19 @@ REQUEST_LOG_SCHEMA = "ts timestamp_ntz, method string, path string, status int,
 _LANDED: dict[tuple, str] = {}
 
 
+def _start(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a streaming query with an explicit number of state partitions (fixed for the life of its checkpoint;
+    AQE does not resize stateful stages). The query runs on a clone of the session taken at start, so the setting
+    is restored right after."""
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or parallelism(spark)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
+
+
 def _once(spark: SparkSession, name: str, sf_dir: str, land: Callable[[], str]) -> str:
     """A landed stream source is written once per application and shared by the streaming queries reading it."""
     import os
@@ -34,7 +47,7 @@ def _once(spark: SparkSession, name: str, sf_dir: str, land: Callable[[], str])
 
 
 def run_update_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
-                      key_cols: list[str], max_files: int = 3) -> DataFrame:
+                      key_cols: list[str], max_files: int = 3, state_partitions: int | None = None) -> DataFrame:
     stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
     result = build(stream)
     sink = L.fresh_path(spark, "stream_sink")
@@ -43,8 +56,8 @@ def run_update_stream(spark: SparkSession, source_path: str, build: Callable[[Da
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
 
-    q = (result.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = _start(spark, result.writeStream.outputMode("update").foreachBatch(write_batch)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True), state_partitions)
     q.awaitTermination()
     out = spark.read.parquet(sink)
     value_cols = [c for c in result.columns if c not in key_cols]
@@ -80,7 +93,7 @@ def _land_in_order(spark: SparkSession, sf_dir: str, files: int) -> str:
 
 
 def run_append_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
-                      max_files: int = 3) -> DataFrame:
+                      max_files: int = 3, state_partitions: int | None = None) -> DataFrame:
     """Append-mode query: every output row is final when emitted; the result is the union of all epochs."""
     stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
     result = build(stream)
@@ -90,8 +103,8 @@ def run_append_stream(spark: SparkSession, source_path: str, build: Callable[[Da
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch_id}")
 
-    q = (result.writeStream.outputMode("append").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = _start(spark, result.writeStream.outputMode("append").foreachBatch(write_batch)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True), state_partitions)
     q.awaitTermination()
     return spark.read.schema(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in result.schema.fields)
                              ).parquet(sink).select(*result.columns)
