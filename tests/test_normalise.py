@@ -94,3 +94,20 @@ def test_unified_structure(spark):
     assert {r.category for r in u.select("category").distinct().collect()} <= labels
     assert u.groupBy(*N.UNIFIED_KEY).count().where("count > 1").count() == 0
     assert u.count() == T.unified_plan(spark, SF_SMALL).count()
+
+
+def test_parameter_validation(spark):
+    """Page limits 1..1000 with offset >= 0, top-N within 1..13 (rejected like the reference's endpoints)."""
+    import pytest
+
+    from decimal import Decimal
+    from pricedex.operators import analytics as A
+
+    u = _unified(spark, [(D, "FR", "c", Decimal("1"), "S", "2015")])
+    for kwargs in ({"limit": 0}, {"limit": 1001}, {"offset": -1}):
+        with pytest.raises(ValueError):
+            A.index_page(u, **kwargs)
+    for n in (0, 14):
+        with pytest.raises(ValueError):
+            A.top_n_categories(u, "S", n=n)
+    assert A.index_page(u, limit=1000).count() == 1 and A.top_n_categories(u, "S", n=13).count() == 1
