@@ -114,17 +114,25 @@ def _ntz(df, *cols):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
-register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: RN.run_update_stream(
-    spark, RN.land_request_log_in_order(spark, sf),
-    lambda log: M.request_counts(log.where(F.col("method") != HS.HEARTBEAT_METHOD)),
+def _stream_update(spark, sf, build, keys):
+    path = RN.land_request_log_in_order(spark, sf)
+    return RN.run_update_stream(spark, path, lambda log: build(log, RN.watermark_delay(path)), keys)
+
+
+def _stream_append(spark, sf, build):
+    path = RN.land_request_log_in_order(spark, sf)
+    return RN.run_append_stream(spark, path, lambda log: build(log, RN.watermark_delay(path)))
+
+
+register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: _stream_update(
+    spark, sf, lambda log, wm: M.request_counts(log.where(F.col("method") != HS.HEARTBEAT_METHOD)),
     ["method", "endpoint", "status_code"]))
-register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: RN.run_update_stream(
-    spark, RN.land_request_log_in_order(spark, sf),
-    lambda log: _ntz(M.latency_quantiles(_event_time(log)), "window_start", "window_end"), ["window_start"]))
-register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: RN.run_update_stream(
-    spark, RN.land_request_log_in_order(spark, sf),
-    lambda log: _ntz(M.error_ratio(_event_time(log)), "window_start"), ["window_start", "api"]))
-register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: RN.run_append_stream(
-    spark, RN.land_request_log_in_order(spark, sf), lambda log: HS.held_for_stream(log, 3)))
-register("m11_stream_absences", M11_SQL)(lambda spark, sf: RN.run_append_stream(
-    spark, RN.land_request_log_in_order(spark, sf), lambda log: HS.absences_stream(log, 5)))
+register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: _stream_update(
+    spark, sf, lambda log, wm: _ntz(M.latency_quantiles(_event_time(log, wm)), "window_start", "window_end"),
+    ["window_start"]))
+register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: _stream_update(
+    spark, sf, lambda log, wm: _ntz(M.error_ratio(_event_time(log, wm)), "window_start"), ["window_start", "api"]))
+register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: _stream_append(
+    spark, sf, lambda log, wm: HS.held_for_stream(log, 3, watermark=wm)))
+register("m11_stream_absences", M11_SQL)(lambda spark, sf: _stream_append(
+    spark, sf, lambda log, wm: HS.absences_stream(log, 5, watermark=wm)))

@@ -27,7 +27,7 @@ from pricedex.streaming.monitor import SERVER_ERROR, enrich
 HEARTBEAT_METHOD = "HEARTBEAT"
 WINDOW_MINUTES = 5
 STATE_SCHEMA = ("minutes array<bigint>, reqs array<bigint>, errs array<bigint>, next_window bigint, "
-                "last_minute bigint, run_first bigint, run_last bigint, run_n bigint")
+                "last_minute bigint, run_first bigint, run_last bigint, run_n bigint, started boolean")
 RUN_SCHEMA = "api string, first_minute bigint, last_minute bigint, n_windows bigint"
 
 
@@ -62,10 +62,10 @@ def _runs_fn(minutes_held: int, threshold: float):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         api = key[0]
         if state.exists:
-            minutes, reqs, errs, next_w, last_m, run_first, run_last, run_n = state.get
+            minutes, reqs, errs, next_w, last_m, run_first, run_last, run_n, started = state.get
             counts = {int(m): [int(r), int(e)] for m, r, e in zip(minutes, reqs, errs)}
         else:
-            counts, next_w, last_m, run_first, run_last, run_n = {}, None, None, -1, -1, 0
+            counts, next_w, last_m, run_first, run_last, run_n, started = {}, None, None, -1, -1, 0, False
         flush = state.hasTimedOut
         for pdf in pdfs:
             hb = pdf["heartbeat"].to_numpy(dtype=bool)
@@ -78,8 +78,12 @@ def _runs_fn(minutes_held: int, threshold: float):
                     c[0] += int(n)
                     c[1] += int(e)
                 lo, hi = int(g.index.min()), int(g.index.max())
-                if next_w is None:  # windows before the first minute seen hold no data; never move back
-                    next_w = lo - (WINDOW_MINUTES - 1)
+                # The first window is the one ending at the earliest minute seen. Until a window has been
+                # evaluated, earlier rows may still move it back; afterwards the watermark keeps new rows out of
+                # evaluated windows.
+                if next_w is None or not started:
+                    first = lo - (WINDOW_MINUTES - 1)
+                    next_w = first if next_w is None else min(next_w, first)
                 last_m = hi if last_m is None else max(last_m, hi)
         out = []
         if next_w is not None:
@@ -100,6 +104,8 @@ def _runs_fn(minutes_held: int, threshold: float):
                     if run_n > 0 and run_n - 1 >= minutes_held:
                         out.append((api, run_first, run_last, run_n))
                     run_n = 0
+            if limit >= next_w:
+                started = True
             next_w = max(next_w, limit + 1)
         if flush:
             if run_n > 0 and run_n - 1 >= minutes_held:
@@ -108,7 +114,7 @@ def _runs_fn(minutes_held: int, threshold: float):
         elif next_w is not None:
             keep = sorted(m for m in counts if m >= next_w)
             state.update((keep, [counts[m][0] for m in keep], [counts[m][1] for m in keep], next_w, last_m,
-                          run_first, run_last, run_n))
+                          run_first, run_last, run_n, started))
             # if no more data arrives, the timeout evaluates the last windows once the watermark passes them
             state.setTimeoutTimestamp(max((last_m + WINDOW_MINUTES + 1) * 60000, state.getCurrentWatermarkMs() + 1))
         if out:
