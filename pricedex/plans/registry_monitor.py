@@ -72,6 +72,11 @@ register("m06_request_rate", W(f"""
            count(*) / {O.dbl(60)} as rate_per_s
     from enriched group by 1, 2""", "enriched"))(lambda spark, sf: M.request_rate(_log(spark, sf)))
 
+register("m06_request_rate_5m", W(f"""
+    select time_bucket(interval 5 minute, ts) as window_start, endpoint, count(*) as requests,
+           count(*) / {O.dbl(300)} as rate_per_s
+    from enriched group by 1, 2""", "enriched"))(lambda spark, sf: M.request_rate(_log(spark, sf), "5 minutes"))
+
 register("m07_error_ratio", M07_SQL)(lambda spark, sf: M.error_ratio(_log(spark, sf)))
 
 register("m08_errors_by_type", W("""
