@@ -117,7 +117,8 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "M02": ("functions.columns.error_class", ("m02_error_classes",)),
     "M03": ("streaming.monitor.request_counts", ("m03_request_counts", "m03_stream_request_counts")),
     "M04": ("streaming.monitor.latency_histogram", ("m04_latency_histogram",)),
-    "M05": ("streaming.monitor.latency_quantiles", ("m05_latency_quantiles", "m05_stream_latency_quantiles")),
+    "M05": ("streaming.monitor.latency_quantiles",
+            ("m05_latency_quantiles", "m05_predict_latency_quantiles", "m05_stream_latency_quantiles")),
     "M06": ("streaming.monitor.request_rate", ("m06_request_rate", "m06_request_rate_5m")),
     "M07": ("streaming.monitor.error_ratio", ("m07_error_ratio", "m07_stream_error_ratio")),
     "M08": ("streaming.monitor.errors_by_type, predictions_by_category",

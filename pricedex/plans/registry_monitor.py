@@ -66,6 +66,8 @@ register("m02_error_classes", W("""
 register("m03_request_counts", M03_SQL)(lambda spark, sf: M.request_counts(_log(spark, sf)))
 register("m04_latency_histogram", _m04_sql())(lambda spark, sf: M.latency_histogram(_log(spark, sf)))
 register("m05_latency_quantiles", M05_SQL)(lambda spark, sf: M.latency_quantiles(_log(spark, sf)))
+register("m05_predict_latency_quantiles", _m05_sql("model"))(
+    lambda spark, sf: M.latency_quantiles(_log(spark, sf), api="model"))
 
 register("m06_request_rate", W(f"""
     select date_trunc('minute', ts) as window_start, endpoint, count(*) as requests,
