@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.llm import exact_dedup, simhash
+from pricedex.llm import decontaminate, exact_dedup, langid, line_dedup, packing, simhash, toxicity
 from pricedex.llm.common import read_table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Place of a vocabulary file that is installed with the public tokenizers on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -35,3 +44,44 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint (4-word shingles) and component (at most 4 differing bits) of every document."""
     found = simhash.components(spark, read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the rows that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    found = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    return langid.predict(spark, found, model).drop("text")
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from labelled rows that are not held out."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~langid.held_out()))
+    found = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    return toxicity.score(spark, found, model).drop("text").withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair with a match: the smallest distance, its first span, number of matches."""
+    found = decontaminate.matches(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    best = F.min(F.struct("distance", "start_char", "end_char"))
+    return found.groupBy("doc_id", "item_id").agg(best.alias("best"), F.count("*").alias("n_matches")).select(
+        "doc_id", "item_id", "best.*", "n_matches")
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its recurring lines cut, and how many lines went."""
+    docs = read_table(spark, sf_dir, "documents")
+    return line_dedup.drop_lines(spark, docs, removed_col="lines_cut").select("doc_id", "text", "lines_cut")
