@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier.
 
 1. Lexicon: document frequencies of words, word beginnings and word inner n-grams by label over a labelled sample
-   (counted in Spark); the entries with the largest smoothed log-odds z-scores form the lexicon.
+   (counted in Spark); entries far likelier in toxic texts form the lexicon, by log-likelihood ratio.
 2. Voters: the lexicon, dealt into groups by kind and rank, and fixed patterns (shouting, masked words, insults aimed at
    a reader ...). A voter says toxic or abstains on a document. The annotators' label is one more, noisy, voter.
 3. Label model: EM over the counts of vote patterns (at most 2^voters rows). It estimates each voter's rate in either
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricedex.llm.common import materialise
@@ -33,7 +33,9 @@ from pricedex.llm.common import materialise
 MAX_ROWS = 20_000
 LEXICON = 600
 GROUPS = 12  # lexicon voters; with the patterns at most 2^18 vote patterns
-MIN_DOCS = 4
+MIN_DOCS = 4  # toxic documents that have an entry
+MIN_ODDS = 1.5  # smoothed log-odds of an entry between the classes
+MIN_STRENGTH = 16.0
 FLUSH = 200_000
 CACHE = 200_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -97,17 +99,29 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Data
 
 
 def mine_lexicon(rows: DataFrame, size: int = LEXICON) -> list[str]:
-    """Entries that set the toxic texts apart, best first (z-score of the smoothed log-odds of their documents)."""
+    """Entries that set the toxic texts apart, best first."""
     docs = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n0, n1 = docs.get(0, 0), docs.get(1, 0)
     if not n0 or not n1:
         return []
     counts = rows.select("text", "toxic").mapInPandas(_count, "entry string, clean long, toxic long").groupBy(
         "entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    z = odds / F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    ranked = counts.where(F.col("toxic") >= MIN_DOCS).select("entry", z.alias("z")).where("z > 4")
-    return [r.entry for r in ranked.orderBy(F.desc("z"), "entry").limit(size).collect()]
+    ranked = counts.where(F.col("toxic") >= MIN_DOCS).select(
+        "entry", association(F.col("clean"), F.col("toxic"), n0, n1).alias("strength"),
+        (F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))).alias("odds"))
+    ranked = ranked.where((F.col("odds") >= MIN_ODDS) & (F.col("strength") >= MIN_STRENGTH))
+    return [r.entry for r in ranked.orderBy(F.desc("strength"), "entry").limit(size).collect()]
+
+
+def association(clean: Column, toxic: Column, n0: int, n1: int) -> Column:
+    """Log-likelihood ratio of the entry's table of documents (with it or not, clean or toxic)."""
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    share = (clean + toxic) / F.lit(float(n0 + n1))
+    return 2 * (part(toxic, n1 * share) + part(clean, n0 * share)
+                + part(n1 - toxic, n1 * (1 - share)) + part(n0 - clean, n0 * (1 - share)))
 
 
 def deal_voters(lexicon: list[str], groups: int = GROUPS) -> list[list[int]]:
@@ -179,7 +193,7 @@ def label_model(votes: np.ndarray, times: np.ndarray, prior: float, rounds: int
 
 
 def fit(rows: list[list[int]], target: np.ndarray, weight: np.ndarray, size: int, rounds: int = 800,
-        ridge: float = 2.0) -> tuple[np.ndarray, float]:
+        ridge: float = 0.5) -> tuple[np.ndarray, float]:
     """Logistic regression on sets of feature numbers, to soft targets (accelerated steps under a diagonal bound)."""
     many = np.array([len(r) for r in rows])
     at = np.repeat(np.arange(len(rows)), many)
