@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.llm import decontaminate, exact_dedup, langid, line_dedup, packing, simhash, toxicity
+from pricedex.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, simhash,
+                          toxicity, warc)
 from pricedex.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -85,3 +86,77 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its recurring lines cut, and how many lines went."""
     docs = read_table(spark, sf_dir, "documents")
     return line_dedup.drop_lines(spark, docs, removed_col="lines_cut").select("doc_id", "text", "lines_cut")
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, from its host's winning container path."""
+    found = html_extract.extract_pages(spark, read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op5_warc_roundtrip", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+    SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+           list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+               (CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS BIGINT)) & 31
+               AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+    FROM f""")
+def op5_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back; payloads of any size that repeat are revisits."""
+    found = warc.roundtrip(spark, read_table(spark, sf_dir, "pages"), min_bytes=0)
+    return found.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        warc.page_of("refers_to").alias("refers_to"))
+
+
+# The tool that the calls made of conversations use: its arguments and their types.
+ANSWER_SCHEMA = [("answer", [("chars", "integer", True), ("question", "string", True), ("turn", "integer", True)])]
+
+
+def conversations_as_tool_use(conversations: DataFrame) -> DataFrame:
+    """Messages with tool calls made of conversations: a user's turn asks for a call of the tool ``answer`` that depends
+    on the call two turns before; an assistant's turn is the result of the call one turn before."""
+    def call_id(back: int):
+        return F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), (F.col("turn") - back).cast("string"))
+
+    arguments = F.struct(F.coalesce(F.length("text"), F.lit(0)).alias("chars"), F.col("text").alias("question"), "turn")
+    ask = F.struct(F.array(F.struct(call_id(0).alias("id"), F.lit("answer").alias("name"), arguments.alias("arguments"),
+                                    F.array(call_id(2)).alias("depends_on"))).alias("tool_calls"))
+    reply = F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content"))
+    role = F.col("role")
+    return conversations.select(
+        "conv_id", "turn", F.when(role == "user", "assistant").when(role == "assistant", "tool").otherwise(role).alias("role"),
+        F.when(role == "user", F.to_json(ask)).when(role == "assistant", F.to_json(reply)).otherwise(F.col("text")).alias("text"))
+
+
+@query("op9_chat_formatting", """
+    WITH u AS (SELECT conv_id, turn, text, turn // 2 - row_number() OVER w AS run
+               FROM conversations WHERE role = 'user' WINDOW w AS (PARTITION BY conv_id, turn % 2 ORDER BY turn)),
+    c AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS INTEGER) AS level,
+                 'call_' || conv_id || '_' || turn AS call_id FROM u),
+    r AS (SELECT conv_id, turn, text, 'call_' || conv_id || '_' || (turn - 1) AS call_id
+          FROM conversations WHERE role = 'assistant'),
+    calls AS (SELECT c.*, CASE WHEN EXISTS (FROM r WHERE r.call_id = c.call_id) THEN 'answered' ELSE 'unanswered' END AS status
+              FROM c),
+    results AS (SELECT r.*, c.level, CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END AS status
+                FROM r LEFT JOIN c USING (call_id))
+    SELECT conv_id, turn, 'call' AS kind, call_id, level, status, TRUE AS valid,
+           '{"arguments":{"chars":' || length(text) || ',"question":' || to_json(text) || ',"turn":' || turn || '},"id":"'
+           || call_id || '","kind":"call","name":"answer","status":"' || status || '"}' AS json FROM calls
+    UNION ALL
+    SELECT conv_id, turn, 'result', call_id, level, status, NULL, '{"content":' || to_json(text) || ',"id":"' || call_id
+           || '","kind":"result","status":"' || status || '"}' FROM results
+    UNION ALL
+    SELECT conv_id, turn, 'message', NULL, NULL, 'plain', NULL, '{"kind":"message","role":"' || role || '","text":'
+           || to_json(text) || '}' FROM conversations WHERE role NOT IN ('user', 'assistant')""")
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation as a tool call, its result or a plain message, in canonical JSON."""
+    schemas = spark.createDataFrame(
+        ANSWER_SCHEMA, "name string, fields array<struct<field:string,type:string,required:boolean>>")
+    messages = conversations_as_tool_use(read_table(spark, sf_dir, "conversations"))
+    found = chat.format_chat(spark, messages, schemas)
+    return found.select("conv_id", "turn", "kind", "call_id", "level", "status",
+                        (F.size("errors") == 0).alias("valid"), "json")
