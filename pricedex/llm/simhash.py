@@ -136,6 +136,8 @@ def _deal(fp: np.ndarray, tree: VantageTree, bands: int, hot: dict[tuple[int, in
         values = values.astype(np.int64)
         row, leaf = tree.visits(values)
         for kind, rows, leaves in ((0, np.arange(len(fp)), tree.home[values].astype(np.int64)), (2, row, leaf)):
+            if not len(rows):
+                continue
             order = np.argsort(leaves, kind="stable")
             at, start = np.unique(leaves[order], return_index=True)
             for one, part in zip(at.tolist(), np.split(fp[rows[order]], start[1:]), strict=True):
