@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricedex.llm.common import materialise
+from pricedex.llm.common import materialise, shuffle_partitions
 from pricedex.llm.tokens import Encoder
 
 SEQUENCE = 1024
@@ -162,7 +162,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, size: int = SEQUE
     rows = materialise(pieces(docs, tokenizer, size, end, with_ids, id_col, text_col), "pieces")
     histogram = {int(r.length): r["count"] for r in rows.groupBy("length").count().collect()}
     table = intervals(plan(histogram, size))
-    buckets = max(1, -(-sum(histogram.values()) // BUCKET_ROWS))
+    buckets = max(shuffle_partitions(spark), -(-sum(histogram.values()) // BUCKET_ROWS))
     keyed = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = (keyed.groupBy("length", "bucket").count()
