@@ -1,7 +1,8 @@
 """Language identification by words first, with a backoff to shorter and shorter character n-grams.
 
-Training counts every word of every training row in Spark (partial counts per task, then one shuffle) and, from the
-distinct words, all their character n-grams of 4 down to 1 characters (a word's ends are marked). The model keeps each
+Training counts every word of every training row in Spark (partial counts per task, then one shuffle) and, over the
+distinct words, all their character n-grams of 4 down to 1 characters (a word's ends are marked; unseen words are new
+kinds of words, so each kind counts once). The model keeps each
 language's most frequent words and n-grams (``max_words`` and ``max_grams``: documented bounds of the model that is
 broadcast, not of the rows that are counted); other words are scored by the longest n-grams the model knows. A word
 known in any language scores its log frequency in each; an unknown one the mean log frequency of its known n-grams at
@@ -45,12 +46,6 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i: i + n] for i in range(len(marked) - n + 1)]
 
 
-def _emit(counts: Counter) -> pd.DataFrame:
-    keys = list(counts)
-    return pd.DataFrame({"lang": [k[0] for k in keys], "n": [k[1] for k in keys], "term": [k[2] for k in keys],
-                         "times": list(counts.values())})
-
-
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: dict[str, Counter] = {}
     for b in batches:
@@ -69,17 +64,26 @@ def _flat(counts: dict[str, Counter]) -> pd.DataFrame:
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter = Counter()
+    """How many of a language's distinct words have each n-gram (an n-gram counts as often as it stands in a word)."""
+    counts: dict[tuple[str, int], Counter] = {}
     for b in batches:
-        for lang, word, times in zip(b["lang"], b["term"], b["times"].tolist(), strict=True):
-            for n in GRAMS:
-                for g in grams(word, n):
-                    counts[lang, n, g] += times
-            if len(counts) > FLUSH:
-                yield _emit(counts)
-                counts = Counter()
-    if counts:
-        yield _emit(counts)
+        for lang, words in b.groupby("lang")["term"]:
+            for at in range(0, len(words), 2000):
+                plain = list(words.iloc[at: at + 2000])
+                marked = [f"<{w}>" for w in plain]
+                for n in GRAMS:
+                    counts.setdefault((lang, n), Counter()).update(
+                        [w[i: i + n] for w in (marked if n > 1 else plain) for i in range(len(w) - n + 1)])
+            if sum(map(len, counts.values())) > FLUSH:
+                yield from _flat_grams(counts)
+                counts = {}
+    yield from _flat_grams(counts)
+
+
+def _flat_grams(counts: dict[tuple[str, int], Counter]) -> Iterator[pd.DataFrame]:
+    for (lang, n), c in counts.items():
+        if c:
+            yield pd.DataFrame({"lang": lang, "n": n, "term": list(c), "times": list(c.values())})
 
 
 class Model:
