@@ -15,7 +15,6 @@ the languages' shares of the training rows; extra columns are ignored or passed
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -87,60 +86,74 @@ def _flat_grams(counts: dict[tuple[str, int], Counter]) -> Iterator[pd.DataFrame
 
 
 class Model:
-    """Per-language log frequencies of words and n-grams, and the languages' shares of the training rows."""
+    """Per-language log frequencies of words and n-grams (rows of ``rates``, found by term in ``tables``; length 0 holds
+    the words), and the languages' shares of the training rows."""
 
-    def __init__(self, langs: list[str], prior: np.ndarray, tables: dict[int, dict[str, np.ndarray]]):
-        self.langs, self.prior, self.tables = langs, prior, tables
+    def __init__(self, langs: list[str], prior: np.ndarray, tables: dict[int, dict[str, int]], rates: np.ndarray):
+        self.langs, self.prior, self.tables, self.rates = langs, prior, tables, rates
 
-    def word(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
-        if known is not None:
-            return known
+    def terms(self, word: str) -> list[int]:
+        """Rows that score a word: its own, or those of its n-grams of the longest length that has any."""
+        at = self.tables[0].get(word)
+        if at is not None:
+            return [at]
         for n in GRAMS:
-            found = [v for g in grams(word, n) if (v := self.tables[n].get(g)) is not None]
+            table = self.tables[n]
+            found = [at for g in grams(word, n) if (at := table.get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
+                return found
+        return []
 
 
-class Scorer(dict):
-    """Rows of a score matrix by word; forgets everything when it holds too many words."""
+class Scorer:
+    """Scores of words, remembered up to a bound; new words of a text are scored together."""
 
     def __init__(self, model: Model):
-        self.model, self.rows = model, np.zeros((1024, len(model.langs)))
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.rows):
+        self.model, self.at = model, {}
+        self.rows = np.zeros((1024, len(model.langs)))
+
+    def learn(self, words: list[str]) -> None:
+        terms = [self.model.terms(w) for w in words]
+        many = np.array([len(t) for t in terms])
+        first = len(self.at)
+        while first + len(words) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.model.word(word)
-        self[word] = at
-        return at
+        new = np.zeros((len(words), len(self.model.langs)))
+        flat = [t for found in terms for t in found]
+        if flat:
+            has = many > 0
+            starts = np.cumsum(many[has]) - many[has]
+            new[has] = np.add.reduceat(self.model.rates[flat], starts, axis=0) / many[has][:, None]
+        self.rows[first: first + len(words)] = new
+        self.at.update(zip(words, range(first, first + len(words)), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
         if not words or not self.model.langs:
             return "und", 0.0
-        if len(self) > CACHE:
-            self.clear()
+        if len(self.at) > CACHE:
+            self.at.clear()
         total = self.model.prior.copy()
-        for at in range(0, len(words), 1 << 16):
-            rows = [self[w] for w in words[at: at + (1 << 16)]]
+        for start in range(0, len(words), 1 << 16):
+            part = words[start: start + (1 << 16)]
+            rows = list(map(self.at.get, part))
+            if None in rows:
+                self.learn(list(dict.fromkeys(w for w, r in zip(part, rows, strict=True) if r is None)))
+                rows = list(map(self.at.get, part))
             total += self.rows[rows].sum(axis=0)
         share = np.exp(total - total.max())
         best = int(total.argmax())
         return self.model.langs[best], float(share[best] / share.sum())
 
 
-def _log_rates(rows: list, langs: list[str], totals: dict[str, int]) -> dict[str, np.ndarray]:
-    at = {lang: i for i, lang in enumerate(langs)}
-    size = len({r.term for r in rows}) + 1
-    base = np.array([math.log(SMOOTH / (totals.get(lang, 0) + SMOOTH * size)) for lang in langs])
-    table: dict[str, np.ndarray] = {}
+def _log_rates(rows: list, langs: list[str], totals: dict[str, int]) -> tuple[list[str], np.ndarray]:
+    """Terms and their smoothed log frequencies by language."""
+    terms = list(dict.fromkeys(r.term for r in rows))
+    row, column = {t: i for i, t in enumerate(terms)}, {lang: i for i, lang in enumerate(langs)}
+    times = np.full((len(terms), len(langs)), SMOOTH)
     for r in rows:
-        row = table.setdefault(r.term, base.copy())
-        row[at[r.lang]] = math.log((r.times + SMOOTH) / (totals[r.lang] + SMOOTH * size))
-    return table
+        times[row[r.term], column[r.lang]] += r.times
+    return terms, np.log(times) - np.log([totals.get(x, 0) + SMOOTH * (len(terms) + 1) for x in langs])
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
@@ -167,7 +180,13 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_w
     shares = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(totals[0])
     prior = np.log(np.array([shares[x] for x in langs], float) / max(1, sum(shares.values()))) if langs else np.zeros(0)
-    return Model(langs, prior, {n: _log_rates(by_n[n], langs, totals[n]) for n in by_n})
+    tables, rates, first = {}, [np.zeros((0, len(langs)))], 0
+    for n, rows_of_n in by_n.items():
+        terms, own = _log_rates(rows_of_n, langs, totals[n])
+        tables[n] = {t: first + i for i, t in enumerate(terms)}
+        rates.append(own)
+        first += len(terms)
+    return Model(langs, prior, tables, np.concatenate(rates))
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text", pred_col: str = "lang_pred",

@@ -14,11 +14,12 @@ def model(spark):
 
 def test_words_first_then_shorter_and_shorter_grams(model):
     assert model.langs == ["de", "en"]
-    assert model.word("the") is model.tables[0]["the"]
+    assert model.terms("the") == [model.tables[0]["the"]]
     for word, n in (("thedog", 4), ("hxxxe", 2), ("qqa", 2), ("0w0", 1)):
         longest = next(k for k in L.GRAMS if any(g in model.tables[k] for g in L.grams(word, k)))
         assert longest == n
-    assert not model.word("жжж").any()
+        assert model.terms(word) == [model.tables[n][g] for g in L.grams(word, n) if g in model.tables[n]]
+    assert model.terms("жжж") == []
 
 
 def test_predictions(spark, model):
@@ -46,7 +47,8 @@ def test_counts_are_those_of_all_rows(spark, monkeypatch):
     parts = L.train(docs, max_words=2)
     assert {w for w in parts.tables[0]} == {"the", "is", "das", "und"} or len(parts.tables[0]) == 4
     for n in L.GRAMS:
-        assert {g: v.tolist() for g, v in whole.tables[n].items()} == {g: v.tolist() for g, v in parts.tables[n].items()}
+        assert {g: whole.rates[i].tolist() for g, i in whole.tables[n].items()} == {
+            g: parts.rates[i].tolist() for g, i in parts.tables[n].items()}
 
 
 def test_held_out_rule(spark):
