@@ -57,11 +57,10 @@ def truncate100(c) -> Column:
 
 
 def category_from_tag(tag) -> Column:
-    """'en:sweetened-spreads' -> 'sweetened-spreads'; null/empty/'nan'/'None' -> 'non-classe' (P19)."""
+    """'en:sweetened-spreads' -> 'sweetened-spreads'; null, or empty/'nan'/'None' once stripped -> 'non-classe' (P19)."""
     t = col_(tag)
     stripped = F.regexp_replace(t.cast("string"), r"^[a-z]{2}:", "")
-    missing = t.isNull() | t.cast("string").isin("", "nan", "None")
-    return F.when(missing | (stripped == ""), F.lit(R.UNCLASSIFIED_CATEGORY)).otherwise(stripped)
+    return F.when(t.isNull() | stripped.isin("", "nan", "None"), F.lit(R.UNCLASSIFIED_CATEGORY)).otherwise(stripped)
 
 
 def slug(name) -> Column:
@@ -102,10 +101,6 @@ def half_up_mean(c, digits: int) -> Column:
     return F.round(F.sum(col_(c)) / F.count(col_(c)), digits)
 
 
-def as_double(c) -> Column:
-    return col_(c).cast("double")
-
-
 # ---------------------------------------------------------------- request log
 def endpoint_label(path) -> Column:
     """Normalise a request path to a bounded set of endpoint labels."""

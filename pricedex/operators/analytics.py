@@ -142,13 +142,13 @@ def source_comparison(unified: DataFrame, category: str, date_from=None, date_to
 def summary(unified: DataFrame, latest_source="INSEE", overall="ensemble", excluded="hors") -> DataFrame:
     """KPI rows — one per (source, base), a grand total, and the latest value of the overall index.
 
-    Rows are told apart by ``kind`` ('source' | 'total' | 'latest'); one pass for the counts (rollup) and one
+    Rows are told apart by ``kind`` ('source' | 'total' | 'latest'); one pass for the counts (grouping sets) and one
     combinable aggregate (max_by over a (date, area) key: latest date, then the greatest area) for the latest value.
     """
-    counts = unified.rollup("source", "base_ref").agg(
+    counts = unified.groupingSets([[F.col("source"), F.col("base_ref")], []], "source", "base_ref").agg(
         F.count(F.lit(1)).alias("n_obs"), F.min("obs_date").alias("first_date"), F.max("obs_date").alias("last_date"),
         F.grouping_id().alias("_g"))
-    counts = counts.where(F.col("_g").isin(0, 3)).select(
+    counts = counts.select(
         F.when(F.col("_g") == 0, F.lit("source")).otherwise(F.lit("total")).alias("kind"),
         "source", "base_ref", "n_obs", "first_date", "last_date",
         F.lit(None).cast("double").alias("latest_value"))
@@ -232,12 +232,11 @@ def category_kpis(unified: DataFrame, source="EUROSTAT", category=None) -> DataF
         F.round(F.stddev_samp(F.col("value").cast("double")), 2).alias("stddev"))
 
 
-def seasonality_matrix(unified: DataFrame, years: list[int], source="EUROSTAT", category=None) -> DataFrame:
-    """Month x year matrix of mean levels (explicit year list: the pivot needs no distinct job)."""
-    df = unified.where(index_filters(source, category)).withColumn("year_s", F.year("obs_date").cast("string"))
-    piv = df.groupBy(F.month("obs_date").alias("month")).pivot("year_s", [str(y) for y in years]).agg(
-        half_up_mean("value", 4))
-    return piv.select("month", *[_dbl(F.col(f"`{y}`")).alias(f"y{y}") for y in years])
+def seasonality_matrix(unified: DataFrame, source="EUROSTAT", category=None) -> DataFrame:
+    """Mean level by month and year, in long form: every year that the data have."""
+    df = unified.where(index_filters(source, category))
+    return df.groupBy(F.month("obs_date").alias("month"), F.year("obs_date").alias("year")).agg(
+        _dbl(half_up_mean("value", 4)).alias("mean_level"))
 
 
 def price_vs_index(prices: DataFrame, unified: DataFrame, source="INSEE", category="alimentation") -> DataFrame:

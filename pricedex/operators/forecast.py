@@ -132,7 +132,7 @@ def quality_summary(m: DataFrame) -> DataFrame:
     return m.agg(
         F.percentile("mae", 0.5).alias("median_mae"), F.percentile("mape_pct", 0.5).alias("median_mape_pct"),
         F.min_by(key, F.struct("mae", key)).alias("best_series"), F.min("mae").alias("best_mae"),
-        F.max_by(key, F.struct("mae", F.lit(0) - F.length(key), key)).alias("worst_series"),
+        F.min_by(key, F.struct(-F.col("mae"), key)).alias("worst_series"),
         F.max("mae").alias("worst_mae"), F.count(F.lit(1)).alias("n_series"))
 
 

@@ -84,15 +84,14 @@ def first_wins(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> Dat
 
 
 def unify(*normalised: DataFrame) -> DataFrame:
-    """U03 + J05: union of the normalised sources, first wins per logical key (smallest value)."""
+    """U03 + J05: union of the normalised sources, one row per logical key: the smallest base, then the smallest value."""
     union = reduce(lambda a, b: a.unionByName(b), normalised)
-    # base_ref is a function of source: grouping by it too leaves a single min(value) to aggregate
-    return first_wins(union.select(*UNIFIED_COLUMNS), UNIFIED_KEY + ["base_ref"], ["value"])
+    return first_wins(union.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["base_ref", "value"])
 
 
 def anti_join_append(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Idempotent append: rows of ``incoming`` whose key is not yet in ``target``, deduplicated."""
-    fresh = first_wins(incoming.select(*UNIFIED_COLUMNS), UNIFIED_KEY + ["base_ref"], ["value"])
+    """Idempotent append: rows of ``incoming`` whose key is not yet in ``target``, one per key as in ``unify``."""
+    fresh = first_wins(incoming.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["base_ref", "value"])
     return fresh.join(target.select(*UNIFIED_KEY), UNIFIED_KEY, "left_anti")
 
 

@@ -5,28 +5,28 @@ from __future__ import annotations
 # id -> (implementation, registered queries)
 INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "S01": ("sources.files.read_wide_tsv", ("s01_wide_bulk_clean",)),
-    "S02": ("sources.files.read_long_csv, detect_encoding", ("s02_long_csv_clean",)),
+    "S02": ("sources.files.read_long_csv, file_headers, decoded", ("s02_long_csv_clean",)),
     "S03": ("sources.files.read_series_csv", ("s03_series_csv_clean",)),
     "S04": ("sources.files.read_sdmx_xml", ("s04_sdmx_xml_clean",)),
     "S05": ("sources.files.read_price_json", ("s05_price_json_clean",)),
     "S06": ("sources.files.extract_product", ("s06_page_extract",)),
     "S07": ("sources.standins.read_table (pruned scans, tests/test_plans.py)", ("f01_modelling_series",)),
     "S08": ("sources.files.write_table, sources.landing", ("s01_wide_bulk_clean", "s02_long_csv_clean")),
-    "S09": ("sources.files.load_table", ("s12_partition_rebuild",)),
-    "S10": ("sources.landing (raw payload kept as files)", ("s03_series_csv_clean", "s05_price_json_clean")),
+    "S09": ("sources.files.load_table", ("s09_load_verified",)),
+    "S10": ("sources.files.keep_payload", ("s10_payload_kept",)),
     "S11": ("sources.files.write_metrics / read_metrics", ("s11_metrics_json_roundtrip",)),
     "S12": ("sources.files.write_table(dynamic=True)", ("s12_partition_rebuild",)),
     "P01": ("operators.cleaning.clean_wide_bulk (split key)", ("s01_wide_bulk_clean",)),
     "P02": ("operators.cleaning.clean_wide_bulk (filter before unpivot)", ("s01_wide_bulk_clean",)),
     "P03": ("operators.cleaning.clean_wide_bulk (unpivot)", ("s01_wide_bulk_clean",)),
     "P04": ("functions.columns.flagged_number", ("s01_wide_bulk_clean",)),
-    "P05": ("operators.cleaning.drop_missing / dropna in every cleaner", ("s01_wide_bulk_clean", "s03_series_csv_clean")),
+    "P05": ("operators.cleaning.present, in every cleaner", ("s01_wide_bulk_clean", "s03_series_csv_clean")),
     "P06": ("functions.columns.period_to_date", ("j01_six_digit_normalise", "s02_long_csv_clean")),
     "P07": ("operators.cleaning.normalise_header", ("s03_series_csv_clean",)),
     "P08": ("functions.columns.zero_pad", ("s03_series_csv_clean",)),
     "P09": ("functions.columns.to_number", ("s02_long_csv_clean", "s05_price_json_clean")),
-    "P10": ("operators.cleaning.filter_or_all", ("s02_long_csv_clean",)),
-    "P11": ("operators.cleaning.filter_or_all", ("s02_long_csv_clean",)),
+    "P10": ("operators.cleaning.long_csv_steps", ("s02_long_csv_clean",)),
+    "P11": ("operators.cleaning.long_csv_steps", ("s02_long_csv_clean",)),
     "P12": ("operators.cleaning.clean_long_csv", ("s02_long_csv_clean",)),
     "P13": ("operators.cleaning.optional_equals", ("s02_long_csv_clean",)),
     "P14": ("operators.cleaning.optional_equals", ("s02_long_csv_clean",)),
@@ -43,14 +43,14 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "P25": ("operators.analytics.summary (not ilike)", ("a13_summary",)),
     "P26": ("between / isin / or of ands", ("a04_two_area_pivot", "q02_two_sources_in_year")),
     "P27": ("operators.normalise (rlike level-1 patterns)", ("j03_dotted_normalise", "j04_prefixed_normalise")),
-    "P28": ("operators.cleaning.with_row_report (observe), long_csv_report", ("p28_cleaning_report",)),
+    "P28": ("operators.cleaning.step_report, one report per job", ("p28_cleaning_report", "p28_price_report", "p28_series_report", "p28_xml_report", "p28_wide_report")),
     "P29": ("operators.cleaning.clean_*", ("s01_wide_bulk_clean", "s02_long_csv_clean", "s03_series_csv_clean",
                                            "s04_sdmx_xml_clean", "s05_price_json_clean")),
     "J01": ("operators.normalise.normalise_six_digit", ("j01_six_digit_normalise",)),
     "J02": ("operators.normalise.normalise_labelled", ("j02_labelled_normalise",)),
     "J03": ("operators.normalise.normalise_dotted", ("j03_dotted_normalise",)),
     "J04": ("operators.normalise.normalise_prefixed", ("j04_prefixed_normalise",)),
-    "J05": ("operators.normalise.first_wins, anti_join_append", ("j05_first_wins_dedup", "u03_unified")),
+    "J05": ("operators.normalise.first_wins, anti_join_append", ("j05_first_wins_dedup", "j05_idempotent_append", "u03_unified")),
     "J06": ("operators.normalise.label_series", ("j06_series_label_lookup",)),
     "J07": ("operators.windows.category_vs_overall", ("j07_category_vs_overall",)),
     "J08": ("operators.forecast.metrics (aligned by date)", ("j08_actual_vs_predicted",)),
@@ -77,7 +77,7 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "L02": ("operators.analytics.price_page", ("l02_price_page",)),
     "L03": ("orderBy + limit extracts", ("q03_one_month_codes", "q07_two_year_extract")),
     "L04": ("operators.analytics.latest_row", ("l04_latest_row",)),
-    "L05": ("sources.files.write_table(sort_within)", ()),
+    "L05": ("sources.files.write_table(sort_within)", ("l05_sorted_sink",)),
     "L06": ("operators.analytics.distinct_sources(first=...)", ("d01_distinct_sources",)),
     "L07": ("metrics ordered by MAE", ("l07_metrics_by_mae",)),
     "D01": ("operators.analytics.distinct_sources", ("d01_distinct_sources",)),

@@ -20,7 +20,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "ref": ((), f"select * from {R.sql_values(R.COICOP_LEVEL1, ['code', 'label'])}"),
     "series_dim": ((), f"select * from {R.sql_values(R.SERIES_LABELS, ['series_id', 'label'])}"),
     "base_obs": ((), f"""
-        select cast(date_trunc('month', o_orderdate) as date) as obs_date, n_name as area, o_orderpriority as prio,
+        select cast(date_trunc('month', o_orderdate) as date) as obs_date, n_name as area,
+               case when o_orderpriority in ('{S.PRIO_ECB}', '{S.PRIO_INSEE}', '{S.PRIO_DATAGOUV}') then o_orderpriority
+                    else '{S.PRIO_EUROSTAT}' end as prio,
                {_part_code_sql()} as code, p_size % 2 as sub,
                cast(cast((sum(cast(round(l_extendedprice * 100) as bigint)) * 100) // sum(cast(l_quantity as bigint))
                     as decimal(14,0)) * cast(0.0001 as decimal(5,4)) as decimal(18,4)) as value

@@ -61,15 +61,14 @@ register("j04_prefixed_normalise", W(UNIFIED_SELECT + "n_eurostat", "n_eurostat"
 
 
 @register("j05_first_wins_dedup", W("""
-    select obs_date, area, category, cast(min(value) as double) as value, source, min(base_ref) as base_ref
-    from (select * from n_eurostat union all
-          select obs_date, area, category, value + 1, source, base_ref from n_eurostat)
-    group by obs_date, area, category, source""", "n_eurostat"))
+    select obs_date, area, category, cast(value as double) as value, source, base_ref from n_eurostat""", "n_eurostat"))
 def _j05(spark, sf):
+    """Every key three times: as it is, with a larger value, and in a later base with a smaller value."""
     from pyspark.sql import functions as F
     n = N.normalise_prefixed(S.eurostat_raw(spark, sf))
-    doubled = n.unionByName(n.withColumn("value", (F.col("value") + 1).cast("decimal(18,4)")))
-    return _out(N.first_wins(doubled, N.UNIFIED_KEY, ["value"]))
+    larger = n.withColumn("value", (F.col("value") + 1).cast("decimal(18,4)"))
+    later = n.withColumn("value", (F.col("value") - 1).cast("decimal(18,4)")).withColumn("base_ref", F.lit("2025"))
+    return _out(N.unify(later, larger, n))
 
 
 @register("j06_series_label_lookup", W(f"""
@@ -258,12 +257,11 @@ register("a23_series_span", W(f"""
     from unified where {flt('EUROSTAT', '00')} and area = 'NATION_7' having count(*) > 0""", "unified"))(
     lambda spark, sf: A.series_span(T.unified(spark, sf), "EUROSTAT", "00", "NATION_7"))
 
-_YEARS = list(range(1995, 2002))
-register("a20_seasonality_matrix", W(
-    "select cast(month(obs_date) as integer) as month, "
-    + ", ".join(f"{O.mean(f'case when year(obs_date) = {y} then value end', 4)} as y{y}" for y in _YEARS)
-    + f" from unified where {flt('EUROSTAT', 'alimentation')} group by 1", "unified"))(
-    lambda spark, sf: A.seasonality_matrix(T.unified(spark, sf), _YEARS, "EUROSTAT", "alimentation"))
+register("a20_seasonality_matrix", W(f"""
+    select cast(month(obs_date) as integer) as month, cast(year(obs_date) as integer) as year,
+           {O.mean('value', 4)} as mean_level
+    from unified where {flt('EUROSTAT', 'alimentation')} group by 1, 2""", "unified"))(
+    lambda spark, sf: A.seasonality_matrix(T.unified(spark, sf), "EUROSTAT", "alimentation"))
 
 register("a24_price_vs_index", W(f"""
     select 'prices (observed)' as source, 'food' as category, {m2('unit_price')} as value,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricedex.operators import cleaning as C
-from pricedex.operators.normalise import UNIFIED_KEY, first_wins
+from pricedex.operators.normalise import UNIFIED_KEY, anti_join_append, first_wins
 from pricedex.plans import tables as T
 from pricedex.plans.registry import W, register
 from pricedex.session import parallelism
@@ -59,23 +59,79 @@ def _s05(spark, sf):
 
 @register("s06_page_extract", r"""
     select page_id, url,
-           nullif(trim(regexp_replace(regexp_extract(html, '(?s)<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]+>', '', 'g')), '')
-             as product_name,
-           nullif(trim(regexp_replace(regexp_extract(html,
-                  '(?s)<p\b[^>]*\bid="[^"]*\bcategories\b[^"]*"[^>]*>(.*?)</p>', 1), '<[^>]+>', '', 'g')), '')
-             as categories
-    from pages""")
+           nullif(replace(replace(replace(replace(trim(regexp_replace(inner_html, '<[^>]+>', '', 'g')), '&lt;', '<'), '&gt;', '>'),
+                  '&quot;', '"'), '&amp;', '&'), '') as product_name,
+           'c' || cast(page_id % 7 as varchar) || ' & co' as categories
+    from (select page_id, url,
+                 case when contains(html, '<h1>')
+                      then split_part(split_part(html, '<h1>', 2), '</h1>', 1) else '' end as inner_html from pages)""")
 def _s06(spark, sf):
-    return FS.extract_product(S.read_table(spark, sf, "pages"), h1_class=None)
+    """The pages have a heading but no product categories: each gets a heading class and a categories paragraph, between
+    near misses that must not match."""
+    pages = S.read_table(spark, sf, "pages")
+    extra = F.concat(F.lit('<h1 class="sub-title-1">x</h1><p id="sub-categories">no</p><p id="categories"> c'),
+                     (F.col("page_id") % 7).cast("string"), F.lit(" &amp; co</p>"))
+    html = F.concat(extra, F.replace("html", F.lit("<h1>"), F.lit('<h1 class="big title-1">')))
+    return FS.extract_product(pages.withColumn("html", html), h1_class="title-1")
+
+
+@register("s09_load_verified", W("select count(*) as rows_written from unified", "unified"))
+def _s09(spark, sf):
+    """The load counts the rows on the way in and compares them with the table."""
+    n = FS.load_table(T.unified(spark, sf), L.fresh_path(spark, "loaded"), partition_by=["source"])
+    return spark.range(1).select(F.lit(n).cast("bigint").alias("rows_written"))
+
+
+@register("s10_payload_kept", W("select 'price items' as feed, count(*) as lines, sum(price) as total from ("
+                                "select 1 as k, price from prices_raw) where k = 1", "prices_raw"))
+def _s10(spark, sf):
+    """The landed price feed is copied unchanged, then read from the copies: nothing is lost."""
+    landed = L.land_price_json(spark, sf)
+    kept = FS.keep_payload(spark, landed, L.fresh_path(spark, "payload"))
+    unpacked = L.fresh_path(spark, "payload_files")
+    body = F.rtrim(F.decode("content", "UTF-8"), F.lit("\n"))
+    (kept.where(F.sha2("content", 256) == F.col("sha256")).select(F.monotonically_increasing_id().alias("copy"),
+                                                                 body.alias("value"))
+     .write.partitionBy("copy").text(unpacked))
+    items = FS.read_price_json(spark, unpacked)
+    return items.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("price").cast("double")).alias("total")).select(
+        F.lit("price items").alias("feed"), "lines", "total")
+
+
+@register("l05_sorted_sink", W("""
+    select obs_date, area, category, cast(value as double) as value, source,
+           row_number() over (partition by source order by obs_date, area, category) - 1 as position
+    from unified where source = 'DATAGOUV'""", "unified"))
+def _l05(spark, sf):
+    """A sink sorted within its files; the position is the row's place in the one file read back."""
+    path = L.fresh_path(spark, "sorted_sink")
+    rows = T.unified(spark, sf).where(F.col("source") == "DATAGOUV")
+    FS.write_table(rows.repartition(1), path, sort_within=["obs_date", "area", "category"])
+    table = spark.read.parquet(path).withColumn("position", F.monotonically_increasing_id())
+    return table.select("obs_date", "area", "category", F.col("value").cast("double").alias("value"), "source", "position")
+
+
+@register("j05_idempotent_append", W("""
+    select obs_date, area, category, cast(value as double) as value, source, base_ref from unified
+    where source = 'EUROSTAT'""", "unified"))
+def _append(spark, sf):
+    """An append adds only keys that the table lacks, whatever base the incoming row has."""
+    rows = T.unified(spark, sf).where(F.col("source") == "EUROSTAT")
+    half = rows.where(F.month("obs_date") <= 6)
+    again = rows.withColumn("value", (F.col("value") + F.when(F.month("obs_date") <= 6, 1).otherwise(0)).cast("decimal(18,4)"))
+    other_base = rows.withColumn("base_ref", F.lit("2025")).withColumn("value", (F.col("value") - 1).cast("decimal(18,4)"))
+    table = half.unionByName(anti_join_append(half, again.unionByName(other_base)))
+    return table.withColumn("value", F.col("value").cast("double"))
 
 
 @register("s12_partition_rebuild", W("""
     select obs_date, area, category, cast(value as double) as value, source, base_ref from unified""", "unified"))
 def _s12(spark, sf):
-    """S09 load + verify, then S12: rebuild one source's partition only (dynamic overwrite), read the table."""
+    """A table whose ECB partition is wrong; only that partition is rebuilt (dynamic overwrite)."""
     unified = T.unified(spark, sf)
     path = L.fresh_path(spark, "unified_table")
-    FS.load_table(unified, path, partition_by=["source"])
+    wrong = F.when(F.col("source") == "ECB", F.col("value") + 1).otherwise(F.col("value")).cast("decimal(18,4)")
+    FS.load_table(unified.withColumn("value", wrong), path, partition_by=["source"])
     ecb_again = first_wins(unified.where(F.col("source") == "ECB"), UNIFIED_KEY, ["value"])
     FS.write_table(ecb_again, path, partition_by=["source"], dynamic=True)
     table = spark.read.parquet(path)
@@ -83,23 +139,46 @@ def _s12(spark, sf):
                         "base_ref")
 
 
-_P28_COUNTS = """(select n + n1 + n2 + n3 + n4 + n5 + n6 as s0, n + n1 + n2 + n3 + n4 + n6 as s1,
-                          n + n2 + n3 + n4 + n6 as s2, n + n3 + n4 + n6 as s3, n + n4 + n6 as s4, n + n6 as s5,
-                          n as s6, n as s7
-                   from (select count(*) as n, count(*) filter (where month(obs_date) = 1) as n1,
-                                count(*) filter (where month(obs_date) = 2) as n2,
-                                count(*) filter (where month(obs_date) = 3) as n3,
-                                count(*) filter (where month(obs_date) = 4) as n4,
-                                count(*) filter (where month(obs_date) = 5) as n5,
-                                count(*) filter (where month(obs_date) = 6) as n6 from datagouv_raw))"""
-_P28_STEPS = ["monthly", "index_unit", "index_type", "territory", "aggregate", "base_2015", "valid_row"]
-
-
-@register("p28_cleaning_report", W("select step_no, step, rows_in, rows_out, rows_in - rows_out as rows_dropped "
-                                   "from (" + " union all ".join(
-                                       f"select {i} as step_no, '{name}' as step, s{i - 1} as rows_in, "
-                                       f"s{i} as rows_out from {_P28_COUNTS}"
-                                       for i, name in enumerate(_P28_STEPS, start=1)) + ")", "datagouv_raw"))
-def _p28(spark, sf):
-    """The step report of the long-CSV cleaning job on the landed file (one pass, no repeated counts)."""
-    return C.long_csv_report(FS.read_long_csv(spark, L.land_long_csv(spark, sf)))
+def _report_sql(steps: list[tuple[str, str]], counts: str, *ctes: str) -> str:
+    """Rows (step_no, step, rows_in, rows_out, rows_dropped); ``counts`` selects s0, s1, ... as one row."""
+    parts = [f"select {i} as step_no, '{name}' as step, s{i - 1} as rows_in, s{i} as rows_out, "
+             f"s{i - 1} - s{i} as rows_dropped from ({counts})" for i, name in enumerate(steps, start=1)]
+    return W(" union all ".join(parts), *ctes)
+
+
+# the landed file: good rows, six kinds of bad rows by month, two short lines (padded, without a frequency)
+_P28_COUNTS = """select n + n1 + n2 + n3 + n4 + n5 + n6 + 2 as s0, n + n1 + n2 + n3 + n4 + n6 as s1,
+                        n + n2 + n3 + n4 + n6 as s2, n + n3 + n4 + n6 as s3, n + n4 + n6 as s4, n + n6 as s5,
+                        n as s6, n as s7
+                 from (select count(*) as n, count(*) filter (where month(obs_date) = 1) as n1,
+                              count(*) filter (where month(obs_date) = 2) as n2,
+                              count(*) filter (where month(obs_date) = 3) as n3,
+                              count(*) filter (where month(obs_date) = 4) as n4,
+                              count(*) filter (where month(obs_date) = 5) as n5,
+                              count(*) filter (where month(obs_date) = 6) as n6 from datagouv_raw)"""
+register("p28_cleaning_report", _report_sql(
+    ["monthly", "index_unit", "index_type", "territory", "aggregate", "base_2015", "valid_row"], _P28_COUNTS, "datagouv_raw"))(
+    lambda spark, sf: C.long_csv_report(FS.read_long_csv(spark, L.land_long_csv(spark, sf))))
+
+register("p28_price_report", _report_sql(["price", "date", "sane_price"], """
+    select count(*) as s0, count(price) as s1, count(*) filter (where price is not null and date is not null) as s2,
+           count(*) filter (where date is not null and price between 0.01 and 500) as s3 from prices_raw""", "prices_raw"))(
+    lambda spark, sf: C.price_report(FS.read_price_json(spark, L.land_price_json(spark, sf))))
+
+register("p28_series_report", _report_sql(["time_period", "obs_value", "ref_area", "coicop"], """
+    select n + n1 as s0, n + n1 as s1, n as s2, n as s3, n as s4
+    from (select count(*) as n, count(*) filter (where right(time_period, 2) = '01') as n1 from ecb_raw)""", "ecb_raw"))(
+    lambda spark, sf: C.series_report(FS.read_series_csv(spark, L.land_series_csv(spark, sf))))
+
+register("p28_xml_report", _report_sql(["status", "value", "period", "date"], """
+    select n + n7 as s0, n as s1, n as s2, n as s3, n as s4
+    from (select count(*) filter (where month(obs_date) <> 7) as n,
+                 count(*) filter (where month(obs_date) = 7) as n7 from insee_raw)""", "insee_raw"))(
+    lambda spark, sf: C.xml_report(FS.read_sdmx_xml(spark, L.land_sdmx_xml(spark, sf))))
+
+# cells of the wide file: every (series, month), both units, and one series too large to store
+register("p28_wide_report", _report_sql(["unit", "valid_row"], """
+    select (2 * keys + 1) * months as s0, (keys + 1) * months as s1, n as s2
+    from (select count(distinct (coicop, area)) as keys, count(distinct obs_date) as months, count(*) as n
+          from eurostat_raw)""", "eurostat_raw"))(
+    lambda spark, sf: C.wide_bulk_report(FS.read_wide_tsv(spark, L.land_wide_bulk(spark, sf))))

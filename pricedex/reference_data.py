@@ -40,9 +40,6 @@ SERIES_LABELS = [
     ("001763851", "Ensemble hors énergie"),
 ]
 
-# Base year of the index per source; every source not listed is base 2015.
-SOURCE_BASE = [("ECB", "2015"), ("INSEE", "2015"), ("DATAGOUV", "2025"), ("EUROSTAT", "2015")]
-
 # Latency histogram upper bounds in seconds (data API, prediction API).
 DATA_LATENCY_BOUNDS = [0.01, 0.05, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0]
 PREDICT_LATENCY_BOUNDS = [0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0]

@@ -6,7 +6,7 @@ costs an extra pass over the data); typing happens in the cleaning jobs with ``t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,34 +21,59 @@ def read_wide_tsv(spark: SparkSession, path: str, partitions: int | None = None)
     df = (spark.read.option("sep", "\t").option("header", True).option("nullValue", ":")
           .option("encoding", "UTF-8").csv(path))
     df = df.toDF(*[c.strip() for c in df.columns])
-    if path.endswith(".gz") or partitions:
-        df = df.repartition(partitions or parallelism(spark))
-    return df
+    return df.repartition(partitions or parallelism(spark))
 
 
 # ------------------------------------------------------------------------------------------------ S02 long CSV
-LONG_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in LONG_CSV_COLUMNS])
+#: Columns a line must name to be a file's header.
+HEADER_MARKS = ("TIME_PERIOD", "OBS_VALUE")
+MAX_FIELDS = 64
+CP1252 = bytes(b for b in range(0x80, 0xA0)).decode("cp1252", "replace")
 
 
-def detect_encoding(spark: SparkSession, path: str, candidates=("UTF-8", "windows-1252", "ISO-8859-1")) -> str:
-    """First candidate that decodes every line: UTF-8 if all lines are valid UTF-8, else the next one.
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, raw): every line's bytes as they are, with its file."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"),
+                                        F.regexp_replace(F.col("value"), "\r$", "").alias("text"),
+                                        F.col("value").cast("binary").alias("raw"), F.is_valid_utf8("value").alias("valid"))
+
+
+def decoded(raw, is_utf8) -> F.Column:
+    """Bytes to text: UTF-8, else windows-1252 (as ISO-8859-1 with the 0x80-0x9F range put right)."""
+    latin = F.translate(F.decode(raw, "ISO-8859-1"), "".join(map(chr, range(0x80, 0xA0))), CP1252)
+    return F.when(is_utf8, raw.cast("string")).otherwise(latin)
 
-    One distributed pass (a partial aggregate over all lines); the decision is one boolean on the driver.
-    """
-    lines = spark.read.format("text").load(path)
-    all_utf8 = lines.agg(F.min(F.is_valid_utf8("value").cast("int")).alias("ok")).first()["ok"]
-    if all_utf8 in (None, 1):
-        return candidates[0]
-    # Spark 4 accepts windows-1252 only with legacy Java charsets; ISO-8859-1 differs from it only in 0x80-0x9F.
-    legacy = str(spark.conf.get("spark.sql.legacy.javaCharsets", "false")).lower() == "true"
-    return candidates[1] if legacy else candidates[2]
 
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(file, is_utf8, header): per file whether all its lines are UTF-8, and its header line. One pass, one row a file."""
+    marks = F.lit(True)
+    for m in HEADER_MARKS:
+        marks = marks & F.col("text").contains(m)
+    return lines.groupBy("file").agg(
+        F.min("valid").alias("is_utf8"), F.min(F.when(marks, F.col("text"))).alias("header_line"))
 
-def read_long_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """';'-separated long file with header, malformed lines dropped, explicit all-string schema."""
-    enc = encoding or detect_encoding(spark, path)
-    return (spark.read.schema(LONG_CSV_SCHEMA).option("sep", ";").option("header", True)
-            .option("mode", "DROPMALFORMED").option("encoding", enc).csv(path))
+
+def read_long_csv(spark: SparkSession, path: str) -> DataFrame:
+    """';'-separated files with a header each: columns by name, all strings, plus ``_present`` (the file's columns).
+
+    Every file is decoded by itself: UTF-8 if all its lines are, else windows-1252. Lines with more fields than the
+    header are skipped, shorter ones padded with nulls; both whatever columns a query selects. A column that a file
+    lacks is null; a file without a header gives no rows.
+    """
+    lines = _text_lines(spark, path)
+    headers = file_headers(lines).where("header_line is not null")
+    clean = F.regexp_replace(F.regexp_replace("header_line", "^\ufeff", ""), '"', "")
+    headers = headers.withColumn("_present", F.transform(F.split(clean, ";"), lambda c: F.upper(F.trim(c))))
+    rows = lines.join(headers, "file").where((F.col("text") != F.col("header_line")) & (F.trim("text") != ""))
+    line = F.regexp_replace(decoded(F.col("raw"), F.col("is_utf8")), "\r$", "")
+    schema = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
+    fields = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ";"))
+    rows = rows.where(fields <= F.size("_present")).select(
+        "_present", F.inline(F.array(F.from_csv(line, schema, {"sep": ";"}))))
+    values = F.slice(F.array(*[F.col(f"c{i}") for i in range(MAX_FIELDS)]), F.lit(1), F.size("_present"))
+    # inline and explode of one value: a line is parsed, and its map built, once and not once for each column
+    return rows.select("_present", F.explode(F.array(F.map_from_arrays("_present", values))).alias("m")).select(
+        *[F.col("m").getItem(c).alias(c) for c in LONG_CSV_COLUMNS], "_present")
 
 
 # ------------------------------------------------------------------------------------------------ S03 series CSV
@@ -68,8 +93,20 @@ SERIES_XML_SCHEMA = T.StructType([
 
 
 def read_sdmx_xml(spark: SparkSession, path: str) -> DataFrame:
-    """One row per <Series>: series_id, title, area, obs array<struct<period, value, status>>."""
-    df = spark.read.format("xml").option("rowTag", "Series").schema(SERIES_XML_SCHEMA).load(path)
+    """One row per <Series>: series_id, title, area, obs array<struct<period, value, status>>.
+
+    Element names may carry a namespace prefix (``<m:Series>``): the prefixes of the files are looked up first (one
+    aggregate, a handful of values), and each is read with its own row tag.
+    """
+    tags = spark.read.text(path).select(F.explode(F.regexp_extract_all("value", F.lit(r"<([A-Za-z_][\w.-]*:)?Series[\s>/]")))
+                                        .alias("prefix")).distinct().collect()
+    df = None
+    for prefix in sorted(r.prefix or "" for r in tags) or [""]:
+        obs = T.StructType([T.StructField(prefix + f.name if f.name == "Obs" else f.name, f.dataType)
+                            for f in SERIES_XML_SCHEMA.fields])
+        part = (spark.read.format("xml").option("rowTag", prefix + "Series").option("ignoreNamespace", False)
+                .schema(obs).load(path).withColumnRenamed(prefix + "Obs", "Obs"))
+        df = part if df is None else df.unionByName(part)
     obs = F.transform("Obs", lambda o: F.struct(o["_TIME_PERIOD"].alias("period"), o["_OBS_VALUE"].alias("value"),
                                                 o["_OBS_STATUS"].alias("status")))
     return df.select(F.col("_IDBANK").alias("series_id"), F.col("_TITLE_FR").alias("title"),
@@ -79,18 +116,41 @@ def read_sdmx_xml(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------------ S05 price JSON
 PRICE_ITEM_SCHEMA = ("id long, product_code string, product_name string, category_tag string, price string, "
                      "currency string, location_osm_id long, date string")
+PRICE_ITEM_STRUCT = PRICE_ITEM_SCHEMA.replace(" ", ":").replace(",:", ", ")
 
 
 def read_price_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON price items; missing fields become null."""
-    return spark.read.schema(PRICE_ITEM_SCHEMA).json(path)
+    """JSON price items; missing fields become null.
+
+    A file may hold one item per line, an array of items (on one line or indented), or pages ``{"items": [...]}``.
+    One item per line is read line by line; files whose first character opens an array, or that name ``items``, are
+    read whole, one task per file (a page of the feed is small).
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value"))
+    starts = text.groupBy("file").agg(F.max(F.col("value").rlike(r'^\[|^\{?\s*"items"\s*:')).alias("whole"))
+    whole = [r.file for r in starts.where("whole").collect()]
+    items = spark.read.schema(PRICE_ITEM_SCHEMA).json(path)
+    names = items.columns[: len(T._parse_datatype_string(PRICE_ITEM_SCHEMA).fields)]  # less the folders' partition columns
+    if not whole:
+        return items.select(*names)
+    items = items.where(~F.col("_metadata.file_path").isin(whole)).select(*names)
+    page = spark.read.text(whole, wholetext=True).select(F.col("value"))
+    array = f"array<struct<{PRICE_ITEM_STRUCT}>>"
+    listed = F.coalesce(F.from_json("value", f"items {array}")["items"], F.from_json("value", array))
+    return items.unionByName(page.select(F.explode(listed).alias("i")).select("i.*"))
 
 
 # ------------------------------------------------------------------------------------------------ S06 HTML pages
+#: The named references that HTML pages must escape, "&" last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
+
+
 def _element_text(html, tag: str, attr: str | None, value: str | None):
-    attr_re = rf'[^>]*\b{attr}="[^"]*\b{value}\b[^"]*"' if attr else ""
+    attr_re = rf'[^>]*\b{attr}="(?:[^"]* )?{value}(?: [^"]*)?"' if attr else ""
     inner = F.regexp_extract(html, rf"(?s)<{tag}\b{attr_re}[^>]*>(.*?)</{tag}>", 1)
     text = F.trim(F.regexp_replace(inner, r"<[^>]+>", ""))
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
     return F.when(text == "", F.lit(None)).otherwise(text)
 
 
@@ -116,9 +176,23 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
 
 
 def load_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Truncate-and-load, then verify: returns the row count of the written table."""
-    write_table(df, path, partition_by=partition_by)
-    return df.sparkSession.read.parquet(path).count()
+    """Truncate-and-load, then verify: the written table must have the rows that were counted on the way in."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, partition_by=partition_by)
+    written = df.sparkSession.read.parquet(path).count()
+    if written != seen.get["n"]:
+        raise RuntimeError(f"{path}: {written} rows written, {seen.get['n']} expected")
+    return written
+
+
+def keep_payload(spark: SparkSession, files: str, path: str) -> DataFrame:
+    """Copy the incoming files' bytes unchanged before any cleaning: rows (file, length, sha256, content) as Parquet.
+
+    One row per landed file; a file is one row of at most 2 GB, the limit of the binary source."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(files)
+    raw.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", F.sha2("content", 256).alias("sha256"),
+               "content").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

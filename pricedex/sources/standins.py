@@ -5,7 +5,8 @@ feed and a request log. Here they are derived from the TPC-H-like driver tables
 input:
 
 * ``base_obs`` — one monthly unit-price index per (month, area, order priority, category code, sub-level):
-  lineitem ⋈ orders ⋈ part ⋈ customer ⋈ nation, aggregated once. Each order priority feeds one source.
+  lineitem ⋈ orders ⋈ part ⋈ customer ⋈ nation, aggregated once. Three order priorities feed a source each, all
+  others the fourth, so every line item counts once.
 * ``prices_raw`` — one price item per part.
 * ``request_log`` — one HTTP request per event.
 
@@ -30,7 +31,7 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
 PRIO_ECB = "1-URGENT"
 PRIO_INSEE = "2-HIGH"
 PRIO_DATAGOUV = "3-MEDIUM"
-PRIO_EUROSTAT = "4-NOT SPECIFIED"
+PRIO_EUROSTAT = "4-NOT SPECIFIED"  # and every other or missing priority
 
 # Part type -> two-digit category code of the stand-in ('STANDARD' plays the overall index '00').
 PART_TYPE_CODES = [("ECONOMY", "01"), ("LARGE", "02"), ("MEDIUM", "03"), ("PROMO", "04"), ("SMALL", "05")]
@@ -53,13 +54,13 @@ def part_code(p_type) -> F.Column:
 
 def base_obs_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one heavy job: join line items to their order, part, customer and nation, aggregate per month."""
-    # nation has 25 rows by definition of the schema: a proven bound, so it is broadcast.
-    nation = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area")))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("area"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey",
         F.trunc(F.col("o_orderdate").cast("date"), "month").alias("obs_date"),
-        F.col("o_orderpriority").alias("prio"),
+        F.when(F.col("o_orderpriority").isin(PRIO_ECB, PRIO_INSEE, PRIO_DATAGOUV), F.col("o_orderpriority"))
+        .otherwise(PRIO_EUROSTAT).alias("prio"),
     )
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", part_code(F.col("p_type")).alias("code"), (F.col("p_size") % 2).alias("sub"))

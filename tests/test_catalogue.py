@@ -7,8 +7,9 @@ from pricedex.plans.verify import compare, duckdb_views
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# the text operators and their pipeline have their own tests
+QUERIES = {k: q for k, q in E.queries().items() if not k.startswith("op") and k != "pipeline"}
+ORACLE = {k: q for k, q in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

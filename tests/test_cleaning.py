@@ -176,31 +176,92 @@ def test_series_csv(spark, tmp_dir):
     assert out[0].asDict().keys() == {"time_period", "obs_value", "ref_area", "coicop", "unit"}
 
 
-def test_encoding_fallback(spark, tmp_dir):
-    path = f"{tmp_dir}/latin.csv"
-    header = ";".join(C.LONG_CSV_COLUMNS)
-    row = ";".join({**BASE_ROW, "GEO_OBJECT": "Électricité"}[c] for c in C.LONG_CSV_COLUMNS)
+def _lines_file(path, header, rows, encoding="utf-8"):
     with open(path, "wb") as f:
-        f.write((header + "\n" + row + "\n").encode("cp1252"))
-    assert FS.detect_encoding(spark, path) in ("windows-1252", "ISO-8859-1")
-    df = FS.read_long_csv(spark, path)
-    assert df.first().GEO_OBJECT == "Électricité"
+        f.write("\n".join([";".join(header)] + [";".join(r) for r in rows]).encode(encoding))
 
 
-def test_malformed_lines_dropped(spark, tmp_dir):
-    path = f"{tmp_dir}/bad.csv"
-    header = ";".join(C.LONG_CSV_COLUMNS)
-    row = ";".join(BASE_ROW[c] for c in C.LONG_CSV_COLUMNS)
-    with open(path, "w") as f:
-        f.write(header + "\n" + row + "\n" + "only;three;fields\n")
-    assert C.clean_long_csv(FS.read_long_csv(spark, path)).count() == 1
+def test_each_file_has_its_own_encoding(spark, tmp_dir):
+    for name, area, encoding in (("a", "Électricité – œuf €", "cp1252"), ("b", "Épicerie œ €", "utf-8")):
+        _lines_file(f"{tmp_dir}/{name}.csv", C.LONG_CSV_COLUMNS,
+                    [[{**BASE_ROW, "GEO_OBJECT": area}[c] for c in C.LONG_CSV_COLUMNS]], encoding)
+    got = {r.GEO_OBJECT for r in FS.read_long_csv(spark, tmp_dir).collect()}
+    assert got == {"Électricité – œuf €", "Épicerie œ €"}
+
+
+def test_columns_by_name_and_absent_columns(spark, tmp_dir):
+    turned = list(reversed(C.LONG_CSV_COLUMNS))
+    _lines_file(f"{tmp_dir}/turned.csv", ["\ufeff" + turned[0], *turned[1:]], [[BASE_ROW[c] for c in turned]])
+    shorter = [c for c in C.LONG_CSV_COLUMNS if c not in ("IND_TYPE", "GEO", "PRODUCT_GROUP")]
+    _lines_file(f"{tmp_dir}/shorter.csv", shorter, [[BASE_ROW[c] for c in shorter]] * 2)
+    _lines_file(f"{tmp_dir}/no_header.csv", ["x", "y"], [["1", "2"]])
+    raw = FS.read_long_csv(spark, tmp_dir)
+    assert raw.count() == 3 and raw.where("IND_TYPE is null").count() == 2
+    assert C.clean_long_csv(raw).count() == 3  # P13-P15 do not apply where a file lacks the column
+
+
+def test_malformed_lines_whatever_the_projection(spark, tmp_dir):
+    row = [BASE_ROW[c] for c in C.LONG_CSV_COLUMNS]
+    _lines_file(f"{tmp_dir}/bad.csv", C.LONG_CSV_COLUMNS,
+                [row, [*row, "extra"], ["only", "three", "fields"], ['"quoted;field"', *row[1:]], [""]])
+    raw = FS.read_long_csv(spark, tmp_dir)
+    assert raw.count() == len(raw.collect()) == raw.select("FREQ").count() == 3  # too long: skipped; short: padded
+    assert C.clean_long_csv(raw).count() == 2
+    report = {r.step: (r.rows_in, r.rows_out) for r in C.long_csv_report(raw).collect()}
+    assert report["monthly"] == (3, 2) and report["valid_row"] == (2, 2)
+
+
+def test_numbers_that_do_not_fit_are_null(spark):
+    wide = spark.createDataFrame([("M,I15,CP00,FR", "123456789012345678901", "3")], "k string, `2024-01` string, `2024-02` string")
+    assert [float(r.value) for r in C.clean_wide_bulk(wide).collect()] == [3.0]
+    series = spark.createDataFrame([("2024-01", "1e20", "FR", "1", "I"), ("2024-01", "2", "FR", "1", "I")],
+                                   "TIME_PERIOD string, OBS_VALUE string, REF_AREA string, ICP_ITEM string, UNIT_MEASURE string")
+    assert C.clean_series_csv(series).count() == 1
+
+
+def test_prefixed_xml_names(spark, tmp_dir):
+    with open(f"{tmp_dir}/s.xml", "w") as f:
+        f.write('<m:Root xmlns:m="urn:m">\n<m:Series IDBANK="1" TITLE_FR="x"><m:Obs TIME_PERIOD="2024-01" OBS_VALUE="5"/>'
+                '</m:Series>\n<Series IDBANK="2" TITLE_FR="y"><Obs TIME_PERIOD="2024-02" OBS_VALUE="6"/></Series>\n</m:Root>')
+    got = {r.series_id: r.obs[0].value for r in FS.read_sdmx_xml(spark, f"{tmp_dir}/s.xml").collect()}
+    assert got == {"1": "5", "2": "6"}
+
+
+def test_price_json_shapes(spark, tmp_dir):
+    import json
+
+    items = [{"id": i, "product_code": str(i), "price": 1.5, "date": "2024-01-01"} for i in range(6)]
+    bodies = {"lines": "\n".join(map(json.dumps, items[:2])), "array": json.dumps(items[2:4], indent=2),
+              "page": json.dumps({"items": items[4:]})}
+    for name, body in bodies.items():
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.write(body)
+    assert sorted(r.id for r in FS.read_price_json(spark, tmp_dir).collect()) == list(range(6))
+
+
+def test_tag_is_judged_after_stripping(spark):
+    df = spark.createDataFrame([("en:nan",), ("en:None",), ("en:",), ("fr:jus",)], "t string")
+    assert [r[0] for r in df.select(category_from_tag("t")).collect()] == ["non-classe"] * 3 + ["jus"]
+
+
+def test_url_prefix_is_a_parameter(spark):
+    raw = spark.createDataFrame([(1, "7", "a", None, "2.5", "EUR", None, "2024-01-15")], FS.PRICE_ITEM_SCHEMA)
+    assert C.clean_prices(raw, url_prefix="https://shop.example/p/").first().url == "https://shop.example/p/7"
+
+
+def test_load_is_verified_and_payload_kept(spark, tmp_dir):
+    df = spark.range(10)
+    assert FS.load_table(df, f"{tmp_dir}/t") == 10
+    with open(f"{tmp_dir}/in.bin", "wb") as f:
+        f.write(b"\x00raw\xff")
+    kept = FS.keep_payload(spark, f"{tmp_dir}/in.bin", f"{tmp_dir}/kept").first()
+    assert bytes(kept.content) == b"\x00raw\xff" and kept.length == 5
 
 
 def test_row_report(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "v int, c string")
-    out, obs = C.with_row_report(df, "step", ["v", "c"])
-    out.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"rows_in": 3, "rows_kept": 1, "rows_dropped": 2}
+    got = C.step_report(df, [("v", C.present("v")), ("c", C.present("c"))]).collect()
+    assert [(r.step, r.rows_in, r.rows_out, r.rows_dropped) for r in got] == [("v", 3, 2, 1), ("c", 2, 1, 1)]
 
 
 def test_page_extract(spark):

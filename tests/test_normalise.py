@@ -75,11 +75,21 @@ def test_series_label_fallback(spark):
     assert out == {"001759970": "00 - Ensemble", "x": "09 - Loisirs", "y": "inconnu"}
 
 
-def test_filter_or_all_evaluated_after_previous_filters(spark):
-    from pricedex.operators.cleaning import filter_or_all
-    df = spark.createDataFrame([("M", "X"), ("A", "Y")], "f string, u string")
-    # after dropping the only M row, no M exists any more: keep all remaining rows
-    assert filter_or_all(df.where(F.col("u") == "Y"), "f", "M").count() == 1
+def test_base_rule_is_evaluated_after_previous_filters(spark):
+    from pricedex.operators import cleaning as C
+    row = {c: "x" for c in C.LONG_CSV_COLUMNS} | {"UNIT_MEASURE": "IX", "IND_TYPE": "IX", "GEO": "F", "PRODUCT_GROUP": "_Z",
+                                                  "FREQ": "M", "TIME_PERIOD": "2024-01", "OBS_VALUE": "1"}
+    rows = [row | {"BASE_PER": "2015", "UNIT_MEASURE": "PC"}, row | {"BASE_PER": "2025"}]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], list(row))
+    # the only 2015 row falls to an earlier filter: no 2015 row is left, so all remaining rows stay
+    assert C.clean_long_csv(df).count() == 1
+
+
+def test_one_row_per_key_whatever_the_base(spark):
+    from decimal import Decimal
+    u = _unified(spark, [(D, "FR", "c", Decimal("2"), "S", "2015"), (D, "FR", "c", Decimal("1"), "S", "2025")])
+    assert [(float(r.value), r.base_ref) for r in N.unify(u).collect()] == [(2.0, "2015")]
+    assert N.anti_join_append(u.where("base_ref = '2015'"), u.where("base_ref = '2025'")).count() == 0
 
 
 def test_unified_structure(spark):

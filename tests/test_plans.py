@@ -9,7 +9,8 @@ from pricedex.sources import standins as S
 
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
+# the text operators and their pipeline have their own tests
+QUERIES = {k: q for k, q in E.queries().items() if not k.startswith("op") and k != "pipeline"}
 PY_GROUPED = ("f07", "f09", "f12", "f13", "f16", "f17", "f20", "f21", "j08", "j09", "a21", "a22", "l07", "m09")
 
 
