@@ -62,24 +62,30 @@ def plain_messages(messages: DataFrame) -> DataFrame:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of the calls that some order can reach; dependencies come at lower levels."""
+    """(conv_id, call_id, level) of the calls that some order can reach; dependencies come at lower levels.
+
+    Each round drops the dependencies on calls that wait for nothing themselves: a call's level is the number of rounds
+    it still waits in. A round that drops none has only cycles left, and what waits for them.
+    """
     known = materialise(calls.where("conv_id is not null").select("conv_id", "call_id").distinct(), "calls")
     needs = calls.select("conv_id", "call_id", F.explode("depends_on").alias("need")).distinct()
-    needs = materialise(needs.join(known.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"]), "needs")
-    waiting = needs.select("conv_id", "call_id").distinct()
-    done = ready = materialise(known.join(waiting, ["conv_id", "call_id"], "left_anti")
-                               .withColumn("level", F.lit(0)), "level")
-    level = 0
-    while True:
-        level += 1
-        released = ready.select("conv_id", F.col("call_id").alias("need"), F.lit(True).alias("met"))
-        needs = materialise(needs.join(released, ["conv_id", "need"], "left_anti"), "needs")
-        waits = needs.select("conv_id", "call_id").distinct()
-        ready = materialise(known.join(done.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
-                            .join(waits, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)), "level")
-        if ready.isEmpty():
-            return done
-        done = done.unionByName(ready)
+    needs = materialise(needs.join(known.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"],
+                                   "left_semi"), "needs")
+    left, rounds = needs.count(), []
+    while left:
+        rounds.append(needs.select("conv_id", "call_id"))
+        waiting = needs.select("conv_id", F.col("call_id").alias("need")).distinct()
+        needs = materialise(needs.join(waiting, ["conv_id", "need"], "left_semi"), "needs")
+        was, left = left, needs.count()
+        if left == was:
+            break
+    waits = known.withColumn("level", F.lit(0))
+    for number, part in enumerate(rounds, start=1):
+        waits = waits.unionByName(part.withColumn("level", F.lit(number)))
+    found = waits.groupBy("conv_id", "call_id").agg(F.max("level").alias("level"))
+    if left:
+        found = found.join(needs.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
+    return found
 
 
 def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -136,7 +142,7 @@ def format_chat(spark: SparkSession, messages: DataFrame, schemas: DataFrame) ->
     """One row per message, call and result: conv_id, turn, at, kind, call_id, level, status, errors, json."""
     calls = materialise(tool_calls(messages), "tool-calls")
     results = tool_results(messages)
-    order = levels(calls)
+    order = materialise(levels(calls), "levels")
     marked, kept = linked(calls, results)
     marked = checked(marked, schemas).join(order, ["conv_id", "call_id"], "left")
     none = F.lit(None)
