@@ -102,18 +102,17 @@ def half_up_mean(c, digits: int) -> Column:
 
 
 # ---------------------------------------------------------------- request log
+API_ENDPOINTS = tuple(label for _, _, label in R.ENDPOINT_RULES)
+
+
 def endpoint_label(path) -> Column:
-    """Normalise a request path to a bounded set of endpoint labels."""
+    """Normalise a request path to an endpoint label (M01); a path that no rule names is its own label."""
     p = col_(path)
-    return (
-        F.when(p == "/api/inflation", F.lit("/api/inflation"))
-        .when(p.startswith("/api/inflation/"), F.lit("/api/inflation/{sub}"))
-        .when(p == "/api/prix-alimentaires", F.lit("/api/prix-alimentaires"))
-        .when(p.startswith("/api/prix-alimentaires/"), F.lit("/api/prix-alimentaires/{sub}"))
-        .when(p.startswith("/api/predict/"), F.lit("/api/predict/{categorie}"))
-        .when(p.startswith("/api/metrics/"), F.lit("/api/metrics/{categorie}"))
-        .otherwise(p)
-    )
+    label = None
+    for kind, value, name in R.ENDPOINT_RULES:
+        hit = (p == value) if kind == "is" else p.startswith(value)
+        label = F.when(hit, F.lit(name)) if label is None else label.when(hit, F.lit(name))
+    return label.otherwise(p)
 
 
 def error_class(status, path) -> Column:

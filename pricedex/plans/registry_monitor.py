@@ -69,10 +69,12 @@ register("m05_latency_quantiles", M05_SQL)(lambda spark, sf: M.latency_quantiles
 register("m05_predict_latency_quantiles", _m05_sql("model"))(
     lambda spark, sf: M.latency_quantiles(_log(spark, sf), api="model"))
 
-register("m06_request_rate", W(f"""
+M06_SQL = W(f"""
     select date_trunc('minute', ts) as window_start, endpoint, count(*) as requests,
            count(*) / {O.dbl(60)} as rate_per_s
-    from enriched group by 1, 2""", "enriched"))(lambda spark, sf: M.request_rate(_log(spark, sf)))
+    from enriched group by 1, 2""", "enriched")
+
+register("m06_request_rate", M06_SQL)(lambda spark, sf: M.request_rate(_log(spark, sf)))
 
 register("m06_request_rate_5m", W(f"""
     select time_bucket(interval 5 minute, ts) as window_start, endpoint, count(*) as requests,
@@ -110,11 +112,11 @@ M11_SQL = W("""
 register("m11_absences", M11_SQL)(lambda spark, sf: M.absences(_log(spark, sf), 5))
 
 # ---------------------------------------------------------------------------------------- streaming twins
-def _event_time(log, watermark="10 minutes"):
+def _event_time(log, watermark=RN.WATERMARK):
     """Event time as a zoned timestamp (watermarks need one), the watermark, then heartbeats dropped (they still
-    advance the watermark)."""
+    advance the watermark: the condition names ``ts``, so that Spark does not filter before the watermark)."""
     return (log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-            .where(F.col("method") != HS.HEARTBEAT_METHOD))
+            .where(F.col("method") != F.when(F.col("ts").isNotNull(), HS.HEARTBEAT_METHOD)))
 
 
 def _ntz(df, *cols):
@@ -122,24 +124,29 @@ def _ntz(df, *cols):
 
 
 def _stream_update(spark, sf, build, keys):
-    path = RN.land_request_log_in_order(spark, sf)
-    return RN.run_update_stream(spark, path, lambda log: build(log, RN.watermark_delay(path)), keys)
+    return RN.run_update_stream(spark, RN.land_request_log_in_order(spark, sf), build, keys)
 
 
 def _stream_append(spark, sf, build):
-    path = RN.land_request_log_in_order(spark, sf)
-    return RN.run_append_stream(spark, path, lambda log: build(log, RN.watermark_delay(path)))
+    return RN.run_append_stream(spark, RN.land_request_log_in_order(spark, sf), build)
+
+
+def _without_heartbeats(log):
+    return log.where(F.col("method") != HS.HEARTBEAT_METHOD)
 
 
 register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: _stream_update(
-    spark, sf, lambda log, wm: M.request_counts(log.where(F.col("method") != HS.HEARTBEAT_METHOD)),
+    spark, sf, lambda log: M.request_counts(_without_heartbeats(log), known_only=True),
     ["method", "endpoint", "status_code"]))
-register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: _stream_update(
-    spark, sf, lambda log, wm: _ntz(M.latency_quantiles(_event_time(log, wm)), "window_start", "window_end"),
-    ["window_start"]))
-register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: _stream_update(
-    spark, sf, lambda log, wm: _ntz(M.error_ratio(_event_time(log, wm)), "window_start"), ["window_start", "api"]))
+register("m04_stream_latency_histogram", _m04_sql())(lambda spark, sf: _stream_update(
+    spark, sf, lambda log: M.latency_histogram(_without_heartbeats(log)), ["api", "le"]))
+register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: _stream_append(
+    spark, sf, lambda log: _ntz(M.latency_quantiles(_event_time(log)), "window_start", "window_end")))
+register("m06_stream_request_rate", M06_SQL)(lambda spark, sf: _stream_append(
+    spark, sf, lambda log: _ntz(M.request_rate(_event_time(log)), "window_start")))
+register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: _stream_append(
+    spark, sf, lambda log: _ntz(M.error_ratio(_event_time(log)), "window_start")))
 register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: _stream_append(
-    spark, sf, lambda log, wm: HS.held_for_stream(log, 3, watermark=wm)))
+    spark, sf, lambda log: HS.held_for_stream(log, 3, watermark=RN.WATERMARK)))
 register("m11_stream_absences", M11_SQL)(lambda spark, sf: _stream_append(
-    spark, sf, lambda log, wm: HS.absences_stream(log, 5, watermark=wm)))
+    spark, sf, lambda log: HS.absences_stream(log, 5, watermark=RN.WATERMARK)))

@@ -44,6 +44,16 @@ SERIES_LABELS = [
 DATA_LATENCY_BOUNDS = [0.01, 0.05, 0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0]
 PREDICT_LATENCY_BOUNDS = [0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0]
 
+# Request path -> endpoint label, first rule that fits.
+ENDPOINT_RULES = [
+    ("is", "/api/inflation", "/api/inflation"),
+    ("in", "/api/inflation/", "/api/inflation/{sub}"),
+    ("is", "/api/prix-alimentaires", "/api/prix-alimentaires"),
+    ("in", "/api/prix-alimentaires/", "/api/prix-alimentaires/{sub}"),
+    ("in", "/api/predict/", "/api/predict/{categorie}"),
+    ("in", "/api/metrics/", "/api/metrics/{categorie}"),
+]
+
 # Budgets (euros per month) of the inflation-in-euros table.
 BUDGETS = [300, 500, 800, 1200, 2000]
 

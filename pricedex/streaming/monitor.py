@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricedex import reference_data as R
-from pricedex.functions.columns import endpoint_label, error_class
+from pricedex.functions.columns import API_ENDPOINTS, endpoint_label, error_class
 
 SERVER_ERROR = "server_error"
 
@@ -37,9 +37,17 @@ def enrich(log: DataFrame) -> DataFrame:
         "status_code": F.col("status").cast("string")})
 
 
-def request_counts(log: DataFrame) -> DataFrame:
-    """M03."""
-    return enrich(log).groupBy("method", "endpoint", "status_code").agg(F.count(F.lit(1)).alias("requests"))
+#: Labels of paths that are no pattern; a stream counts every other one as ``other``, so that its state is bounded.
+PLAIN_ENDPOINTS = ("/", "/health", "/metrics", "/docs", "/openapi.json")
+
+
+def request_counts(log: DataFrame, known_only: bool = False) -> DataFrame:
+    """M03. ``known_only`` (streams) keeps the labels to a fixed set: unknown paths count as ``other``."""
+    e = enrich(log)
+    if known_only:
+        known = F.col("endpoint").isin(*API_ENDPOINTS, *PLAIN_ENDPOINTS)
+        e = e.withColumn("endpoint", F.when(known, F.col("endpoint")).otherwise("other"))
+    return e.groupBy("method", "endpoint", "status_code").agg(F.count(F.lit(1)).alias("requests"))
 
 
 def latency_observed(log: DataFrame) -> DataFrame:
@@ -54,19 +62,29 @@ def _bucket_counts(bounds) -> list[Column]:
 
 
 def latency_histogram(log: DataFrame) -> DataFrame:
-    """Cumulative bucket counts per service (long form: le, count; '+Inf' = all)."""
-    out = None
+    """Cumulative bucket counts per service (long form: le, count; '+Inf' = all), from one pass over the log.
+
+    Counts of both services' bounds are taken together per service (two rows), then each keeps its own bounds."""
+    every = sorted({*R.DATA_LATENCY_BOUNDS, *R.PREDICT_LATENCY_BOUNDS})
+    agg = latency_observed(log).groupBy("api").agg(*_bucket_counts(every), F.count(F.lit(1)).alias("le_inf"))
+    rows = []
     for api, bounds in (("data", R.DATA_LATENCY_BOUNDS), ("model", R.PREDICT_LATENCY_BOUNDS)):
-        agg = latency_observed(log).where(F.col("api") == api).agg(
-            *_bucket_counts(bounds), F.count(F.lit(1)).alias("le_inf"))
-        cols = [f"le_{i}" for i in range(len(bounds))] + ["le_inf"]
-        names = [repr(float(b)) for b in bounds] + ["+Inf"]
-        long = agg.select(F.lit(api).alias("api"), F.explode(F.arrays_zip(
-            F.array(*[F.lit(n) for n in names]).alias("le"),
-            F.array(*[F.col(c) for c in cols]).alias("cumulative_count"))).alias("z")).select(
-            "api", "z.le", "z.cumulative_count")
-        out = long if out is None else out.unionByName(long)
-    return out
+        rows += [F.struct(F.lit(api).alias("of"), F.lit(repr(float(b))).alias("le"),
+                          F.col(f"le_{every.index(b)}").alias("cumulative_count")) for b in bounds]
+        rows.append(F.struct(F.lit(api).alias("of"), F.lit("+Inf").alias("le"), F.col("le_inf").alias("cumulative_count")))
+    return agg.select("api", F.inline(F.array(*rows))).where("api = of").drop("of")
+
+
+def per_minute(log: DataFrame, *keys: str, **counts: Column) -> DataFrame:
+    """Counts per minute (window ``m``) and key: what the sliding windows are summed from, so that a request is not
+    expanded into its windows before it is counted."""
+    return log.groupBy(F.window("ts", "1 minute").alias("m"), *keys).agg(*[c.alias(n) for n, c in counts.items()])
+
+
+def sliding(minutes: DataFrame, window: str, slide: str, keys: list[str], sums: list[str]) -> DataFrame:
+    """Sums of per-minute counts over sliding windows (``w``) of whole minutes."""
+    return minutes.groupBy(F.window(F.window_time("m"), window, slide).alias("w"), *keys).agg(
+        *[F.sum(c).alias(c) for c in sums])
 
 
 def histogram_quantile(q: float, counts: list[Column], total: Column, bounds) -> Column:
@@ -85,13 +103,13 @@ def histogram_quantile(q: float, counts: list[Column], total: Column, bounds) ->
 
 def latency_quantiles(log: DataFrame, window="5 minutes", slide="1 minute", api="data",
                       quantiles=(0.5, 0.95, 0.99), watermark: str | None = None) -> DataFrame:
-    """p50/p95/p99 per sliding window from bucket counts."""
+    """p50/p95/p99 per sliding window from bucket counts, counted per minute first."""
     bounds = R.DATA_LATENCY_BOUNDS if api == "data" else R.PREDICT_LATENCY_BOUNDS
     df = latency_observed(log).where(F.col("api") == api)
     if watermark:
         df = df.withWatermark("ts", watermark)
-    agg = df.groupBy(F.window("ts", window, slide).alias("w")).agg(
-        *_bucket_counts(bounds), F.count(F.lit(1)).alias("n"))
+    buckets = {f"le_{i}": F.count_if(F.col("latency_s") <= b) for i, b in enumerate(bounds)}
+    agg = sliding(per_minute(df, **buckets, n=F.count(F.lit(1))), window, slide, [], [*buckets, "n"])
     counts = [F.col(f"le_{i}") for i in range(len(bounds))]
     return agg.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n",
@@ -115,8 +133,8 @@ def error_ratio(log: DataFrame, window="5 minutes", slide="1 minute", threshold=
     e = enrich(log)
     if watermark:
         e = e.withWatermark("ts", watermark)
-    agg = e.groupBy(F.window("ts", window, slide).alias("w"), "api").agg(
-        F.count(F.lit(1)).alias("requests"), F.count_if(F.col("error_type") == SERVER_ERROR).alias("server_errors"))
+    minutes = per_minute(e, "api", requests=F.count(F.lit(1)), server_errors=F.count_if(F.col("error_type") == SERVER_ERROR))
+    agg = sliding(minutes, window, slide, ["api"], ["requests", "server_errors"])
     ratio = (F.col("server_errors") / F.lit(300.0)) / ((F.col("requests") / F.lit(300.0)) + F.lit(0.001))
     return agg.select(F.col("w.start").alias("window_start"), "api", "requests", "server_errors",
                       ratio.alias("error_ratio"), (ratio > threshold).alias("alert"))

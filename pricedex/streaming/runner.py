@@ -20,13 +20,16 @@ from pricedex.sources import standins as S
 REQUEST_LOG_SCHEMA = "ts timestamp_ntz, method string, path string, status int, latency_s double, category string"
 
 
+#: How late a request may be. A parameter of every stream, fixed, whatever the span of the data.
+WATERMARK = "10 minutes"
+
 _LANDED: dict[tuple, str] = {}
-_SLICE_MINUTES: dict[str, int] = {}
+_SLICE_FILES: dict[str, int] = {}
 
 
-def watermark_delay(source_path: str) -> str:
-    """Watermark delay covering the disorder of a landed source: one time slice, plus ten minutes."""
-    return f"{_SLICE_MINUTES.get(source_path, 0) + 10} minutes"
+def files_per_trigger(source_path: str) -> int:
+    """Files of one time slice of a landed source: a micro-batch reads one slice, so time never runs back."""
+    return _SLICE_FILES.get(source_path, 3)
 
 
 def _start(spark: SparkSession, writer, state_partitions: int | None):
@@ -53,8 +56,8 @@ def _once(spark: SparkSession, name: str, sf_dir: str, land: Callable[[], str])
 
 
 def run_update_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
-                      key_cols: list[str], max_files: int = 3, state_partitions: int | None = None) -> DataFrame:
-    stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
+                      key_cols: list[str], max_files: int | None = None, state_partitions: int | None = None) -> DataFrame:
+    stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files or files_per_trigger(source_path)).parquet(source_path)
     result = build(stream)
     sink = L.fresh_path(spark, "stream_sink")
     checkpoint = L.fresh_path(spark, "stream_checkpoint")
@@ -85,25 +88,27 @@ def _land_in_order(spark: SparkSession, sf_dir: str, files: int) -> str:
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     lo, hi = log.agg(F.min(micros), F.max(micros)).first()  # one row: the time span
     step = (hi - lo) // files + 1
+    sizes = log.groupBy(F.floor((micros - lo) / step)).count().agg(F.min("count"), F.count("*")).first()
+    # Slices are written one after the other, each as the same number of files, and a micro-batch reads that many:
+    # it sees a whole slice, and the next one starts after it. Small slices are one file, so that none is empty.
+    parts = parallelism(spark) if sizes[1] == files and sizes[0] >= 10_000 else 1
     for i in range(files):
-        # Each slice is written in parallel (many files, any order among them); slices are written one after the
-        # other, so the file source finishes a slice before it starts the next. Rows can only be out of order
-        # within one slice: a watermark delay of one slice span (``watermark_delay``) drops none of them.
-        log.where((micros >= lo + i * step) & (micros < lo + (i + 1) * step)).write.mode("append").parquet(path)
-    _SLICE_MINUTES[path] = -(-step // (60 * 10 ** 6))
+        slice_ = log.where((micros >= lo + i * step) & (micros < lo + (i + 1) * step))
+        slice_.repartition(parts).write.mode("append").parquet(path)
+    _SLICE_FILES[path] = parts
     end = F.timestamp_micros(F.lit(hi + 3600 * 10 ** 6)).cast("timestamp_ntz")
     beats = spark.range(2).select(
         end.alias("ts"), F.lit(HEARTBEAT_METHOD).alias("method"),
-        F.when(F.col("id") == 0, F.lit("/")).otherwise(F.lit("/api/predict")).alias("path"),
+        F.when(F.col("id") == 0, F.lit("/api/heartbeat")).otherwise(F.lit("/api/predict")).alias("path"),
         F.lit(200).alias("status"), F.lit(0.0).alias("latency_s"), F.lit(None).cast("string").alias("category"))
-    beats.write.mode("append").parquet(path)
+    beats.coalesce(1).write.mode("append").parquet(path)
     return path
 
 
 def run_append_stream(spark: SparkSession, source_path: str, build: Callable[[DataFrame], DataFrame],
-                      max_files: int = 3, state_partitions: int | None = None) -> DataFrame:
+                      max_files: int | None = None, state_partitions: int | None = None) -> DataFrame:
     """Append-mode query: every output row is final when emitted; the result is the union of all epochs."""
-    stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source_path)
+    stream = spark.readStream.schema(REQUEST_LOG_SCHEMA).option("maxFilesPerTrigger", max_files or files_per_trigger(source_path)).parquet(source_path)
     result = build(stream)
     sink = L.fresh_path(spark, "stream_sink")
     checkpoint = L.fresh_path(spark, "stream_checkpoint")
