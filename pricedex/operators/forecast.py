@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricedex import reference_data as R
 from pricedex.functions.columns import slug
 from pricedex.operators.forecast_models import MODELS
 
@@ -107,6 +108,28 @@ def forecast(series: DataFrame, cutoff: str = DEFAULT_CUTOFF, horizon: int = 12,
     return rows.groupBy(*SERIES_KEY).applyInPandas(_fit_group(tuple(models)), FORECAST_SCHEMA)
 
 
+def seasonal_naive(series: DataFrame, cutoff: str = DEFAULT_CUTOFF, horizon: int = 12) -> DataFrame:
+    """The baseline every model has to beat, in the rows of ``forecast``: a month is predicted by the same month one
+    year before. Held-out months see training months only; the band is the largest yearly change the series has had
+    before the predicted period. DataFrame operations only."""
+    split = with_split(series, cutoff)
+    before = series.select(*SERIES_KEY, F.add_months("ds", 12).alias("ds"), F.col("y").alias("yhat"), F.col("ds").alias("_from"))
+    future = future_frame(series, horizon).select(*SERIES_KEY, "ds", F.lit(None).cast("double").alias("y"),
+                                                  F.lit("future").alias("fold"))
+    rows = split.select(*SERIES_KEY, "ds", "y", "fold").unionByName(future).join(before, [*SERIES_KEY, "ds"], "left")
+    step = F.abs(F.col("y") - F.col("yhat"))
+    bands = rows.groupBy(*SERIES_KEY).agg(
+        F.max(F.when(F.col("fold") == "train", step)).alias("_eval_band"), F.max(step).alias("_future_band"),
+        F.count_if(F.col("fold") == "train").cast("int").alias("n_train"))
+    honest = (F.col("fold") == "future") | ((F.col("fold") == "eval") & (F.col("_from") < F.lit(cutoff).cast("date")))
+    band = F.coalesce(F.when(F.col("fold") == "eval", F.col("_eval_band")).otherwise(F.col("_future_band")), F.lit(0.0))
+    none = F.lit(None).cast("double")
+    return rows.where(honest & F.col("yhat").isNotNull()).join(bands, SERIES_KEY).select(
+        *SERIES_KEY, F.lit("seasonal_naive").alias("model"), F.col("fold").alias("kind"), "ds", "y", "yhat",
+        (F.col("yhat") - band).alias("yhat_lower"), (F.col("yhat") + band).alias("yhat_upper"),
+        none.alias("trend"), none.alias("yearly"), "n_train")
+
+
 def metrics(fc: DataFrame, by=("source", "area", "category", "model")) -> DataFrame:
     """F09 (+J08: actual and predicted are aligned by date on the same row): MAE, RMSE (4 dp), MAPE % (2 dp, zero
     guard), n_train, n_eval. Rounding is half-even, as in the reference."""
@@ -152,37 +175,41 @@ def reliability(m: DataFrame, threshold: float = 5.0) -> DataFrame:
                     band.alias("band"), (F.col("mae") > threshold).alias("alert"))
 
 
-def total_change(fc: DataFrame) -> DataFrame:
+def total_change(fc: DataFrame, model: str = "additive") -> DataFrame:
     """F16: last minus first predicted value over the future horizon, 4 dp."""
-    f = fc.where((F.col("kind") == "future") & (F.col("model") == "additive"))
+    f = fc.where((F.col("kind") == "future") & (F.col("model") == model))
     return f.groupBy(*SERIES_KEY).agg(
         F.bround(F.max_by("yhat", "ds") - F.min_by("yhat", "ds"), 4).alias("total_change"),
         F.count(F.lit(1)).alias("horizon"))
 
 
-def overlay(series: DataFrame, fc: DataFrame) -> DataFrame:
+def overlay(series: DataFrame, fc: DataFrame, model: str = "additive") -> DataFrame:
     """History, fitted and future on one time axis (full outer join on series and date), with a kind column
     split at each series' last known date."""
-    f = fc.where((F.col("model") == "additive") & F.col("kind").isin("fitted", "future")).select(
+    f = fc.where((F.col("model") == model) & F.col("kind").isin("fitted", "future")).select(
         *SERIES_KEY, "ds", "yhat", "yhat_lower", "yhat_upper")
-    j = series.select(*SERIES_KEY, "ds", "y").join(f, SERIES_KEY + ["ds"], "full_outer")
-    return j.withColumn("kind", F.when(F.col("y").isNotNull(), F.lit("history")).otherwise(F.lit("forecast")))
-
-
-def resolve_category(categories: DataFrame, name: str) -> DataFrame:
-    """exact match first, else a unique prefix; zero -> 'not_found', several -> 'ambiguous'. One aggregate."""
-    c = F.col("category")
-    exact = c == name
-    prefix = c.startswith(name)
-    agg = categories.select("category").distinct().agg(
-        F.max_by(c, exact.cast("int")).alias("_exact_cat"), F.max(exact.cast("int")).alias("_has_exact"),
-        F.count_if(prefix).alias("_n_prefix"), F.max_by(c, prefix.cast("int")).alias("_prefix_cat"))
-    status = (F.when(F.col("_has_exact") == 1, F.lit("exact")).when(F.col("_n_prefix") == 1, F.lit("prefix"))
-              .when(F.col("_n_prefix") > 1, F.lit("ambiguous")).otherwise(F.lit("not_found")))
-    resolved = (F.when(F.col("_has_exact") == 1, F.col("_exact_cat"))
-                .when(F.col("_n_prefix") == 1, F.col("_prefix_cat")))
-    return agg.select(F.lit(name).alias("query"), status.alias("status"), resolved.alias("category"),
-                      F.coalesce(F.col("_n_prefix"), F.lit(0)).alias("n_candidates"))
+    last = series.groupBy(*SERIES_KEY).agg(F.max("ds").alias("_last"))
+    j = series.select(*SERIES_KEY, "ds", "y").join(f, SERIES_KEY + ["ds"], "full_outer").join(last, SERIES_KEY, "left")
+    known = F.coalesce(F.col("ds") <= F.col("_last"), F.lit(False))
+    return j.withColumn("kind", F.when(known, F.lit("history")).otherwise(F.lit("forecast"))).drop("_last")
+
+
+def resolve_categories(categories: DataFrame, names: list[str]) -> DataFrame:
+    """per name an exact match first, else a unique prefix; none -> 'not_found', several -> 'ambiguous'. One scan."""
+    c, query = F.col("category"), F.col("query")
+    pairs = categories.select("category").distinct().select("category", F.explode(F.array(*map(F.lit, names))).alias("query"))
+    exact, prefix = c == query, F.startswith(c, query)
+    found = pairs.groupBy("query").agg(
+        F.max(exact).alias("_exact"), F.count_if(prefix).alias("n_candidates"),
+        F.max(F.when(prefix, c)).alias("_prefix"))
+    asked = R.literal_table(categories.sparkSession, [(n,) for n in names], ["query"])
+    n = F.coalesce(F.col("n_candidates"), F.lit(0))
+    is_exact = F.coalesce(F.col("_exact"), F.lit(False))
+    status = (F.when(is_exact, F.lit("exact")).when(n == 1, F.lit("prefix")).when(n > 1, F.lit("ambiguous"))
+              .otherwise(F.lit("not_found")))
+    category = F.when(is_exact, query).when(n == 1, F.col("_prefix"))
+    return asked.join(found, "query", "left").select("query", status.alias("status"), category.alias("category"),
+                                                     n.alias("n_candidates"))
 
 
 def category_slugs(categories: DataFrame) -> DataFrame:

@@ -10,13 +10,14 @@ from pricedex.functions.columns import half_up_mean, index_filters
 from pricedex.operators.forecast import SERIES_KEY, check_horizon
 
 
-def budget_simulation(series: DataFrame, fc: DataFrame, amount: float, horizon: int) -> DataFrame:
+def budget_simulation(series: DataFrame, fc: DataFrame, amount: float, horizon: int,
+                      model: str = "additive") -> DataFrame:
     """F17 + F18 per series: budget in ``horizon`` months = amount x predicted / current (with the 80 % band),
     the change, the monthly impact rounded first and the cumulative impact over the horizon."""
     check_horizon(horizon)
     current = series.groupBy(*SERIES_KEY).agg(F.max_by("y", "ds").alias("current"),
                                               F.max("ds").alias("current_date"))
-    fut = fc.where((F.col("kind") == "future") & (F.col("model") == "additive"))
+    fut = fc.where((F.col("kind") == "future") & (F.col("model") == model))
     step = F.row_number().over(Window.partitionBy(*SERIES_KEY).orderBy("ds"))  # <= 36 rows per series
     at_h = fut.withColumn("step", step).where(F.col("step") == horizon).select(
         *SERIES_KEY, F.col("ds").alias("target_date"), "yhat", "yhat_lower", "yhat_upper")

@@ -31,7 +31,8 @@ def _fc_all(spark, sf, horizon=12):
     """The forecast output of every model, written once per application (the model store of the reference)."""
     key = (os.path.abspath(sf), SRC, CUTOFF, horizon, ALL_MODELS)
     return materialise(spark, "forecast", key, lambda: FC.forecast(_series(spark, sf), CUTOFF, horizon, ALL_MODELS),
-                       schema=FC.FORECAST_SCHEMA)
+                       partition_by=["model", "kind"], schema=FC.FORECAST_SCHEMA,
+                       columns=[f.split()[0] for f in FC.FORECAST_SCHEMA.split(", ")])
 
 
 def _fc(spark, sf):
@@ -86,11 +87,7 @@ _NAMES = ["00 - Ensemble", "03", "0", "zz"]
     from (select distinct category from unified where source = '{SRC}')""" for n in _NAMES), "unified"))
 def _f14(spark, sf):
     cats = T.unified(spark, sf).where(F.col("source") == SRC).select("category")
-    out = None
-    for n in _NAMES:
-        r = FC.resolve_category(cats, n)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return FC.resolve_categories(cats, _NAMES)
 
 
 register("f15_category_slugs", W(r"""
@@ -149,3 +146,145 @@ def _s11(spark, sf):
     path = fresh_path(spark, "metrics_json")
     FS.write_metrics(m, path)
     return FS.read_metrics(spark, path)
+
+
+# ---------------------------------------------------------------------------- the same data steps on a model SQL can compute
+def _naive(spark, sf):
+    return FC.seasonal_naive(_series(spark, sf), CUTOFF, 12)
+
+
+NAIVE_CTES = f"""
+    s as (select source, area, category, obs_date as ds, cast(value as double) as y from unified where source = '{SRC}'),
+    l as (select source, area, category, max(ds) as last_ds from s group by all),
+    frame as (select *, case when ds < date '{CUTOFF}' then 'train' else 'eval' end as fold from s
+              union all
+              select source, area, category,
+                     cast(unnest(generate_series(last_ds + interval 1 month, last_ds + interval 12 month, interval 1 month)) as date),
+                     null, 'future' from l),
+    r as (select f.*, b.y as yhat, b.ds as from_ds from frame f
+          left join s b on f.source = b.source and f.area = b.area and f.category = b.category
+               and b.ds = cast(f.ds - interval 12 month as date)),
+    b as (select source, area, category, max(abs(y - yhat)) filter (where fold = 'train') as eval_band,
+                 max(abs(y - yhat)) as future_band, cast(count(*) filter (where fold = 'train') as integer) as n_train
+          from r group by all),
+    naive as (select r.source, r.area, r.category, 'seasonal_naive' as model, fold as kind, ds, y, yhat,
+                     yhat - coalesce(case when fold = 'eval' then eval_band else future_band end, 0) as yhat_lower,
+                     yhat + coalesce(case when fold = 'eval' then eval_band else future_band end, 0) as yhat_upper, n_train
+              from r join b on r.source = b.source and r.area = b.area and r.category = b.category
+              where yhat is not null and (fold = 'future' or (fold = 'eval' and from_ds < date '{CUTOFF}'))),
+    m as (select source, area, category, model, round_even(avg(abs(y - yhat)), 4) as mae,
+                 round_even(sqrt(avg((y - yhat) * (y - yhat))), 4) as rmse,
+                 round_even(avg(abs((y - yhat) / case when y <> 0 then y else 1 end)) * 100, 2) as mape_pct,
+                 max(n_train) as n_train, count(*) as n_eval
+          from naive where kind = 'eval' group by source, area, category, model)"""
+
+
+def _with_naive(body: str) -> str:
+    return W("\x00", "unified").replace("\n\x00", "," + NAIVE_CTES + "\n" + body)
+
+
+def _naive_metrics(spark, sf):
+    return FC.metrics(_naive(spark, sf))
+
+
+register("f07_naive_forecast", _with_naive("""
+    select source, area, category, ds as date_pred, round_even(yhat, 4) as yhat, round_even(yhat_lower, 4) as yhat_lower,
+           round_even(yhat_upper, 4) as yhat_upper from naive where kind = 'future'"""))(
+    lambda spark, sf: _naive(spark, sf).where(F.col("kind") == "future").select(
+        *FC.SERIES_KEY, F.col("ds").alias("date_pred"), F.bround("yhat", 4).alias("yhat"),
+        F.bround("yhat_lower", 4).alias("yhat_lower"), F.bround("yhat_upper", 4).alias("yhat_upper")))
+register("f09_naive_metrics", _with_naive("select * from m"))(_naive_metrics)
+register("f12_naive_benchmark", _with_naive("""
+    select *, cast(row_number() over (partition by source, area, category order by mae, model) as integer) as rank from m"""))(
+    lambda spark, sf: FC.benchmark(_naive(spark, sf)))
+register("f16_naive_total_change", _with_naive("""
+    select source, area, category, round_even(arg_max(yhat, ds) - arg_min(yhat, ds), 4) as total_change, count(*) as horizon
+    from naive where kind = 'future' group by all"""))(
+    lambda spark, sf: FC.total_change(_naive(spark, sf), "seasonal_naive"))
+register("f17_naive_budget", _with_naive("""
+    select h.source, h.area, h.category, current_date_ as current_date, ds as target_date, cur as current_index,
+           yhat as predicted_index, round_even(850.0::double * (yhat / cur), 0) as future_budget,
+           round_even(850.0::double * (yhat_lower / cur), 0) as future_budget_min,
+           round_even(850.0::double * (yhat_upper / cur), 0) as future_budget_max,
+           round_even(850.0::double * (yhat / cur), 0) - 850 as delta, (yhat - cur) / cur * 100 as change_pct,
+           round_even(850.0::double * ((yhat - cur) / cur), 0) as monthly_impact,
+           round_even(850.0::double * ((yhat - cur) / cur), 0) * 6 as cumulative_impact
+    from (select *, row_number() over (partition by source, area, category order by ds) as step
+          from naive where kind = 'future') h
+    join (select source, area, category, arg_max(y, ds) as cur, max(ds) as current_date_ from s group by all) c
+      on h.source = c.source and h.area = c.area and h.category = c.category
+    where step = 6"""))(
+    lambda spark, sf: IM.budget_simulation(_series(spark, sf), _naive(spark, sf), 850.0, 6, "seasonal_naive"))
+register("f20_naive_reliability", _with_naive("""
+    select source, area, category, model, mae, case when mae <= 5 then 'ok' else 'unreliable' end as status,
+           case when mae <= 1 then 'excellent' when mae <= 2 then 'good' when mae <= 5 then 'fair' else 'poor' end as band,
+           mae > 5 as alert from m"""))(lambda spark, sf: FC.reliability(_naive_metrics(spark, sf)))
+register("m09_naive_alert", _with_naive("select source, area, category, model, mae from m where mae > 5"))(
+    lambda spark, sf: FC.reliability(_naive_metrics(spark, sf)).where(F.col("alert")).select(*FC.SERIES_KEY, "model", "mae"))
+register("j08_naive_actual_vs_predicted", _with_naive("""
+    select source, area, category, ds, y as actual, yhat as predicted, y - yhat as error from naive where kind = 'eval'"""))(
+    lambda spark, sf: _naive(spark, sf).where(F.col("kind") == "eval").select(
+        *FC.SERIES_KEY, "ds", F.col("y").alias("actual"), F.col("yhat").alias("predicted"),
+        (F.col("y") - F.col("yhat")).alias("error")))
+register("j09_naive_overlay", _with_naive("""
+    select coalesce(s.source, f.source) as source, coalesce(s.area, f.area) as area, coalesce(s.category, f.category) as category,
+           coalesce(s.ds, f.ds) as ds, s.y, f.yhat, f.yhat_lower, f.yhat_upper,
+           case when s.ds is not null then 'history' else 'forecast' end as kind
+    from s full join (select * from naive where kind = 'future') f
+      on s.source = f.source and s.area = f.area and s.category = f.category and s.ds = f.ds"""))(
+    lambda spark, sf: FC.overlay(_series(spark, sf), _naive(spark, sf), "seasonal_naive"))
+register("a21_naive_quality_summary", _with_naive("""
+    select median(mae) as median_mae, median(mape_pct) as median_mape_pct,
+           (select area || ' / ' || category from m order by mae, area || ' / ' || category limit 1) as best_series,
+           min(mae) as best_mae,
+           (select area || ' / ' || category from m order by mae desc, area || ' / ' || category limit 1) as worst_series,
+           max(mae) as worst_mae, count(*) as n_series from m"""))(
+    lambda spark, sf: FC.quality_summary(_naive_metrics(spark, sf)))
+register("a22_naive_quality_mean", _with_naive("""
+    select area, category, mae, rmse, mape_pct from m
+    union all select 'mean', 'mean', round_even(avg(mae), 6), round_even(avg(rmse), 6), round_even(avg(mape_pct), 6) from m"""))(
+    lambda spark, sf: FC.quality_mean(_naive_metrics(spark, sf)).withColumns(
+        {c: F.bround(c, 6) for c in ("mae", "rmse", "mape_pct")}))
+register("l07_naive_metrics_by_mae", _with_naive("""
+    select source, area, category, mae, row_number() over (order by mae, area, category) - 1 as position from m"""))(
+    lambda spark, sf: _naive_metrics(spark, sf).orderBy("mae", "area", "category").coalesce(1).select(
+        *FC.SERIES_KEY, "mae", F.monotonically_increasing_id().alias("position")))
+
+
+@register("s11_naive_metrics_json", _with_naive("""
+    select area || ' / ' || category as category, mae, rmse, mape_pct, cast(n_train as bigint) as n_train, n_eval from m"""))
+def _s11_naive(spark, sf):
+    from pricedex.sources import files as FS
+    from pricedex.sources.landing import fresh_path
+
+    path = fresh_path(spark, "metrics_json")
+    FS.write_metrics(_naive_metrics(spark, sf).select(F.concat_ws(" / ", "area", "category").alias("category"), "mae", "rmse",
+                                                      "mape_pct", "n_train", "n_eval"), path)
+    return FS.read_metrics(spark, path)
+
+
+def _invariants(name: str, kind: str, fold: str, holds) -> None:
+    """Per-row checks of the fitted models: SQL has the rows that must be there, each with ``true``."""
+    expected = {"eval": f"select source, area, category, ds from s where ds >= date '{CUTOFF}'",
+                "fitted": "select source, area, category, ds from s",
+                "future": "select source, area, category, ds from frame where fold = 'future'"}[kind]
+    sql = _with_naive(f"""
+        select e.*, true as holds from ({expected}) e
+        join (select source, area, category, count(*) filter (where fold = 'train') as a, count(*) filter (where fold = 'eval') as b
+              from frame group by all) n
+          on e.source = n.source and e.area = n.area and e.category = n.category where {fold}""")
+    register(name, sql)(lambda spark, sf: _fc(spark, sf).where(F.col("kind") == kind).select(
+        *FC.SERIES_KEY, "ds", holds().alias("holds")))
+
+
+def _band():
+    return (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+
+
+def _parts():
+    return F.abs(F.col("trend") + F.col("yearly") - F.col("yhat")) <= 1e-9 * F.greatest(F.lit(1.0), F.abs("yhat"))
+
+
+_invariants("f03_eval_rows_hold", "eval", "a >= 2 and b >= 1", _band)
+_invariants("f06_future_rows_hold", "future", "a + b >= 2", lambda: _band() & _parts())
+_invariants("f13_fitted_parts_hold", "fitted", "a + b >= 2", _parts)

@@ -99,8 +99,8 @@ def test_horizon_validation(spark):
 
 def test_category_resolution(spark):
     cats = spark.createDataFrame([("00 - Ensemble",), ("01 - Alimentation",), ("02 - Boissons",)], "category string")
-    got = {n: (r.status, r.category) for n in ("00 - Ensemble", "01", "0", "zz")
-           for r in FC.resolve_category(cats, n).collect()}
+    names = ["00 - Ensemble", "01", "0", "zz"]
+    got = {r["query"]: (r.status, r.category) for r in FC.resolve_categories(cats, names).collect()}
     assert got == {"00 - Ensemble": ("exact", "00 - Ensemble"), "01": ("prefix", "01 - Alimentation"),
                    "0": ("ambiguous", None), "zz": ("not_found", None)}
 
@@ -117,3 +117,22 @@ def test_budget_simulation(spark):
     # half-even rounding, as Python's round()
     r2 = IM.budget_simulation(s, fc, amount=100.0, horizon=1).collect()[0]
     assert r2.future_budget == 102.0  # 102.5 -> 102
+
+
+def test_worst_series_tie_goes_to_the_smallest_key(spark):
+    m = spark.createDataFrame([("A", "c", 2.0, 1.0), ("A", "b", 2.0, 1.0), ("A", "a", 1.0, 1.0)],
+                              "area string, category string, mae double, mape_pct double")
+    r = FC.quality_summary(m).first()
+    assert r.worst_series == "A / b" and r.best_series == "A / a"
+
+
+def test_seasonal_naive_is_honest(spark):
+    ds, y = synthetic(72)
+    fc = FC.seasonal_naive(series_df(spark, {("A", "c"): (ds, y), ("B", "short"): (ds[:5], y[:5])}), cutoff="2023-07-01")
+    rows = {(r.area, r.ds): r for r in fc.collect()}
+    value = dict(zip(ds, y))
+    assert {k[0] for k in rows} == {"A"}
+    for (_, d), r in rows.items():
+        assert r.yhat == pytest.approx(value[d.replace(year=d.year - 1)]) and r.yhat_lower <= r.yhat <= r.yhat_upper
+        assert r.kind == ("future" if d > ds[-1] else "eval") and r.n_train == 54
+    assert max(d for _, d in rows if rows["A", d].kind == "eval") == dt.date(2024, 6, 1)  # later ones would see held-out months
