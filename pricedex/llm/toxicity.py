@@ -22,7 +22,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,25 +39,25 @@ MIN_DOCS = 4  # toxic documents that have an entry
 MIN_ODDS = 1.5  # smoothed log-odds of an entry between the classes
 MIN_STRENGTH = 16.0
 FLUSH = 200_000
-CACHE = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
-# Surface patterns of abuse, one voter each.
+# Surface patterns of abuse, one voter each, with a character or word that every match has.
 PATTERNS = (
-    r"\b[A-Z]{3,}(?:\s+[A-Z]{3,}){2,}",  # shouting
-    r"[!?]{3,}",  # runs of marks
-    r"\b[a-zA-Z]+[*@#$]{1,}[a-zA-Z]+\b",  # masked words
-    r"(?i)\b(?:you|u)(?:\s+are|'re|r)?\s+(?:an?\s+|such\s+an?\s+)?\w+\s*(?:!|\bidiot|\bmoron)",  # aimed at a reader
-    r"(?i)\b(?:kill|hurt|hate)\s+(?:you|u|yourself|them)\b",  # threats
-    r"(.)\1{5,}",  # drawn-out letters
+    (r"\b[A-Z]{3,}(?:\s+[A-Z]{3,}){2,}", ()),  # shouting
+    (r"[!?]{3,}", ("!!", "??", "!?", "?!")),  # runs of marks
+    (r"\b[a-zA-Z]+[*@#$]{1,}[a-zA-Z]+\b", ("*", "@", "#", "$")),  # masked words
+    (r"\b(?:you|u)(?:\s+are|'re|r)?\s+(?:an?\s+|such\s+an?\s+)?\w+\s*(?:!|\bidiot|\bmoron)", ("u ", "u'", "ur ")),
+    (r"\b(?:kill|hurt|hate)\s+(?:you|u|yourself|them)\b", ("kill", "hurt", "hate")),  # threats
+    (r"([a-z])\1{5,}", tuple(c * 6 for c in "abcdefghijklmnopqrstuvwxyz")),  # drawn-out letters
 )
-_PATTERNS = [re.compile(p) for p in PATTERNS]
+_PATTERNS = [(re.compile(p), guard) for p, guard in PATTERNS]
 
 
-def entries(word: str) -> list[str]:
+@lru_cache(maxsize=30_000)
+def entries(word: str) -> tuple[str, ...]:
     """Lexicon entries of a word: itself, its beginnings, its inner 5-grams."""
     out = [f"w:{word}"] + [f"b:{word[:n]}" for n in (3, 4, 5, 6) if len(word) > n]
-    return out + [f"i:{word[i:i + 5]}" for i in range(1, len(word) - 4)]
+    return (*out, *(f"i:{word[i:i + 5]}" for i in range(1, len(word) - 4)))
 
 
 def document_entries(text: str) -> set[str]:
@@ -133,30 +135,40 @@ def deal_voters(lexicon: list[str], groups: int = GROUPS) -> list[list[int]]:
     return [v for g in range(groups) if (v := order[g::groups])]
 
 
+def _letter(c: str) -> bool:
+    """Whether ``WORD`` takes the character; no character is no letter."""
+    return c.isalnum() and not c.isdecimal()
+
+
 class Features:
-    """Numbers of the lexicon entries and patterns that a text has; remembers words up to a bound."""
+    """Numbers of the lexicon entries and patterns that a text has, from one scan of it (Aho-Corasick)."""
 
     def __init__(self, lexicon: list[str]):
-        self.at = {e: i for i, e in enumerate(lexicon)}
+        self.first = len(lexicon)
         self.size = len(lexicon) + len(_PATTERNS)
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def word(self, word: str) -> tuple[int, ...]:
-        hit = self.seen.get(word)
-        if hit is None:
-            if len(self.seen) > CACHE:
-                self.seen.clear()
-            hit = self.seen[word] = tuple(i for e in entries(word) if (i := self.at.get(e)) is not None)
-        return hit
+        self.automaton = ahocorasick.Automaton()
+        by_body: dict[str, list[tuple[int, str]]] = {}
+        for i, entry in enumerate(lexicon):
+            by_body.setdefault(entry[2:], []).append((i, entry[0]))
+        for body, owners in by_body.items():
+            self.automaton.add_word(body, (len(body), owners))
+        if lexicon:
+            self.automaton.make_automaton()
 
     def of(self, text: str) -> list[int]:
+        lower = text.lower()
         found: set[int] = set()
-        for word in set(WORD.findall(text.lower())):
-            hit = self.word(word)
-            if hit:
-                found.update(hit)
-        first = len(self.at)
-        found.update(first + k for k, p in enumerate(_PATTERNS) if p.search(text))
+        if self.first:
+            for end, (n, owners) in self.automaton.iter(lower):
+                inside = end >= n and _letter(lower[end - n])
+                goes_on = _letter(lower[end + 1: end + 2])
+                for i, kind in owners:
+                    if kind == "i" and inside or not inside and goes_on == (kind == "b") and kind != "i":
+                        found.add(i)
+        for k, (pattern, guard) in enumerate(_PATTERNS):
+            body = lower if k >= 3 else text
+            if (not guard or any(g in body for g in guard)) and pattern.search(body):
+                found.add(self.first + k)
         return sorted(found)
 
 

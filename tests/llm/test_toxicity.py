@@ -38,6 +38,15 @@ def test_learns_words_and_beginnings_from_noisy_labels(trained):
         assert (model.score(found.of(text)) >= 0.3) == true
 
 
+def test_scan_finds_the_entries_of_every_word():
+    rng = random.Random(7)
+    for _ in range(200):
+        text = "".join(rng.choice(["abc", "bca", "ab", "cabcab", " ", " ", "_", "é", "1", "\n", "C", "İ"]) for _ in range(40))
+        every = sorted(T.document_entries(text) | T.document_entries("cab abcab bcabca"))
+        found = T.Features(every)
+        assert {every[i] for i in found.of(text) if i < len(every)} == T.document_entries(text)
+
+
 def test_scores_of_odd_rows(spark, trained):
     model = trained[0]
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "zorkel vexnuts quagdrip " * 20_000, 1), (None, "!!!! AAA BBB CCC", 1)],
