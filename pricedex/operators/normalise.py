@@ -85,14 +85,18 @@ def first_wins(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> Dat
 
 def unify(*normalised: DataFrame) -> DataFrame:
     """U03 + J05: union of the normalised sources, one row per logical key: the smallest base, then the smallest value."""
-    union = reduce(lambda a, b: a.unionByName(b), normalised)
-    return first_wins(union.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["base_ref", "value"])
+    return _one_per_key(reduce(lambda a, b: a.unionByName(b), normalised))
+
+
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """The smallest value of each key and base (a hash aggregate that does the reducing), then the smallest base."""
+    reduced = rows.groupBy(*UNIFIED_KEY, "base_ref").agg(F.min("value").alias("value"))
+    return first_wins(reduced.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["base_ref", "value"])
 
 
 def anti_join_append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     """Idempotent append: rows of ``incoming`` whose key is not yet in ``target``, one per key as in ``unify``."""
-    fresh = first_wins(incoming.select(*UNIFIED_COLUMNS), UNIFIED_KEY, ["base_ref", "value"])
-    return fresh.join(target.select(*UNIFIED_KEY), UNIFIED_KEY, "left_anti")
+    return _one_per_key(incoming).join(target.select(*UNIFIED_KEY), UNIFIED_KEY, "left_anti")
 
 
 def label_series(obs: DataFrame, id_col: str = "series_id", title_col: str = "title") -> DataFrame:

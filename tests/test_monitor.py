@@ -45,16 +45,6 @@ def test_alert_held_for_and_absence(spark):
     assert [(g.silent_minutes, g.silent_from) for g in gaps] == [(20, T0 + dt.timedelta(minutes=10))]
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    rows = [(T0 + dt.timedelta(seconds=37 * i), "GET", "/api/inflation" if i % 3 else "/api/predict/02",
-             500 if i % 11 == 0 else 200, (i % 17) / 10.0, None) for i in range(600)]
-    path = str(tmp_path / "log")
-    log_df(spark, rows).repartitionByRange(6, "ts").write.parquet(path)
-    stream = RN.run_update_stream(spark, path, M.error_ratio, ["window_start", "api"], max_files=2)
-    batch = M.error_ratio(spark.read.schema(RN.REQUEST_LOG_SCHEMA).parquet(path))
-    assert sorted(stream.select(*batch.columns).collect()) == sorted(batch.collect())
-
-
 def _ordered_log(spark, tmp_path, rows, slices=3):
     """Land rows in time order (one write per slice) plus one heartbeat per service."""
     from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
@@ -98,3 +88,30 @@ def test_stateful_stream_forms_equal_batch(spark, tmp_path):
     expected_gaps = M.absences(batch, 5)
     assert sorted(gaps.select(*expected_gaps.columns).collect()) == sorted(expected_gaps.collect())
     assert any(g.silent_minutes >= 20 for g in gaps.collect())
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    from pricedex.plans import registry_monitor as RM
+
+    rows = [(T0 + dt.timedelta(seconds=37 * i), "GET", "/api/inflation" if i % 3 else "/api/predict/02",
+             500 if i % 11 == 0 else 200, (i % 17) / 10.0, None) for i in range(600)]
+    path = _ordered_log(spark, tmp_path, rows)
+    for build in (M.error_ratio, M.request_rate):
+        batch = build(_batch_of(spark, path))
+        stream = RN.run_append_stream(spark, path, lambda log, b=build: RM._ntz(b(RM._event_time(log)), "window_start"),
+                                      max_files=1)
+        assert sorted(stream.select(*batch.columns).collect()) == sorted(batch.collect())
+
+
+def test_unknown_paths_of_a_stream_are_one_label(spark):
+    rows = [(T0, "GET", p, 200, 0.1, None) for p in ("/x/1", "/x/2", "/health", "/api/predict/01")]
+    got = {r.endpoint: r.requests for r in M.request_counts(log_df(spark, rows), known_only=True).collect()}
+    assert got == {"other": 2, "/health": 1, "/api/predict/{categorie}": 1}
+
+
+def test_sliding_windows_expand_counts_not_requests(spark):
+    """The window expansion stands above the per-minute aggregate, not above the scan."""
+    for df in (M.error_ratio(log_df(spark, [(T0, "GET", "/api/x", 500, 0.1, None)])),
+               M.latency_quantiles(log_df(spark, [(T0, "GET", "/api/x", 500, 0.1, None)]))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Expand") < plan.index("functions=[partial_count")
