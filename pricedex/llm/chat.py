@@ -5,8 +5,8 @@ Messages are rows (conv_id, turn, role, text). An assistant's text may be JSON `
 and SQL functions only:
 
 * calls and results meet in a hash join by conversation and identifier;
-* calls are ordered by the longest chain of calls they depend on (level 0 depends on none); each round releases the
-  calls whose dependencies all have a level, so there are as many rounds as the longest chain is long;
+* calls are ordered by the longest chain of calls they depend on (level 0 depends on none): chains of single
+  dependencies by pointer doubling, calls with several in rounds;
 * arguments are checked against schema rows (name, field, type, required) through their VARIANT types;
 * each message becomes one JSON object with sorted keys and no white space (VARIANT keeps object keys sorted).
 
@@ -61,31 +61,56 @@ def plain_messages(messages: DataFrame) -> DataFrame:
             .select("conv_id", "turn", "role", "text"))
 
 
+def _jump(single: DataFrame) -> DataFrame:
+    """(conv_id, call_id, to, dist): from calls with one dependency along such calls to the first call of another kind.
+
+    Pointers double their reach each round, so a chain of n calls takes log2(n) rounds. Calls that still point to a
+    call with one dependency after that are on a cycle, or lead into one, and are left out.
+    """
+    hops = materialise(single.withColumn("dist", F.lit(1).cast("long")), "hops")
+    total, reach = hops.count(), 1
+    while True:
+        ahead = hops.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("_to"), F.col("dist").alias("_dist"))
+        hops = materialise(hops.join(ahead, ["conv_id", "to"], "left").select(
+            "conv_id", "call_id", F.coalesce("_to", "to").alias("to"),
+            (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist"), F.col("_to").isNotNull().alias("_moved")), "hops")
+        moved, reach = hops.where("_moved").count(), 2 * reach
+        if not moved or reach > 2 * total:
+            return hops.where("not _moved").drop("_moved")
+        hops = hops.drop("_moved")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of the calls that some order can reach; dependencies come at lower levels.
 
-    Each round drops the dependencies on calls that wait for nothing themselves: a call's level is the number of rounds
-    it still waits in. A round that drops none has only cycles left, and what waits for them.
+    Chains of calls with one dependency each are walked by pointer doubling. Calls with several are released in rounds,
+    once all of theirs have a level: as many rounds as the longest chain of such calls is long.
     """
     known = materialise(calls.where("conv_id is not null").select("conv_id", "call_id").distinct(), "calls")
     needs = calls.select("conv_id", "call_id", F.explode("depends_on").alias("need")).distinct()
     needs = materialise(needs.join(known.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"],
                                    "left_semi"), "needs")
-    left, rounds = needs.count(), []
-    while left:
-        rounds.append(needs.select("conv_id", "call_id"))
-        waiting = needs.select("conv_id", F.col("call_id").alias("need")).distinct()
-        needs = materialise(needs.join(waiting, ["conv_id", "need"], "left_semi"), "needs")
-        was, left = left, needs.count()
-        if left == was:
-            break
-    waits = known.withColumn("level", F.lit(0))
-    for number, part in enumerate(rounds, start=1):
-        waits = waits.unionByName(part.withColumn("level", F.lit(number)))
-    found = waits.groupBy("conv_id", "call_id").agg(F.max("level").alias("level"))
-    if left:
-        found = found.join(needs.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-    return found
+    counts = materialise(needs.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min("need").alias("to")),
+                         "need-counts")
+    done = known.join(counts, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0).cast("long"))
+    hops = _jump(counts.where("n = 1").select("conv_id", "call_id", "to"))
+    several = needs.join(counts.where("n > 1").select("conv_id", "call_id"), ["conv_id", "call_id"], "left_semi")
+    anchors = hops.select("conv_id", F.col("call_id").alias("need"), "to", "dist")
+    waiting = materialise(several.join(anchors, ["conv_id", "need"], "left").select(
+        "conv_id", "call_id", F.coalesce("to", "need").alias("anchor"),
+        (F.coalesce("dist", F.lit(0)) + 1).alias("dist")), "waiting")
+    while not waiting.isEmpty():
+        met = waiting.join(done.select("conv_id", F.col("call_id").alias("anchor"), "level"), ["conv_id", "anchor"], "left")
+        ready = materialise(met.groupBy("conv_id", "call_id").agg(
+            F.count("*").alias("all"), F.count("level").alias("have"), F.max(F.col("level") + F.col("dist")).alias("level"))
+            .where(F.col("all") == F.col("have")).select("conv_id", "call_id", "level"), "ready")
+        if ready.isEmpty():
+            break  # only cycles are left, and what waits for them
+        done = done.unionByName(ready)
+        waiting = materialise(waiting.join(ready, ["conv_id", "call_id"], "left_anti"), "waiting")
+    chained = hops.join(done.withColumnRenamed("call_id", "to"), ["conv_id", "to"]).select(
+        "conv_id", "call_id", (F.col("level") + F.col("dist")).alias("level"))
+    return done.unionByName(chained).withColumn("level", F.col("level").cast("int"))
 
 
 def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:

@@ -63,6 +63,16 @@ def test_levels_against_brute_force(spark):
     assert {(r.conv_id, int(r.call_id)): r.level for r in C.levels(frame).collect()} == level
 
 
+def test_levels_of_chains_and_cycles(spark):
+    need = {str(i): [str(i - 1)] for i in range(1, 40)} | {"0": []}  # a chain
+    need |= {f"c{i}": [f"c{(i + 1) % 5}"] for i in range(5)} | {"in1": ["c0"], "in2": ["in1"], "self": ["self"]}  # cycles
+    need |= {"two": ["39", "7"], "after": ["two"], "three": ["after", "0"], "stuck": ["c1", "0"], "behind": ["stuck"]}
+    rows = [(1, 0, 0, k, "f", "{}", v) for k, v in need.items()]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, at int, call_id string, name string, arguments string, depends_on array<string>")
+    got = {r.call_id: r.level for r in C.levels(frame).collect()}
+    assert got == {**{str(i): i for i in range(40)}, "two": 40, "after": 41, "three": 42}
+
+
 def test_long_and_empty(spark):
     assert run(spark, []) == []
     chain = [(7, i, "assistant", calls(call(str(i), {"q": "y" * 100_000}, after=[str(i - 1)]))) for i in range(3)]
