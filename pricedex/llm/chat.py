@@ -15,7 +15,8 @@ One row comes back per message, call and result, never a whole conversation in o
 Cases: text that is not such JSON, null or empty is a plain message; a call without a result is ``unanswered``, a result
 without a call ``orphan``; of repeated identifiers in a conversation the first call (by turn, then position) is linked,
 the others are ``repeated``; results may repeat and are linked each; dependencies on unknown calls are ignored, calls on
-a cycle, or behind one, have no level; a name without a schema is ``unknown tool``; null conversation ids or turns stay
+a cycle, or behind one, have no level; a call without an identifier is ``no identifier``: it has no level, links to
+nothing and is checked like the others; a name without a schema is ``unknown tool``; null conversation ids or turns stay
 rows of their own and link to nothing; extra columns are ignored.
 """
 
@@ -42,9 +43,9 @@ def _parsed(messages: DataFrame) -> DataFrame:
 
 
 def tool_calls(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, at, call_id, name, arguments, depends_on), one row per call."""
+    """(conv_id, turn, at, call_id, name, arguments, depends_on), one row per call, with or without an identifier."""
     return (_parsed(messages).where(F.size("calls") > 0)
-            .select("conv_id", "turn", F.posexplode("calls").alias("at", "call")).where("call.id is not null")
+            .select("conv_id", "turn", F.posexplode("calls").alias("at", "call"))
             .select("conv_id", "turn", "at", F.col("call.id").alias("call_id"), F.col("call.name").alias("name"),
                     F.col("call.arguments").alias("arguments"), F.col("call.depends_on").alias("depends_on")))
 
@@ -86,7 +87,8 @@ def levels(calls: DataFrame) -> DataFrame:
     Chains of calls with one dependency each are walked by pointer doubling. Calls with several are released in rounds,
     once all of theirs have a level: as many rounds as the longest chain of such calls is long.
     """
-    known = materialise(calls.where("conv_id is not null").select("conv_id", "call_id").distinct(), "calls")
+    calls = calls.where("conv_id is not null and call_id is not null")
+    known = materialise(calls.select("conv_id", "call_id").distinct(), "calls")
     needs = calls.select("conv_id", "call_id", F.explode("depends_on").alias("need")).distinct()
     needs = materialise(needs.join(known.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"],
                                    "left_semi"), "needs")
@@ -168,9 +170,11 @@ def format_chat(spark: SparkSession, messages: DataFrame, schemas: DataFrame) ->
     calls = materialise(tool_calls(messages), "tool-calls")
     results = tool_results(messages)
     order = materialise(levels(calls), "levels")
-    marked, kept = linked(calls, results)
-    marked = checked(marked, schemas).join(order, ["conv_id", "call_id"], "left")
     none = F.lit(None)
+    # calls without an identifier stay out of the joins: all of them would have one key
+    marked, kept = linked(calls.where("call_id is not null"), results)
+    nameless = calls.where("call_id is null").withColumn("status", F.lit("no identifier")).withColumn("level", none.cast("int"))
+    marked = checked(marked.join(order, ["conv_id", "call_id"], "left").unionByName(nameless), schemas)
     arguments = F.coalesce(F.try_parse_json("arguments"), F.to_variant_object(F.struct(F.col("arguments").alias("text"))))
     call_rows = marked.select(
         "conv_id", "turn", "at", F.lit("call").alias("kind"), "call_id", "level", "status", "errors",

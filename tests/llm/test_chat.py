@@ -79,6 +79,30 @@ def test_long_and_empty(spark):
     assert sorted(r.level for r in run(spark, chain)) == [0, 1, 2]
 
 
+def test_calls_without_identifier_stay(spark):
+    rows = [(1, 0, "assistant", calls(call(None, {"q": "x"}, after=["a"]), call("a", {"q": "y"}), call(None, {}))),
+            (2, 0, "assistant", calls(call(None, {"q": "z"}))), (None, None, "assistant", calls(call(None, {"q": "w"}))),
+            (1, 1, "tool", json.dumps({"tool_call_id": "a", "content": "r"}))]
+    got = {(r.conv_id, r.turn, r.at, r.kind): r for r in run(spark, rows)}
+    assert len(got) == 6
+    for key, errors in (((1, 0, 0), []), ((1, 0, 2), ["missing q"]), ((2, 0, 0), []), ((None, None, 0), [])):
+        r = got[*key, "call"]
+        assert (r.call_id, r.level, r.status, r.errors) == (None, None, "no identifier", errors)
+        assert json.loads(r.json)["id"] is None
+    assert (got[1, 0, 1, "call"].level, got[1, 0, 1, "call"].status) == (0, "answered")
+
+
+def test_turns_without_conversation_or_turn_stay(spark):
+    from pricedex.llm.queries import conversations_as_tool_use
+
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (None, 0, "user", "c"), (1, None, "user", "d"),
+                                   (None, None, "assistant", "e")], "conv_id long, turn int, role string, text string")
+    schemas = spark.createDataFrame(SCHEMAS, "name string, fields array<struct<field:string,type:string,required:boolean>>")
+    got = C.format_chat(spark, conversations_as_tool_use(turns), schemas).collect()
+    assert len(got) == 5
+    assert sorted((r.conv_id or 0, r.turn) for r in got if r.status == "no identifier") == [(0, 0), (1, None)]
+
+
 def test_main_path_is_native(spark):
     messages = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     schemas = spark.createDataFrame(SCHEMAS, "name string, fields array<struct<field:string,type:string,required:boolean>>")
