@@ -51,6 +51,29 @@ def test_counts_are_those_of_all_rows(spark, monkeypatch):
             g: parts.rates[i].tolist() for g, i in parts.tables[n].items()}
 
 
+def test_bounds_of_the_broadcast_change_no_score(spark):
+    """Terms beyond the bounds score by their counts in all languages, words and n-grams alike."""
+    train = spark.createDataFrame(ROWS, SCHEMA)
+    texts = [" ".join(t for _, t, *_ in ROWS[:4]), "wasser house", "thedog hausdie qqe 0w0", "hxxxe", "жжж", "water жжж katze katze",
+             "1 2", None, "wasser house"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = L.train(train)
+
+    def scores(model):
+        return {r.doc_id: (r.lang_pred, pytest.approx(r.score, abs=1e-12)) for r in L.predict(spark, docs, model).collect()}
+
+    def by_hand(text):
+        words = L.WORD.findall((text or "").lower())
+        if not words:
+            return "und", 0.0
+        total = whole.prior + sum(whole.rates[rows].mean(axis=0) for w in words if (rows := whole.terms(w)))
+        share = L.np.exp(total - total.max())
+        return whole.langs[int(share.argmax())], float(share.max() / share.sum())
+
+    expected = {i: by_hand(t) for i, t in enumerate(texts)}
+    assert expected == scores(whole) == scores(L.train(train, max_words=1, max_grams=1)) == scores(L.train(train, max_words=3, max_grams=8))
+
+
 def test_held_out_rule(spark):
     import zlib
 
