@@ -35,6 +35,7 @@ MAX_WORDS = 40_000  # broadcast per language
 MAX_GRAMS = 20_000  # broadcast per language and length
 SMOOTH = 0.5
 FLUSH = 200_000  # distinct words a task counts before it passes them on
+TIE_BUCKETS = 4096
 CHUNK = 1 << 16  # words of a text that are looked up together
 
 
@@ -125,6 +126,31 @@ class Model:
         return [column(i) for i in range(len(self.langs))]
 
 
+def _most_frequent(counts: DataFrame, most: Column) -> DataFrame:
+    """The ``most`` most frequent terms of each language and length, without ranking a language's terms in one task.
+
+    Numbers of terms by frequency tell from which frequency on all are taken. Of the terms at the frequency that
+    passes the bound, hash buckets are taken in order as far as they go, the first terms of the last one.
+    """
+    group = ["lang", "n"]
+    by_times = counts.groupBy(*group, "times").agg(F.count("*").alias("here"))
+    so_far = F.sum("here").over(Window.partitionBy(*group).orderBy(F.desc("times")))
+    passes = F.col("so_far") > most
+    cut = by_times.withColumn("so_far", so_far).groupBy(*group).agg(
+        F.max(F.when(passes, F.struct("times", (most - F.col("so_far") + F.col("here")).alias("room")))).alias("cut"))
+    cut = F.broadcast(materialise(cut, "cuts"))  # one row a language and length
+    ranked = counts.join(cut, group)
+    ties = ranked.where("times = cut.times and cut.room > 0").select(
+        *group, "term", "cut.room", F.pmod(F.xxhash64("term"), F.lit(TIE_BUCKETS)).alias("bucket"))
+    before = F.sum("here").over(Window.partitionBy(*group).orderBy("bucket")) - F.col("here")
+    places = ties.groupBy(*group, "room", "bucket").agg(F.count("*").alias("here")).select(
+        *group, "bucket", (F.col("room") - before).alias("places")).where("places > 0")
+    place = F.row_number().over(Window.partitionBy(*group, "bucket").orderBy("term"))
+    ties = ties.join(places, [*group, "bucket"]).withColumn("place", place).where("place <= places")
+    return ranked.where("cut is null or times > cut.times").select(*group, "term").unionByName(
+        ties.select(*group, "term"))
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
           max_grams: int = MAX_GRAMS) -> Model:
     """Learn from the rows' text and language: every row and term counts, the most frequent terms are broadcast."""
@@ -148,9 +174,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_w
     counted = materialise(counts.groupBy("n", "term").agg(F.array(*times).alias("times")), "terms")
     kinds = {r.n: r["count"] for r in counted.groupBy("n").count().collect()}
     base = {n: np.log([own.get(x, 0) + SMOOTH * (kinds.get(n, 0) + 1) for x in langs]) for n, own in totals.items()}
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("times"), "term"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= max(max_words, max_grams))
-    top = top.where(F.col("rank") <= F.when(F.col("n") == 0, max_words).otherwise(max_grams))
+    top = _most_frequent(counts, F.when(F.col("n") == 0, max_words).otherwise(max_grams))
     # at most (max_words + 4 max_grams) rows for each language
     frequent = counted.join(top.select("n", "term"), ["n", "term"], "left_semi").toArrow()
     rates = np.log(np.array(frequent["times"].to_pylist(), float).reshape(-1, len(langs)) + SMOOTH)

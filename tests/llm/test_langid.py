@@ -74,6 +74,26 @@ def test_bounds_of_the_broadcast_change_no_score(spark):
     assert expected == scores(whole) == scores(L.train(train, max_words=1, max_grams=1)) == scores(L.train(train, max_words=3, max_grams=8))
 
 
+def test_most_frequent_terms_are_not_ranked_by_language(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(lang, n, f"t{i}", 1 + i // 10 if i < 40 else 1) for lang in ("de", "en") for n in (0, 1) for i in range(200)]
+    counts = spark.createDataFrame(rows, "lang string, n int, term string, times long")
+    times = {r[:3]: r[3] for r in rows}
+    for words, more in ((25, 7), (10, 60), (200, 500)):
+        top = L._most_frequent(counts, F.when(F.col("n") == 0, words).otherwise(more))
+        got = {}
+        for r in top.collect():
+            got.setdefault((r.lang, r.n), []).append(times[r.lang, r.n, r.term])
+        for (lang, n), found in got.items():
+            every = sorted((t for k, t in times.items() if k[:2] == (lang, n)), reverse=True)
+            assert sorted(found, reverse=True) == every[: words if n == 0 else more]
+        assert len(got) == 4
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert all("term#" not in x.split("windowspecdefinition(")[1].split(" ASC")[0].split(" DESC")[0] or "bucket#" in x
+               for x in plan.splitlines() if "windowspecdefinition(" in x)
+
+
 def test_held_out_rule(spark):
     import zlib
 
