@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricedex.llm.common import _forest, connected_components, materialise
@@ -54,16 +54,22 @@ def fingerprint(text: str | None, words: int, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, fingerprint as a signed long) of all documents."""
+def text_key(text_col: str = "text") -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+
+
+def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                 keyed: bool = False) -> DataFrame:
+    """Rows (doc_id, fingerprint as a signed long) of all documents, ``keyed`` with the text's digest (text_key)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             values = np.array([fingerprint(t, shingle_words) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": values})
+            yield b.drop(columns="text").assign(doc_id=b["doc_id"].astype("Int64"), fp=values)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    key = [text_key(text_col).alias("text_key")] if keyed else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *key)
+    return rows.mapInPandas(run, "doc_id long, " + "text_key binary, " * keyed + "fp long")
 
 
 class VantageTree:
@@ -237,14 +243,19 @@ def near_links(distinct: DataFrame, max_bits: int, bands: int = 4) -> DataFrame:
     return dealt.groupBy("band", "leaf", "tile_a", "tile_b").applyInPandas(_compare(max_bits), "u long, v long")
 
 
+def _named(rows: DataFrame, max_bits: int, low: Column) -> DataFrame:
+    """Distinct fingerprints with their component: fp, low (of the fingerprint's rows), component."""
+    distinct = materialise(rows.groupBy("fp").agg(low.alias("low")), "distinct-fingerprints")
+    linked = connected_components(near_links(distinct, max_bits))
+    return distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
+        "fp", "low", F.coalesce("component", "fp").alias("component"))
+
+
 def components(spark: SparkSession, docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (smallest id reachable, itself included)."""
     rows = materialise(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
-    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    linked = connected_components(near_links(distinct, max_bits))
-    named = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("component"))
+    named = _named(rows, max_bits, F.min("doc_id"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     by_fp = named.join(lowest, "component").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
@@ -255,22 +266,21 @@ def hex_fingerprint(column) -> F.Column:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents (columns doc_id, text and any others) less near-copies: the smallest id of each component stays.
+    """The documents (columns doc_id, text and any others) less near-copies: one row of each component stays.
 
-    Rows without an id cannot be told apart; they stay only where their component has no id at all, one per
-    fingerprint. Repeated rows of an id count once.
+    It is the row with the smallest id (rows without an id come last), then with the smallest digest of the text, so an
+    id that stands on texts of several components may stay once in each. Rows equal in id and text count once.
     """
-    found = components(spark, docs, shingle_words, max_bits)
-    stay = materialise(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                       .groupBy("doc_id").agg(F.count("*").alias("_times")), "kept-ids")
-    key = F.col("doc_id").eqNullSafe(F.col("_id"))
-    ids = stay.select(F.col("doc_id").alias("_id"), "_times")
-    kept = docs.join(ids.where("_times = 1").select("_id"), key, "left_semi")
-    repeated = ids.where("_times > 1").select("_id")
-    if repeated.isEmpty():
-        return kept
-    twice = docs.join(repeated, key, "left_semi")
-    return kept.unionByName(twice.where("doc_id is not null").dropDuplicates(["doc_id"])).unionByName(
-        twice.where("doc_id is null").dropDuplicates(["text"]))
-
-
+    rows = materialise(fingerprints(docs, shingle_words, keyed=True), "fingerprints")
+    alike = rows.groupBy("fp", "doc_id", "text_key").agg(F.count("*").alias("times"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "times")
+    stay = materialise(_named(alike, max_bits, F.min(row)).groupBy("component").agg(F.min("low").alias("row"))
+                       .select(F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"),
+                               F.col("row.times").alias("_times")), "kept-rows")
+    keyed = docs.withColumn("_text_key", text_key())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    kept = keyed.join(stay.where("_times = 1"), same, "left_semi")
+    repeated = stay.where("_times > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_key"]))
+    return kept.drop("_text_key")

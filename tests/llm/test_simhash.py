@@ -110,6 +110,14 @@ def test_keep_one_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id for r in got.collect()), key=str) == sorted([2, 7, 4, 6, None], key=str)
 
 
+def test_keep_one_by_row_and_not_by_id(spark):
+    rows = [(1, "one text of a few words " * 9), (None, "One text of a few words " * 9), (None, "no id and no copy of it anywhere"),
+            (5, "a clean text about the weather"), (5, "quite another one about trains and stations"),
+            (6, "Quite another one about trains and stations"), (5, "a clean text about the weather")]
+    got = S.keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert S.components(spark, docs).count() == 0 and S.keep_one(spark, docs).count() == 0
