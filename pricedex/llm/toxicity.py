@@ -46,7 +46,7 @@ PATTERNS = (
     (r"\b[A-Z]{3,}(?:\s+[A-Z]{3,}){2,}", ()),  # shouting
     (r"[!?]{3,}", ("!!", "??", "!?", "?!")),  # runs of marks
     (r"\b[a-zA-Z]+[*@#$]{1,}[a-zA-Z]+\b", ("*", "@", "#", "$")),  # masked words
-    (r"\b(?:you|u)(?:\s+are|'re|r)?\s+(?:an?\s+|such\s+an?\s+)?\w+\s*(?:!|\bidiot|\bmoron)", ("u ", "u'", "ur ")),
+    (r"\b(?:you|u)(?:\s+are|'re|r)?\s+(?:an?\s+|such\s+an?\s+)?\w+\s*(?:!|\bidiot|\bmoron)", ("!", "idiot", "moron")),
     (r"\b(?:kill|hurt|hate)\s+(?:you|u|yourself|them)\b", ("kill", "hurt", "hate")),  # threats
     (r"([a-z])\1{5,}", tuple(c * 6 for c in "abcdefghijklmnopqrstuvwxyz")),  # drawn-out letters
 )

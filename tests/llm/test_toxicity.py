@@ -49,6 +49,16 @@ def test_scan_finds_the_entries_of_every_word():
         assert {every[i] for i in found.of(text) if i < len(every)} == T.document_entries(text)
 
 
+def test_guards_skip_no_match():
+    import re
+
+    texts = ["you\nidiot", "you\tidiot", "u\nmoron", "you're\nan\tidiot", "you x!", "ur\nfool !", "you!!", "THIS\nIS\tALL LOUD", "f*ck",
+             "what?!?", "hate\nyou", "kill\tthem", "nooooooo", "nothing of the kind"]
+    for text in texts:
+        found = T.Features([]).of(text)
+        assert sorted(found) == [i for i, (p, _) in enumerate(T.PATTERNS) if re.search(p, text)], text
+
+
 def test_scores_of_odd_rows(spark, trained):
     model = trained[0]
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "zorkel vexnuts quagdrip " * 20_000, 1), (None, "!!!! AAA BBB CCC", 1)],
