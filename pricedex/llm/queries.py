@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricedex.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, simhash,
-                          toxicity, warc)
+                          toxicity, warc, whitening)
 from pricedex.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -160,3 +160,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat.format_chat(spark, messages, schemas)
     return found.select("conv_id", "turn", "kind", "call_id", "level", "status",
                         (F.size("errors") == 0).alias("valid"), "json")
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every usable vector; fitted on the distinct quantised vectors."""
+    found = whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=4)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
