@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, simhash,
+from pricedex.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, prefix_trie, simhash,
                           toxicity, warc, whitening)
 from pricedex.llm.common import read_table
 
@@ -167,3 +167,44 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first four whitened components of every usable vector; fitted on the distinct quantised vectors."""
     found = whitening.whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=4)
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+# SQL twin of op12: the CRC-32 of an id bit by bit (a character's code, then eight shifts), turns as (role, text) structs.
+PREFIX_TRIE_SQL = r"""
+    WITH raw AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(
+                            strlen(coalesce(role, '')) || ' ' || coalesce(role, '') || coalesce(text, ''))) - 1 AS position
+                 FROM conversations WHERE conv_id IS NOT NULL),
+    lists AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY position) AS turns FROM raw GROUP BY conv_id),
+    crc AS (SELECT conv_id, xor(list_reduce(
+                list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                    lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0]))),
+                lambda a, op: CASE WHEN op > 0 THEN xor(a, op) ELSE xor(a >> 1, 3988292384 * (a & 1)) END),
+                4294967295::BIGINT) % 4 AS h FROM lists),
+    rebuilt AS (SELECT conv_id, list_concat(coalesce(b.turns, [])[1:h], l.turns[h + 1:]) AS turns
+                FROM lists l JOIN crc USING (conv_id) LEFT JOIN (SELECT conv_id AS base, turns FROM lists) b
+                  ON b.base = conv_id - conv_id % 20),
+    steps AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+    nodes AS (SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+                     coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+              FROM steps GROUP BY 1, 2),
+    words AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(
+                  path[-1].text, '[^\x20\x09-\x0D]+')) END AS own FROM nodes),
+    family AS (SELECT n.depth, n.conv_id, p.conv_id AS parent_conv_id
+               FROM nodes n JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+    children AS (SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM family GROUP BY ALL),
+    sized AS (SELECT w.*, coalesce(n_children, 0) AS n_children FROM words w LEFT JOIN children USING (depth, conv_id)),
+    above AS (SELECT unnest(range(0, depth + 1)) AS depth, path, own, n_children FROM sized),
+    subtrees AS (SELECT depth, path[1:depth] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(own) AS saved
+                 FROM above GROUP BY 1, 2)
+    SELECT s.conv_id, s.depth::BIGINT AS depth, f.parent_conv_id, s.n_convs, s.n_children, t.n_leaves,
+           t.saved::BIGINT AS saved_tokens, sha256(s.ends) AS ends_sha256
+    FROM sized s JOIN subtrees t ON t.depth = s.depth AND t.path = s.path
+    LEFT JOIN family f ON f.depth = s.depth AND f.conv_id = s.conv_id"""
+
+
+@query("op12_conversation_prefix_trie", PREFIX_TRIE_SQL)
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, rebuilt to share the openings of every twentieth."""
+    turns = prefix_trie.positioned_turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_openings(turns))
