@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, prefix_trie, simhash,
-                          toxicity, warc, whitening)
+from pricedex.llm import (chat, decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, pieces, prefix_trie,
+                          simhash, toxicity, warc, whitening)
 from pricedex.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -208,3 +208,16 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     """Every node of the trie of all conversations, rebuilt to share the openings of every twentieth."""
     turns = prefix_trie.positioned_turns(read_table(spark, sf_dir, "conversations"))
     return prefix_trie.trie(*prefix_trie.with_shared_openings(turns))
+
+
+@query("op13_sentencepiece_roundtrip")
+def op13_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text decoded from them; how many of its bytes the pieces' spans cover."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    encoded = pieces.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), path)
+    covered = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda t, w: t + w)
+    found = pieces.decode(encoded.select("doc_id", "ids", covered.alias("covered_bytes")), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "covered_bytes")
