@@ -22,9 +22,9 @@ from __future__ import annotations
 import heapq
 import re
 import struct
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from itertools import pairwise
 
 import numpy as np
@@ -39,9 +39,9 @@ MARK = "▁"
 REPLACEMENT = "�"
 BPE = 2
 
-CACHE = 600_000  # words a worker remembers
-LONG_WORD = 4096  # characters; the memory is emptied after longer words
-SLICE = 1 << 22  # bytes, or ids, of the rows that are handled together
+CACHE = 300_000  # words a worker remembers, and as many from before
+LONG_WORD = 256  # characters; longer words are not remembered
+SLICE = 1 << 19  # bytes, or ids, of the rows that are handled together
 NEVER = 1 << 31  # rank of pairs that do not merge
 
 
@@ -179,6 +179,25 @@ class Normaliser:
         return size, text[at: at + size]
 
 
+class _Memory(dict):
+    """Results of a function of one string. The latest ``CACHE`` are held, and those used again since the ones before."""
+
+    def __init__(self, function: Callable[[str], bytes]):
+        self.function = function
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.function(key)
+        if len(key) <= LONG_WORD:
+            self[key] = value
+            if len(self) >= CACHE:
+                self.before = dict(self)
+                self.clear()
+        return value
+
+
 class Model:
     """A BPE model with byte pieces: ``encode`` and ``decode`` agree with the library's."""
 
@@ -220,7 +239,8 @@ class Model:
             apart = f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n"
         self.words = re.compile(apart, re.DOTALL)
         self.simple = apart.endswith("\n") and spec.dummy_prefix and not spec.charsmap and not spec.remove_extra_spaces
-        self.known: dict[bool, dict[str, bytes]] = {False: {"": b""}, True: {"": b""}}
+        self.symbols = _Memory(self._symbol)
+        self.known = {spaced: _Memory(partial(self._learn, spaced=spaced)) for spaced in (False, True)}
         # decoding
         self.out = [b"" if t in (CONTROL, BYTE) else b" \xe2\x81\x87 " if t == UNKNOWN else p.replace(MARK, " ").encode()
                     for p, t in zip(self.pieces, self.types, strict=True)]
@@ -271,35 +291,26 @@ class Model:
             push(i, after[i])
         return [s for s in symbols if s is not None]
 
+    def _symbol(self, s: str) -> bytes:
+        """A symbol's ids, each followed by its piece's width (two unsigned 32-bit numbers a piece). Of the byte pieces of a
+        character the last has its width and the others none."""
+        found, data = self.merged.get(s), s.encode("utf-8", "surrogatepass")
+        if found is not None:
+            return struct.pack("<II", found, len(data))
+        return b"".join(struct.pack("<II", self.byte_id[b], 0) for b in data)[:-4] + struct.pack("<I", len(data))
+
     def _learn(self, word: str, spaced: bool) -> bytes:
-        """A word's ids, each followed by its piece's width (two unsigned 32-bit numbers a piece). Of the byte pieces of a
-        character the last has its width and the others none. If ``spaced``, a mark is as wide as a space."""
-        out = array("I")
-        for s in self._merge(word):
-            found = self.merged.get(s)
-            if found is not None:
-                out.extend((found, len(s) if s.isascii() else len(s.encode("utf-8", "surrogatepass"))))
-            else:
-                data = s.encode("utf-8", "surrogatepass")
-                for b in data:
-                    out.extend((self.byte_id[b], 0))
-                out[-1] = len(data)
+        """Ids and widths of a word's pieces. If ``spaced``, a mark is as wide as a space."""
+        symbols = self._merge(word)
+        raw = b"".join(map(self.symbols.__getitem__, symbols))
         if spaced and word[:1] == MARK:
-            out[1] -= len(MARK.encode()) - 1
-        return out.tobytes()
+            found, width = struct.unpack_from("<II", raw)
+            raw = struct.pack("<II", found, width - len(MARK.encode()) + 1) + raw[8:]
+        return raw
 
     def _of_words(self, words: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words and the widths of their pieces, in the original if ``spaced``, else in normalised bytes."""
-        known = self.known[spaced]
-        try:
-            raw = b"".join(map(known.__getitem__, words))
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self._learn(w, spaced)
-            raw = b"".join(map(known.__getitem__, words))
-            if len(known) > CACHE or max(map(len, words)) > LONG_WORD:
-                self.known[spaced] = {"": b""}
+        raw = b"".join(map(self.known[spaced].__getitem__, words))
         both = np.frombuffer(raw, "<u4").astype(np.int32).reshape(-1, 2)
         return both[:, 0], both[:, 1]
 
@@ -394,24 +405,29 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded_col: str | None = None) -> DataFrame:
     """Rows (doc_id, ids array<int>, starts array<int>, ends array<int>): pieces with their spans in the text's bytes.
 
-    ``path`` names the model file on every machine.
+    ``path`` names the model file on every machine; ``decoded_col`` adds the text decoded from the ids, by the same tasks.
     """
+    names = ["doc_id", "ids", "starts", "ends"] + [decoded_col] * (decoded_col is not None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for b in batches:
             for part in _slices(b, "text"):
                 found = [m.encode(t) for t in part.column("text").to_pylist()]
-                counts = [len(f[0]) for f in found]
-                offsets = pa.array(np.cumsum([0, *counts]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *lists], ["doc_id", "ids", "starts", "ends"])
+                offsets = pa.array(np.cumsum([0, *(len(f[0]) for f in found)]).astype(np.int32))
+                columns = [part.column("doc_id")]
+                columns += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in zip(*found, strict=True)]
+                if decoded_col is not None:
+                    columns.append(pa.array([m.decode(f[0].tolist()) for f in found], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, starts array<int>, ends array<int>")
+    decoded = f", `{decoded_col}` string" if decoded_col is not None else ""
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, starts array<int>, ends array<int>{decoded}")
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

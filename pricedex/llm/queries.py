@@ -213,11 +213,10 @@ def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("op13_sentencepiece_roundtrip")
 def op13_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document and the text decoded from them; how many of its bytes the pieces' spans cover."""
-    path = tokenizer_path("piece_bpe_32k.model")
-    encoded = pieces.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), path)
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"), decoded_col="decoded")
     covered = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda t, w: t + w)
-    found = pieces.decode(encoded.select("doc_id", "ids", covered.alias("covered_bytes")), path)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
-                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "covered_bytes")
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), covered.alias("covered_bytes"))
