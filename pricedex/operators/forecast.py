@@ -1,21 +1,21 @@
-"""Forecasting as one Spark job over all series.
+"""Forecasting over all series at once.
 
-Spark declares the data work: the modelling series (F01), the temporal split (F02), the future frame (F05), the
-metrics (F09), the ranking (F12) and every join. Python runs only inside ``applyInPandas``, once per series; a
-group is one (source, area, category) series, deduplicated upstream, so its size is bounded by the number of
-months whatever the size of the input.
+Every step is declared in DataFrame operations: the modelling series (F01), the temporal split (F02), the future frame
+(F05), the fits (``additive``, ``monthly``), the metrics (F09), the ranking (F12) and every join. What is gathered per
+(source, area, category) series is bounded by its number of months, whatever the size of the input.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricedex import reference_data as R
 from pricedex.functions.columns import slug
-from pricedex.operators.forecast_models import MODELS
+from pricedex.operators import additive, monthly
+from pricedex.sources.store import written
 
 SERIES_KEY = ["source", "area", "category"]
 DEFAULT_CUTOFF = "2000-09-01"
@@ -49,63 +49,90 @@ def check_horizon(horizon: int) -> None:
         raise ValueError("horizon must be between 1 and 36 months")
 
 
-def _fit_group(models: tuple[str, ...]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        key = pdf.iloc[0][SERIES_KEY].to_dict()
-        hist = pdf[pdf["fold"] != "future"]
-        train, evl, fut = hist[hist["fold"] == "train"], hist[hist["fold"] == "eval"], pdf[pdf["fold"] == "future"]
-        frames = []
-
-        def emit(model, kind, rows, yhat, band, trend=None, yearly=None):
-            frames.append(pd.DataFrame({
-                "model": model, "kind": kind, "ds": rows["ds"].values, "y": rows["y"].values, "yhat": yhat,
-                "yhat_lower": yhat - band, "yhat_upper": yhat + band,
-                "trend": trend if trend is not None else np.nan, "yearly": yearly if yearly is not None else np.nan,
-            }))
-
-        for name in models:
-            cls = MODELS[name]
-            if len(train) >= 2 and len(evl):  # honest hold-out: fit on train only, predict the eval dates
-                m = cls().fit(train["ds"].values, train["y"].values)
-                if name == "additive":
-                    tr, yr = m.predict(evl["ds"].values)
-                    emit(name, "eval", evl, tr + yr, m.band(evl["ds"].values))
-                else:
-                    emit(name, "eval", evl, m.predict(evl["ds"].values), m.band(evl["ds"].values))
-            if len(hist) >= 2 and len(fut):  # production model on all history
-                m = cls().fit(hist["ds"].values, hist["y"].values)
-                if name == "additive":
-                    tr, yr = m.predict(hist["ds"].values)
-                    emit(name, "fitted", hist, tr + yr, m.band(hist["ds"].values), tr, yr)
-                    tr, yr = m.predict(fut["ds"].values)
-                    emit(name, "future", fut, tr + yr, m.band(fut["ds"].values), tr, yr)
-                else:
-                    emit(name, "future", fut, m.predict(fut["ds"].values), m.band(fut["ds"].values))
-        if not frames:  # series too short for any fit: typed empty result
-            return pd.DataFrame({**{c: pd.Series(dtype="object") for c in SERIES_KEY + ["model", "kind", "ds"]},
-                                 **{c: pd.Series(dtype="float64") for c in ["y", "yhat", "yhat_lower", "yhat_upper",
-                                                                            "trend", "yearly"]},
-                                 "n_train": pd.Series(dtype="int32")})
-        out = pd.concat(frames, ignore_index=True)
-        for k, v in key.items():
-            out[k] = v
-        out["n_train"] = len(train)
-        return out[["source", "area", "category", "model", "kind", "ds", "y", "yhat", "yhat_lower", "yhat_upper",
-                    "trend", "yearly", "n_train"]]
-    return fn
+FIT_KEY = [*SERIES_KEY, "fit"]
+MODELS = ("additive", "holt_winters", "arima_2_1_2")
+
+
+def observations(series: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
+    """What each fit learns from, and the rows it predicts.
+
+    Fit ``eval`` sees the months before the cutoff and predicts those from it on (two months to learn from and one to
+    predict at least); fit ``prod`` sees all months (at least two). Observations: FIT_KEY, ds, t (day number), q (value in
+    units of the fourth decimal). Rows: FIT_KEY, kind, ds, y, n_train.
+    """
+    split = with_split(series, cutoff)
+    train = F.col("fold") == "train"
+    n = split.groupBy(*SERIES_KEY).agg(F.count_if(train).cast("int").alias("n_train"), F.count("*").alias("n"))
+    rows = written(split.join(n, SERIES_KEY), "split-series")
+    honest = (F.col("n_train") >= 2) & (F.col("n") > F.col("n_train"))
+    both = (F.col("n") >= 2)
+    fits = F.array_compact(F.array(F.when(train & honest, F.lit("eval")), F.when(both, F.lit("prod"))))
+    q = F.round(F.col("y") * additive.UNITS).cast("long")
+    obs = rows.withColumn("fit", F.explode(fits)).select(*FIT_KEY, "ds", F.unix_date("ds").alias("t"), q.alias("q"))
+    kinds = F.array_compact(F.array(F.when(~train & honest, F.struct(F.lit("eval").alias("fit"), F.lit("eval").alias("kind"))),
+                                    F.when(both, F.struct(F.lit("prod").alias("fit"), F.lit("fitted").alias("kind")))))
+    targets = rows.withColumn("as", F.explode(kinds)).select(*SERIES_KEY, "as.fit", "as.kind", "ds", "y", "n_train")
+    return written(obs, "fit-observations"), targets
+
+
+def future_rows(rows: DataFrame, horizon: int) -> DataFrame:
+    """The future frame in the columns of the predicted rows."""
+    known = rows.where(F.col("kind") == "fitted")
+    n = known.groupBy(*SERIES_KEY).agg(F.max("n_train").alias("n_train"))
+    return future_frame(known, horizon).join(n, SERIES_KEY).select(
+        *SERIES_KEY, F.lit("prod").alias("fit"), F.lit("future").alias("kind"), "ds", F.lit(None).cast("double").alias("y"), "n_train")
+
+
+def _additive(obs: DataFrame, targets: DataFrame) -> DataFrame:
+    fits = written(additive.fit(obs, FIT_KEY), "additive-fits")
+    last = obs.groupBy(*FIT_KEY).agg(F.max("ds").alias("last_ds"))
+    ahead = targets.join(last, FIT_KEY).withColumn("h", F.when(F.col("kind") != "fitted", F.greatest(
+        monthly.month_number("ds") - monthly.month_number("last_ds"), F.lit(1))))
+    furthest = ahead.groupBy(*FIT_KEY, "last_ds").agg(F.max("h").alias("furthest")).where("furthest > 0")
+    steps = furthest.withColumn("h", F.explode(F.sequence(F.lit(1), F.col("furthest")))).select(
+        *FIT_KEY, "h", F.unix_date(F.add_months("last_ds", F.col("h"))).alias("t"),
+        F.unix_date(F.add_months("last_ds", F.col("h") - 1)).alias("t_before"))
+    band = additive.sampled_band(steps, fits, FIT_KEY)
+    within = F.lit(additive.Z80) * F.col("sigma") * (F.col("top") / F.lit(float(additive.UNITS)))
+    found = additive.parts(ahead.withColumn("t", F.unix_date("ds")), fits, FIT_KEY).join(
+        fits.select(*FIT_KEY, within.alias("within")), FIT_KEY).join(band, [*FIT_KEY, "h"], "left")
+    yhat, shown = F.col("trend") + F.col("yearly"), F.col("kind") != "eval"
+    return found.select(
+        *SERIES_KEY, F.lit("additive").alias("model"), "kind", "ds", "y", yhat.alias("yhat"),
+        (yhat + F.coalesce(F.col("low"), -F.col("within"))).alias("yhat_lower"),
+        (yhat + F.coalesce(F.col("high"), F.col("within"))).alias("yhat_upper"),
+        F.when(shown, F.col("trend")).alias("trend"), F.when(shown, F.col("yearly")).alias("yearly"), "n_train")
+
+
+def _monthly(name: str, predicted: DataFrame) -> DataFrame:
+    none = F.lit(None).cast("double")
+    return predicted.select(
+        *SERIES_KEY, F.lit(name).alias("model"), "kind", "ds", "y", "yhat", (F.col("yhat") - F.col("band")).alias("yhat_lower"),
+        (F.col("yhat") + F.col("band")).alias("yhat_upper"), none.alias("trend"), none.alias("yearly"), "n_train")
+
+
+def monthly_fits(obs: DataFrame, model: str) -> DataFrame:
+    """the fitted models of the monthly families, one row per series and fit."""
+    fit = {"holt_winters": monthly.holt_winters, "arima_2_1_2": monthly.arima}[model]
+    return written(fit(written(monthly.monthly(obs, FIT_KEY), "monthly-series"), FIT_KEY), f"{model}-fits")
 
 
 def forecast(series: DataFrame, cutoff: str = DEFAULT_CUTOFF, horizon: int = 12,
              models: tuple[str, ...] = ("additive",)) -> DataFrame:
-    """one grouped job fits every series; rows of kind 'eval' (hold-out predictions of
-    the model fitted before the cutoff), 'fitted' (production model on history, with trend and yearly parts) and
-    'future' (production model on the future frame)."""
-    split = with_split(series, cutoff)
-    fut = future_frame(series, horizon).select(*SERIES_KEY, "ds", F.lit(None).cast("double").alias("y"),
-                                               F.lit("future").alias("fold"))
-    rows = split.select(*SERIES_KEY, "ds", "y", "fold").unionByName(fut)
-    return rows.groupBy(*SERIES_KEY).applyInPandas(_fit_group(tuple(models)), FORECAST_SCHEMA)
+    """every series fitted by every model; rows of kind 'eval' (hold-out predictions of
+    the model fitted before the cutoff), 'fitted' (additive model on all history, with trend and yearly parts) and
+    'future' (model of all history on the future frame)."""
+    obs, rows = observations(series, cutoff)
+    targets = written(rows.unionByName(future_rows(rows, horizon)), "predicted-rows")
+    ahead = targets.where(F.col("kind") != "fitted")
+    found = []
+    for name in models:
+        if name == "additive":
+            found.append(_additive(obs, targets))
+        else:
+            predict = {"holt_winters": monthly.holt_winters_forecast, "arima_2_1_2": monthly.arima_forecast}[name]
+            found.append(_monthly(name, predict(ahead, monthly_fits(obs, name), FIT_KEY)))
+    return reduce(DataFrame.unionByName, found).select(*[f.split()[0] for f in FORECAST_SCHEMA.split(", ")])
 
 
 def seasonal_naive(series: DataFrame, cutoff: str = DEFAULT_CUTOFF, horizon: int = 12) -> DataFrame:

@@ -94,17 +94,17 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "Q07": ("operators.analytics.two_year_extract", ("q07_two_year_extract",)),
     "F01": ("operators.forecast.modelling_series", ("f01_modelling_series",)),
     "F02": ("operators.forecast.with_split", ("f02_temporal_split",)),
-    "F03": ("forecast_models.Additive in operators.forecast.forecast", ("f07_forecast_all", "f13_decomposition")),
+    "F03": ("operators.additive.fit", ("f07_forecast_all", "f13_decomposition", "j08_actual_vs_predicted")),
     "F04": ("operators.forecast.forecast (production fit on all rows)", ("f07_forecast_all",)),
     "F05": ("operators.forecast.future_frame", ("f05_future_frame",)),
-    "F06": ("operators.forecast.forecast (80 % band)", ("f07_forecast_all",)),
+    "F06": ("operators.additive.sampled_band", ("f06_prediction_interval", "f07_forecast_all")),
     "F07": ("operators.forecast.forecast (all series, one job)", ("f07_forecast_all",)),
     "F08": ("operators.forecast.check_horizon", ("f05_future_frame",)),
     "F09": ("operators.forecast.metrics", ("f09_forecast_metrics",)),
-    "F10": ("forecast_models.HoltWinters", ("f12_model_benchmark",)),
-    "F11": ("forecast_models.Arima212", ("f12_model_benchmark",)),
+    "F10": ("operators.monthly.holt_winters", ("f10_holt_winters_weights", "f10_holt_winters_forecast", "f12_model_benchmark")),
+    "F11": ("operators.monthly.arima", ("f11_arima_coefficients", "f11_arima_forecast", "f12_model_benchmark")),
     "F12": ("operators.forecast.benchmark", ("f12_model_benchmark",)),
-    "F13": ("operators.forecast.forecast (trend, yearly)", ("f13_decomposition",)),
+    "F13": ("operators.additive.parts", ("f13_decomposition",)),
     "F14": ("operators.forecast.resolve_category", ("f14_category_resolution",)),
     "F15": ("functions.columns.slug", ("f15_category_slugs",)),
     "F16": ("operators.forecast.total_change", ("f16_total_predicted_change",)),

@@ -1,17 +1,19 @@
 """Registered forecasting and impact queries.
 
-The model fits run in Python (per series), so their outputs have no SQL oracle; the data steps around them
-(series, split, future frame, resolution, slugs, budgets from yearly means) do.
+The fitted models have SQL twins in ``plans.oracle_forecast``; the data steps also run on a seasonal-naive model.
 """
 
 from __future__ import annotations
 
 import os
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricedex.operators import forecast as FC
 from pricedex.operators import impact as IM
+from pricedex.plans import oracle_forecast as Q
 from pricedex.plans import tables as T
 from pricedex.plans.registry import W, m2, register
 from pricedex.sources.store import materialise
@@ -24,20 +26,30 @@ def _series(spark, sf):
     return FC.modelling_series(T.unified(spark, sf), SRC)
 
 
-ALL_MODELS = ("additive", "holt_winters", "arima_2_1_2")
-
-
-def _fc_all(spark, sf, horizon=12):
-    """The forecast output of every model, written once per application (the model store of the reference)."""
-    key = (os.path.abspath(sf), SRC, CUTOFF, horizon, ALL_MODELS)
-    return materialise(spark, "forecast", key, lambda: FC.forecast(_series(spark, sf), CUTOFF, horizon, ALL_MODELS),
-                       partition_by=["model", "kind"], schema=FC.FORECAST_SCHEMA,
+def _fc_of(spark, sf, model, horizon=12):
+    """The forecast output of one model, written once per application (the model store of the reference)."""
+    key = (os.path.abspath(sf), SRC, CUTOFF, horizon, model)
+    return materialise(spark, "forecast", key, lambda: FC.forecast(_series(spark, sf), CUTOFF, horizon, (model,)),
+                       partition_by=["kind"], schema=FC.FORECAST_SCHEMA,
                        columns=[f.split()[0] for f in FC.FORECAST_SCHEMA.split(", ")])
 
 
 def _fc(spark, sf):
     """The production model's rows (additive trend + season)."""
-    return _fc_all(spark, sf).where(F.col("model") == "additive")
+    return _fc_of(spark, sf, "additive")
+
+
+def _fc_all(spark, sf):
+    return reduce(DataFrame.unionByName, [_fc_of(spark, sf, m) for m in FC.MODELS])
+
+
+def _fits(spark, sf, model):
+    """The fitted models of one monthly family, written once per application."""
+    key = (os.path.abspath(sf), SRC, CUTOFF, model)
+    return materialise(spark, "fits", key, lambda: FC.monthly_fits(FC.observations(_series(spark, sf), CUTOFF)[0], model))
+
+
+OF = Q.with_forecast
 
 
 register("f01_modelling_series", W(f"""
@@ -59,17 +71,54 @@ register("f05_future_frame", W(f"""
           group by source, area, category)""", "unified"))(
     lambda spark, sf: FC.future_frame(_series(spark, sf), 12))
 
-register("f07_forecast_all")(lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "future").select(
-    *FC.SERIES_KEY, F.col("ds").alias("date_pred"), F.bround("yhat", 4).alias("yhat"),
-    F.bround("yhat_lower", 4).alias("yhat_lower"), F.bround("yhat_upper", 4).alias("yhat_upper")))
-
-register("f09_forecast_metrics")(lambda spark, sf: FC.metrics(_fc(spark, sf)))
-
-register("f12_model_benchmark")(
-    lambda spark, sf: FC.benchmark(_fc_all(spark, sf)))
+register("f07_forecast_all", OF("""
+    select source, area, category, ds as date_pred, round_even(yhat, 4) as yhat, round_even(yhat_lower, 4) as yhat_lower,
+           round_even(yhat_upper, 4) as yhat_upper from fc where kind = 'future'""", "additive"))(
+    lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "future").select(
+        *FC.SERIES_KEY, F.col("ds").alias("date_pred"), F.bround("yhat", 4).alias("yhat"),
+        F.bround("yhat_lower", 4).alias("yhat_lower"), F.bround("yhat_upper", 4).alias("yhat_upper")))
 
-register("f13_decomposition")(lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "fitted").select(
-    *FC.SERIES_KEY, "ds", "y", "yhat", "trend", "yearly"))
+register("f06_prediction_interval", OF("""
+    select source, area, category, kind, ds, round_even(yhat - yhat_lower, 4) as below, round_even(yhat_upper - yhat, 4) as above
+    from fc where kind <> 'fitted'""", "additive"))(
+    lambda spark, sf: _fc(spark, sf).where(F.col("kind") != "fitted").select(
+        *FC.SERIES_KEY, "kind", "ds", F.bround(F.col("yhat") - F.col("yhat_lower"), 4).alias("below"),
+        F.bround(F.col("yhat_upper") - F.col("yhat"), 4).alias("above")))
+
+register("f09_forecast_metrics", OF("select * from m", "additive"))(lambda spark, sf: FC.metrics(_fc(spark, sf)))
+
+register("f12_model_benchmark", OF("""
+    select *, cast(row_number() over (partition by source, area, category order by mae, model) as integer) as rank from m""",
+    *FC.MODELS))(lambda spark, sf: FC.benchmark(_fc_all(spark, sf)))
+
+register("f10_holt_winters_weights", OF("""
+    select source, area, category, fit, n, round(alpha, 4) as alpha, round(beta, 4) as beta, round(gamma, 4) as gamma,
+           round_even(sse, 4) as sse, round_even(sigma, 6) as sigma from smoothed""", "holt_winters"))(
+    lambda spark, sf: _fits(spark, sf, "holt_winters").select(
+        *FC.FIT_KEY, "n", *[F.round(c, 4).alias(c) for c in ("alpha", "beta", "gamma")], F.bround("sse", 4).alias("sse"),
+        F.bround("sigma", 6).alias("sigma")))
+
+register("f11_arima_coefficients", OF("""
+    select source, area, category, fit, kind, unit, d1, round_even(coef[1], 6) as intercept, round_even(coef[2], 9) as ar1,
+           round_even(coef[3], 9) as ar2, round_even(coef[4], 9) as ma1, round_even(coef[5], 9) as ma2,
+           round_even(sigma, 4) as sigma from arima_fit""", "arima_2_1_2"))(
+    lambda spark, sf: _fits(spark, sf, "arima_2_1_2").select(
+        *FC.FIT_KEY, "kind", "unit", "d1", F.bround(F.col("coef")[0], 6).alias("intercept"),
+        *[F.bround(F.col("coef")[i + 1], 9).alias(c) for i, c in enumerate(("ar1", "ar2", "ma1", "ma2"))],
+        F.bround("sigma", 4).alias("sigma")))
+
+for _name, _model in (("f10_holt_winters_forecast", "holt_winters"), ("f11_arima_forecast", "arima_2_1_2")):
+    register(_name, OF("""
+        select source, area, category, kind, ds, round_even(yhat, 4) as yhat, round_even(yhat_lower, 4) as yhat_lower,
+               round_even(yhat_upper, 4) as yhat_upper, n_train from fc""", _model))(
+        lambda spark, sf, model=_model: _fc_of(spark, sf, model).select(
+            *FC.SERIES_KEY, "kind", "ds", *[F.bround(c, 4).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")], "n_train"))
+
+register("f13_decomposition", OF("""
+    select source, area, category, ds, y, round_even(yhat, 6) as yhat, round_even(trend, 6) as trend,
+           round_even(yearly, 6) as yearly from fc where kind = 'fitted'""", "additive"))(
+    lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "fitted").select(
+        *FC.SERIES_KEY, "ds", "y", *[F.bround(c, 6).alias(c) for c in ("yhat", "trend", "yearly")]))
 
 _NAMES = ["00 - Ensemble", "03", "0", "zz"]
 
@@ -95,9 +144,25 @@ register("f15_category_slugs", W(r"""
     from (select distinct category from unified)""", "unified"))(
     lambda spark, sf: FC.category_slugs(T.unified(spark, sf)))
 
-register("f16_total_predicted_change")(lambda spark, sf: FC.total_change(_fc(spark, sf)))
+register("f16_total_predicted_change", OF("""
+    select source, area, category, round_even(arg_max(yhat, ds) - arg_min(yhat, ds), 4) as total_change, count(*) as horizon
+    from fc where kind = 'future' group by all""", "additive"))(lambda spark, sf: FC.total_change(_fc(spark, sf)))
 
-register("f17_budget_simulation")(
+_BUDGET = """
+    select h.source, h.area, h.category, current_date_ as current_date, ds as target_date, cur as current_index,
+           yhat as predicted_index, round_even(850.0::double * (yhat / cur), 0) as future_budget,
+           round_even(850.0::double * (yhat_lower / cur), 0) as future_budget_min,
+           round_even(850.0::double * (yhat_upper / cur), 0) as future_budget_max,
+           round_even(850.0::double * (yhat / cur), 0) - 850 as delta, (yhat - cur) / cur * 100 as change_pct,
+           round_even(850.0::double * ((yhat - cur) / cur), 0) as monthly_impact,
+           round_even(850.0::double * ((yhat - cur) / cur), 0) * 6 as cumulative_impact
+    from (select *, row_number() over (partition by source, area, category order by ds) as step
+          from {fc} where kind = 'future') h
+    join (select source, area, category, arg_max(y, ds) as cur, max(ds) as current_date_ from s group by all) c
+      on h.source = c.source and h.area = c.area and h.category = c.category
+    where step = 6"""
+
+register("f17_budget_simulation", OF(_BUDGET.format(fc="fc"), "additive"))(
     lambda spark, sf: IM.budget_simulation(_series(spark, sf), _fc(spark, sf), amount=850.0, horizon=6))
 
 register("f19_inflation_in_euros", W(f"""
@@ -117,7 +182,10 @@ def _metrics(spark, sf):
     return FC.metrics(_fc(spark, sf))
 
 
-register("f20_reliability_flags")(lambda spark, sf: FC.reliability(_metrics(spark, sf)))
+register("f20_reliability_flags", OF("""
+    select source, area, category, model, mae, case when mae <= 5 then 'ok' else 'unreliable' end as status,
+           case when mae <= 1 then 'excellent' when mae <= 2 then 'good' when mae <= 5 then 'fair' else 'poor' end as band,
+           mae > 5 as alert from m""", "additive"))(lambda spark, sf: FC.reliability(_metrics(spark, sf)))
 register("f21_modelled_categories", W(f"""
     select distinct category from (
         select category, count(*) filter (where obs_date < date '{CUTOFF}') as n_train,
@@ -125,17 +193,39 @@ register("f21_modelled_categories", W(f"""
         from unified where source = '{SRC}' group by source, area, category)
     where n_train >= 2 and n_eval >= 1""", "unified"))(
     lambda spark, sf: FC.modelled_categories(_metrics(spark, sf)))
-register("j08_actual_vs_predicted")(lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "eval").select(
-    *FC.SERIES_KEY, "ds", F.col("y").alias("actual"), F.col("yhat").alias("predicted"),
-    (F.col("y") - F.col("yhat")).alias("error")))
-register("j09_history_forecast_overlay")(lambda spark, sf: FC.overlay(_series(spark, sf), _fc(spark, sf)))
-register("a21_forecast_quality_summary")(lambda spark, sf: FC.quality_summary(_metrics(spark, sf)))
-register("a22_forecast_quality_mean")(lambda spark, sf: FC.quality_mean(_metrics(spark, sf)))
-register("l07_metrics_by_mae")(lambda spark, sf: _metrics(spark, sf).orderBy("mae", "area", "category"))
-register("m09_mae_alert")(lambda spark, sf: FC.reliability(_metrics(spark, sf)).where(F.col("alert")))
+register("j08_actual_vs_predicted", OF("""
+    select source, area, category, ds, y as actual, round_even(yhat, 6) as predicted, round_even(y - yhat, 6) as error
+    from fc where kind = 'eval'""", "additive"))(
+    lambda spark, sf: _fc(spark, sf).where(F.col("kind") == "eval").select(
+        *FC.SERIES_KEY, "ds", F.col("y").alias("actual"), F.bround("yhat", 6).alias("predicted"),
+        F.bround(F.col("y") - F.col("yhat"), 6).alias("error")))
+register("j09_history_forecast_overlay", OF("""
+    select source, area, category, ds, y, round_even(yhat, 6) as yhat, round_even(yhat_lower, 4) as yhat_lower,
+           round_even(yhat_upper, 4) as yhat_upper, case when kind = 'future' then 'forecast' else 'history' end as kind
+    from fc where kind <> 'eval'
+    union all select source, area, category, ds, y, null, null, null, 'history' from sn where n < 2""", "additive"))(
+    lambda spark, sf: FC.overlay(_series(spark, sf), _fc(spark, sf)).withColumns(
+        {c: F.bround(c, d) for c, d in (("yhat", 6), ("yhat_lower", 4), ("yhat_upper", 4))}))
+register("a21_forecast_quality_summary", OF("""
+    select median(mae) as median_mae, median(mape_pct) as median_mape_pct,
+           (select area || ' / ' || category from m order by mae, area || ' / ' || category limit 1) as best_series,
+           min(mae) as best_mae,
+           (select area || ' / ' || category from m order by mae desc, area || ' / ' || category limit 1) as worst_series,
+           max(mae) as worst_mae, count(*) as n_series from m""", "additive"))(lambda spark, sf: FC.quality_summary(_metrics(spark, sf)))
+register("a22_forecast_quality_mean", OF("""
+    select area, category, mae, rmse, mape_pct from m
+    union all select 'mean', 'mean', round_even(avg(mae), 6), round_even(avg(rmse), 6), round_even(avg(mape_pct), 6) from m""",
+    "additive"))(lambda spark, sf: FC.quality_mean(_metrics(spark, sf)).withColumns(
+        {c: F.bround(c, 6) for c in ("mae", "rmse", "mape_pct")}))
+register("l07_metrics_by_mae", OF("select * from m order by mae, area, category", "additive"))(
+    lambda spark, sf: _metrics(spark, sf).orderBy("mae", "area", "category"))
+register("m09_mae_alert", OF("""
+    select source, area, category, model, mae, 'unreliable' as status, 'poor' as band, true as alert from m where mae > 5""", "additive"))(
+    lambda spark, sf: FC.reliability(_metrics(spark, sf)).where(F.col("alert")))
 
 
-@register("s11_metrics_json_roundtrip")
+@register("s11_metrics_json_roundtrip", OF("""
+    select area || ' / ' || category as category, mae, rmse, mape_pct, cast(n_train as bigint) as n_train, n_eval from m""", "additive"))
 def _s11(spark, sf):
     """Per-series metrics persisted as JSON lines and loaded back (a table, not a driver dict)."""
     from pricedex.sources import files as FS
@@ -201,19 +291,7 @@ register("f16_naive_total_change", _with_naive("""
     select source, area, category, round_even(arg_max(yhat, ds) - arg_min(yhat, ds), 4) as total_change, count(*) as horizon
     from naive where kind = 'future' group by all"""))(
     lambda spark, sf: FC.total_change(_naive(spark, sf), "seasonal_naive"))
-register("f17_naive_budget", _with_naive("""
-    select h.source, h.area, h.category, current_date_ as current_date, ds as target_date, cur as current_index,
-           yhat as predicted_index, round_even(850.0::double * (yhat / cur), 0) as future_budget,
-           round_even(850.0::double * (yhat_lower / cur), 0) as future_budget_min,
-           round_even(850.0::double * (yhat_upper / cur), 0) as future_budget_max,
-           round_even(850.0::double * (yhat / cur), 0) - 850 as delta, (yhat - cur) / cur * 100 as change_pct,
-           round_even(850.0::double * ((yhat - cur) / cur), 0) as monthly_impact,
-           round_even(850.0::double * ((yhat - cur) / cur), 0) * 6 as cumulative_impact
-    from (select *, row_number() over (partition by source, area, category order by ds) as step
-          from naive where kind = 'future') h
-    join (select source, area, category, arg_max(y, ds) as cur, max(ds) as current_date_ from s group by all) c
-      on h.source = c.source and h.area = c.area and h.category = c.category
-    where step = 6"""))(
+register("f17_naive_budget", _with_naive(_BUDGET.format(fc="naive")))(
     lambda spark, sf: IM.budget_simulation(_series(spark, sf), _naive(spark, sf), 850.0, 6, "seasonal_naive"))
 register("f20_naive_reliability", _with_naive("""
     select source, area, category, model, mae, case when mae <= 5 then 'ok' else 'unreliable' end as status,

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricedex.session import application_id, shared_table_root
+from pricedex.session import application_id, parallelism, shared_table_root
 
 _LOCK = threading.RLock()  # builds may materialise their own inputs
 _WRITTEN: dict[tuple, str] = {}
@@ -36,3 +37,18 @@ def materialise(spark: SparkSession, name: str, key: tuple, build: Callable[[],
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.parquet(path)
     return df.select(*columns) if columns else df
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a folder of its own and read back: an intermediate result that several steps read."""
+    spark = df.sparkSession
+    path = f"{shared_table_root(spark)}/steps/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """``df`` dealt to as many partitions as there are cores, or shuffle partitions if those are more (by ``key`` if given):
+    for steps whose work is large against the bytes they read, which would otherwise be few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))), *key)

@@ -1,11 +1,5 @@
-"""Per-series solvers (numpy only). They run inside ``applyInPandas`` on one short monthly series at a time; the
-distribution over series, the splits, the metrics and the ranking are Spark's work (``operators.forecast``).
-
-Three model families, as in the reference's benchmark:
-* additive: piecewise-linear trend with regularised changepoints + yearly Fourier seasonality (ridge solve);
-* Holt-Winters: additive trend and additive season of period 12, smoothing weights by coarse-to-fine search;
-* ARIMA(2,1,2): Hannan-Rissanen two-stage least squares on the differenced series, recursive forecast.
-"""
+"""The forecast models once more in numpy, one series at a time, as brute force for the tests: ridge by a library solver,
+Holt-Winters by a loop over months, ARIMA by library least squares."""
 
 from __future__ import annotations
 

@@ -11,7 +11,6 @@ from conftest import SF_SMALL
 
 # the text operators and their pipeline have their own tests
 QUERIES = {k: q for k, q in E.queries().items() if not k.startswith("op") and k != "pipeline"}
-PY_GROUPED = ("f07", "f09", "f12", "f13", "f16", "f17", "f20", "f21", "j08", "j09", "a21", "a22", "l07", "m09")
 
 
 def plan_of(df):
@@ -32,8 +31,7 @@ def test_no_cartesian_and_no_row_udf(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDF anywhere
-    if not name.startswith(PY_GROUPED):
-        assert "FlatMapGroupsInPandas" not in plan and "ArrowEvalPython" not in plan
+    assert "InPandas" not in plan.replace("FlatMapGroupsInPandasWithState", "") and "ArrowEvalPython" not in plan
 
 
 def test_source_filter_is_pushed_to_partitioned_stand_in(spark):
@@ -58,11 +56,15 @@ def test_partial_aggregation_before_shuffles(spark):
     assert re.search(r"HashAggregate\(keys=\[obs_date[^\n]*functions=\[partial_min\(value", unified)
 
 
-def test_forecast_groups_are_series(spark):
-    """The only Python step groups by the series key (bounded by months), nothing coarser."""
-    from pricedex.operators import forecast as FC
+def test_forecasts_run_without_python(spark):
+    """Of the jobs that write: sums, elimination, smoothing and sampling are all native."""
+    from pricedex.operators import additive, forecast as FC, monthly
     from pricedex.plans import tables as T
 
-    fc = FC.forecast(FC.modelling_series(T.unified(spark, SF_SMALL)), horizon=3)
-    plan = plan_of(fc)
-    assert re.search(r"FlatMapGroupsInPandas \[source#\d+, area#\d+, category#\d+\]", plan)
+    obs, _ = FC.observations(FC.modelling_series(T.unified(spark, SF_SMALL)), FC.DEFAULT_CUTOFF)
+    fits = additive.fit(obs, FC.FIT_KEY)
+    grids = monthly.monthly(obs, FC.FIT_KEY)
+    for df in (fits, grids, monthly.holt_winters(grids, FC.FIT_KEY), monthly.arima(grids, FC.FIT_KEY),
+               FC.forecast(FC.modelling_series(T.unified(spark, SF_SMALL)), horizon=3, models=FC.MODELS)):
+        plan = plan_of(df)
+        assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
