@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricedex.session import application_id, ensure_checkpoint_dir
@@ -27,6 +27,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` in one struct, so that columns a step adds cannot clash with any of their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def row_fields(docs: DataFrame, row: str, changed: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``docs`` out of the struct column ``row``, those in ``changed`` replaced."""
+    return [(changed or {}).get(c, F.col(row).getField(c)).alias(c) for c in docs.columns]
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it none of the columns."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

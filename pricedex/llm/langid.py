@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricedex.llm.common import materialise
+from pricedex.llm.common import as_row, materialise, row_fields
 
 WORD = re.compile(r"[^\W\d_]+")
 GRAMS = (4, 3, 2, 1)
@@ -247,7 +247,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, text_col: str =
             score_col: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its posterior (0 to 1) as two more columns.
 
-    Equal texts are scored once; rows and scores meet by the text's digest.
+    Columns of these names are replaced. Equal texts are scored once; rows and scores meet by the text's digest.
     """
     if not model.langs:
         return docs.withColumn(pred_col, F.lit("und")).withColumn(score_col, F.lit(0.0))
@@ -267,8 +267,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, text_col: str =
     best = F.array_max("t")
     name = F.element_at(F.array(*[F.lit(x) for x in model.langs]), F.array_position("t", best).cast("int"))
     share = F.aggregate("t", F.lit(0.0), lambda s, x: s + F.exp(x - best))
-    found = materialise(total.select(F.col("key").alias("_text_key"), name.alias("_language"),
-                                     (F.lit(1.0) / share).alias("_posterior")), "languages")
-    joined = docs.withColumn("_text_key", key).join(found, "_text_key", "left")
-    return joined.withColumn(pred_col, F.coalesce("_language", F.lit("und"))).withColumn(
-        score_col, F.coalesce("_posterior", F.lit(0.0))).drop("_text_key", "_language", "_posterior")
+    found = materialise(total.select("key", name.alias("language"), (F.lit(1.0) / share).alias("posterior")), "languages")
+    joined = docs.select(as_row(docs).alias("row"), key.alias("key")).join(found, "key", "left")
+    added = {pred_col: F.coalesce("language", F.lit("und")), score_col: F.coalesce("posterior", F.lit(0.0))}
+    return joined.select(*row_fields(docs, "row", added), *[v.alias(c) for c, v in added.items() if c not in docs.columns])

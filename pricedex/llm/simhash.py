@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.llm.common import _forest, connected_components, materialise
+from pricedex.llm.common import _forest, as_row, connected_components, materialise, row_fields
 
 BITS = 64
 SHARD_ROWS = 512  # distinct fingerprints that live in a shard on average
@@ -277,10 +277,10 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle_words: int = 4, max_b
     stay = materialise(_named(alike, max_bits, F.min(row)).groupBy("component").agg(F.min("low").alias("row"))
                        .select(F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key"),
                                F.col("row.times").alias("_times")), "kept-rows")
-    keyed = docs.withColumn("_text_key", text_key())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    keyed = docs.select(as_row(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     kept = keyed.join(stay.where("_times = 1"), same, "left_semi")
     repeated = stay.where("_times > 1")
     if not repeated.isEmpty():
-        kept = kept.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_key"]))
-    return kept.drop("_text_key")
+        kept = kept.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["id", "key"]))
+    return kept.select(*row_fields(docs, "row"))

@@ -14,7 +14,10 @@ from test_line_dedup import brute as brute_lines
 from test_simhash import slow_fingerprint
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component_id string, _cut_ int"
+CLASHING = ["_text_key", "_lang_pred", "lang_pred", "lang_score", "_language", "_posterior", "language", "posterior", "_id", "_key",
+            "_cut", "row", "id", "key", "cut", "cut_id", "cut_key", "fp", "leaf", "line", "template", "component", "component_id",
+            "ids", "piece", "length", "_times", "score", "_item", "words", "sums"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING)
 BENCH = "/root/testdata/sf0.001/benchmark.parquet"
 
 
@@ -37,7 +40,7 @@ def odd_rows(spark):
             (7, "long " + "words " * 40_000), (8, f"text around {item} and after"), (9, "same text twice in the table here"),
             (10, "same text twice in the table here"), (11, "shared line of five words or more\nown eleven words"),
             (12, "shared line of five words or more\nanother twelfth"), (13, "shared line of five words or more\nthird of thirteen")]
-    return spark.createDataFrame([(i, t, None if i == 12 else "en", None, len(t or ""), "c", 1) for i, t in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, None if i == 12 else "en", None, len(t or ""), *CLASHING) for i, t in rows], SCHEMA)
 
 
 def test_stages_on_odd_rows(spark):
@@ -45,6 +48,7 @@ def test_stages_on_odd_rows(spark):
     for name, stage in P.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == odd_rows(spark).columns
+        assert all([r[c] for c in CLASHING] == CLASHING for r in docs.collect())
         docs = spark.createDataFrame(docs.collect(), SCHEMA)
         seen[name] = {(r.doc_id, r.text) for r in docs.collect()}
     assert {i for i, _ in seen["language_id"]} == {1, None, 6, 7, 8, 9, 10, 11, 12, 13}
