@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricedex.llm import decontaminate, langid, line_dedup, packing, simhash
-from pricedex.llm.common import materialise, read_table
+from pricedex.llm.common import free_name, materialise, read_table
 from pricedex.llm.queries import tokenizer_path
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -20,9 +20,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model learns from all documents of its input that name a language.
     """
-    found = langid.predict(spark, docs, langid.train(docs), pred_col="_lang_pred", score_col="_lang_score")
-    return found.where((found["_lang_pred"] != "und") & (found["_lang_score"] >= MIN_LANGUAGE_SCORE)).select(
-        *docs.columns)
+    pred, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = langid.predict(spark, docs, langid.train(docs), pred_col=pred, score_col=score)
+    return found.where((found[pred] != "und") & (found[score] >= MIN_LANGUAGE_SCORE)).drop(pred, score)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
