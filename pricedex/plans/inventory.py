@@ -77,8 +77,8 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "L02": ("operators.analytics.price_page", ("l02_price_page",)),
     "L03": ("orderBy + limit extracts", ("q03_one_month_codes", "q07_two_year_extract")),
     "L04": ("operators.analytics.latest_row", ("l04_latest_row",)),
-    "L05": ("sources.files.write_table(sort_within)", ("l05_sorted_sink",)),
-    "L06": ("operators.analytics.distinct_sources(first=...)", ("d01_distinct_sources",)),
+    "L05": ("sources.files.write_ordered, sources.files.read_ordered", ("l05_sorted_sink",)),
+    "L06": ("operators.analytics.distinct_sources(first=...), sources.files.write_ordered", ("d01_distinct_sources", "l06_categories_in_order")),
     "L07": ("metrics ordered by MAE", ("l07_metrics_by_mae",)),
     "D01": ("operators.analytics.distinct_sources", ("d01_distinct_sources",)),
     "D02": ("operators.analytics.distinct_categories", ("d02_distinct_categories",)),
@@ -124,8 +124,8 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "M08": ("streaming.monitor.errors_by_type, predictions_by_category",
             ("m08_errors_by_type", "m08_predictions_by_category")),
     "M09": ("operators.forecast.reliability (alert)", ("m09_mae_alert",)),
-    "M10": ("streaming.monitor.held_for, streaming.held_for_state.held_for_stream",
+    "M10": ("streaming.monitor.held_for, streaming.monitor.alert_runs",
             ("m10_alert_held_for", "m10_stream_alert_held_for")),
-    "M11": ("streaming.monitor.absences, streaming.held_for_state.absences_stream",
+    "M11": ("streaming.monitor.absences, streaming.monitor.activity",
             ("m11_absences", "m11_stream_absences")),
 }

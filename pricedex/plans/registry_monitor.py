@@ -10,7 +10,6 @@ from pricedex.plans import oracle as O
 from pricedex.plans.registry import W, register
 from pricedex.sources import standins as S
 from pricedex.streaming import monitor as M
-from pricedex.streaming import held_for_state as HS
 from pricedex.streaming import runner as RN
 
 
@@ -116,7 +115,7 @@ def _event_time(log, watermark=RN.WATERMARK):
     """Event time as a zoned timestamp (watermarks need one), the watermark, then heartbeats dropped (they still
     advance the watermark: the condition names ``ts``, so that Spark does not filter before the watermark)."""
     return (log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-            .where(F.col("method") != F.when(F.col("ts").isNotNull(), HS.HEARTBEAT_METHOD)))
+            .where(F.col("method") != F.when(F.col("ts").isNotNull(), M.HEARTBEAT_METHOD)))
 
 
 def _ntz(df, *cols):
@@ -127,12 +126,13 @@ def _stream_update(spark, sf, build, keys):
     return RN.run_update_stream(spark, RN.land_request_log_in_order(spark, sf), build, keys)
 
 
-def _stream_append(spark, sf, build):
-    return RN.run_append_stream(spark, RN.land_request_log_in_order(spark, sf), build)
+def _stream_append(spark, sf, build, state_partitions=None):
+    """A stream keyed by service (and window) has as many state partitions as there are services: its counts are few."""
+    return RN.run_append_stream(spark, RN.land_request_log_in_order(spark, sf), build, state_partitions=state_partitions)
 
 
 def _without_heartbeats(log):
-    return log.where(F.col("method") != HS.HEARTBEAT_METHOD)
+    return log.where(F.col("method") != M.HEARTBEAT_METHOD)
 
 
 register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: _stream_update(
@@ -141,12 +141,12 @@ register("m03_stream_request_counts", M03_SQL)(lambda spark, sf: _stream_update(
 register("m04_stream_latency_histogram", _m04_sql())(lambda spark, sf: _stream_update(
     spark, sf, lambda log: M.latency_histogram(_without_heartbeats(log)), ["api", "le"]))
 register("m05_stream_latency_quantiles", M05_SQL)(lambda spark, sf: _stream_append(
-    spark, sf, lambda log: _ntz(M.latency_quantiles(_event_time(log)), "window_start", "window_end")))
+    spark, sf, lambda log: _ntz(M.latency_quantiles(_event_time(log)), "window_start", "window_end"), M.SERVICES))
 register("m06_stream_request_rate", M06_SQL)(lambda spark, sf: _stream_append(
     spark, sf, lambda log: _ntz(M.request_rate(_event_time(log)), "window_start")))
 register("m07_stream_error_ratio", M07_SQL)(lambda spark, sf: _stream_append(
-    spark, sf, lambda log: _ntz(M.error_ratio(_event_time(log)), "window_start")))
+    spark, sf, lambda log: _ntz(M.error_ratio(_event_time(log)), "window_start"), M.SERVICES))
 register("m10_stream_alert_held_for", M10_SQL)(lambda spark, sf: _stream_append(
-    spark, sf, lambda log: HS.held_for_stream(log, 3, watermark=RN.WATERMARK)))
-register("m11_stream_absences", M11_SQL)(lambda spark, sf: _stream_append(
-    spark, sf, lambda log: HS.absences_stream(log, 5, watermark=RN.WATERMARK)))
+    spark, sf, lambda log: _ntz(M.alert_runs(_event_time(log), 3), "first_start", "last_start", "fired_at"), M.SERVICES))
+register("m11_stream_absences", M11_SQL)(lambda spark, sf: M.absences_between(_stream_append(
+    spark, sf, lambda log: _ntz(M.activity(_event_time(log), 5), "first_minute", "last_minute"), M.SERVICES)))

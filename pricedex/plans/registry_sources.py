@@ -103,12 +103,23 @@ def _s10(spark, sf):
            row_number() over (partition by source order by obs_date, area, category) - 1 as position
     from unified where source = 'DATAGOUV'""", "unified"))
 def _l05(spark, sf):
-    """A sink sorted within its files; the position is the row's place in the one file read back."""
+    """A sink in one order over several files; the position is the row's place in the order."""
     path = L.fresh_path(spark, "sorted_sink")
     rows = T.unified(spark, sf).where(F.col("source") == "DATAGOUV")
-    FS.write_table(rows.repartition(1), path, sort_within=["obs_date", "area", "category"])
-    table = spark.read.parquet(path).withColumn("position", F.monotonically_increasing_id())
-    return table.select("obs_date", "area", "category", F.col("value").cast("double").alias("value"), "source", "position")
+    FS.write_ordered(rows, path, ["obs_date", "area", "category"], files=6)
+    return FS.read_ordered(spark, path).select(
+        "obs_date", "area", "category", F.col("value").cast("double").alias("value"), "source", "position")
+
+
+@register("l06_categories_in_order", W("""
+    select source, category, row_number() over (order by (source <> 'INSEE')::int, source, category) - 1 as position
+    from (select distinct source, category from unified)""", "unified"))
+def _l06(spark, sf):
+    """The reference source first, then by name: the order of a table read back."""
+    path = L.fresh_path(spark, "ordered_categories")
+    rows = T.unified(spark, sf).select("source", "category").distinct()
+    FS.write_ordered(rows, path, [(F.col("source") != "INSEE").cast("int"), "source", "category"], files=4)
+    return FS.read_ordered(spark, path).select("source", "category", "position")
 
 
 @register("j05_idempotent_append", W("""

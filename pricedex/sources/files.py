@@ -6,7 +6,7 @@ costs an extra pass over the data); typing happens in the cleaning jobs with ``t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,6 +175,26 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     w.save(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: list, files: int | None = None) -> None:
+    """A table in one global order over several files: ranges of the order are dealt to the files, each is sorted, and
+    every row keeps its file's number (``part``) and its place in it. No task sees more than its range."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.spark_partition_id()
+    place = F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)  # the rest of the id counts a partition's rows
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged.withColumns({"part": part, "place": place}).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_ordered`` with each row's ``position`` from 0: its place after the rows of the files before."""
+    rows = spark.read.parquet(path)
+    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))  # one row a file
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(offsets), "part").withColumn("position", F.col("before") + F.col("place")).drop(
+        "part", "place", "before")
+
+
 def load_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Truncate-and-load, then verify: the written table must have the rows that were counted on the way in."""
     seen = Observation()

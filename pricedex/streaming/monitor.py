@@ -15,6 +15,8 @@ from pricedex import reference_data as R
 from pricedex.functions.columns import API_ENDPOINTS, endpoint_label, error_class
 
 SERVER_ERROR = "server_error"
+HEARTBEAT_METHOD = "HEARTBEAT"  # of rows that only say how far time has come
+SERVICES = 2
 
 
 def minute_index(c) -> Column:
@@ -127,17 +129,22 @@ def request_rate(log: DataFrame, window="1 minute", watermark: str | None = None
                       (F.col("requests") / F.lit(seconds)).alias("rate_per_s"))
 
 
-def error_ratio(log: DataFrame, window="5 minutes", slide="1 minute", threshold=0.05,
-                watermark: str | None = None) -> DataFrame:
-    """Server-error rate / (request rate + 0.001) per service and sliding window; alert above ``threshold``."""
+def _error_windows(log: DataFrame, window: str, slide: str, threshold: float, watermark: str | None) -> DataFrame:
+    """Per service and sliding window ``w``: requests, server errors, their ratio and whether it is above the threshold."""
     e = enrich(log)
     if watermark:
         e = e.withWatermark("ts", watermark)
     minutes = per_minute(e, "api", requests=F.count(F.lit(1)), server_errors=F.count_if(F.col("error_type") == SERVER_ERROR))
     agg = sliding(minutes, window, slide, ["api"], ["requests", "server_errors"])
     ratio = (F.col("server_errors") / F.lit(300.0)) / ((F.col("requests") / F.lit(300.0)) + F.lit(0.001))
-    return agg.select(F.col("w.start").alias("window_start"), "api", "requests", "server_errors",
-                      ratio.alias("error_ratio"), (ratio > threshold).alias("alert"))
+    return agg.select("w", "api", "requests", "server_errors", ratio.alias("error_ratio"), (ratio > threshold).alias("alert"))
+
+
+def error_ratio(log: DataFrame, window="5 minutes", slide="1 minute", threshold=0.05,
+                watermark: str | None = None) -> DataFrame:
+    """Server-error rate / (request rate + 0.001) per service and sliding window; alert above ``threshold``."""
+    found = _error_windows(log, window, slide, threshold, watermark)
+    return found.select(F.col("w.start").alias("window_start"), "api", "requests", "server_errors", "error_ratio", "alert")
 
 
 def errors_by_type(log: DataFrame) -> DataFrame:
@@ -168,17 +175,38 @@ def held_for(alerts: DataFrame, minutes: int = 3, key="api") -> DataFrame:
         (F.col("first_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))).alias("fired_at"))
 
 
+def alert_runs(log: DataFrame, minutes: int = 3, threshold: float = 0.05, watermark: str | None = None) -> DataFrame:
+    """M10 (stream or batch, the rows of ``held_for``): a run of alerting windows, one a minute, is a session of them: the
+    next is one minute later or the session ends. Its state is one row per open run and service; silence costs nothing."""
+    alerting = _error_windows(log, "5 minutes", "1 minute", threshold, watermark).where("alert")
+    runs = alerting.groupBy(F.session_window(F.window_time("w"), "90 seconds").alias("run"), "api").agg(
+        F.min("w.start").alias("first_start"), F.max("w.start").alias("last_start"), F.count(F.lit(1)).alias("n_windows"))
+    return runs.where(F.col("n_windows") - 1 >= minutes).select(
+        "api", "first_start", "last_start", "n_windows",
+        (F.col("first_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))).alias("fired_at"))
+
+
+def activity(log: DataFrame, minutes: int = 5, watermark: str | None = None) -> DataFrame:
+    """Per service the stretches (first and last active minute) without ``minutes`` silent whole minutes inside (stream or
+    batch): sessions of its active minutes, which are counted first."""
+    e = enrich(log)
+    if watermark:
+        e = e.withWatermark("ts", watermark)
+    active = per_minute(e, "api", requests=F.count(F.lit(1)))
+    stretch = F.session_window(F.window_time("m"), f"{60 * minutes + 30} seconds")  # whole minutes apart: the half decides
+    return active.groupBy(stretch.alias("stretch"), "api").agg(
+        F.min("m.start").alias("first_minute"), F.max("m.start").alias("last_minute")).drop("stretch")
+
+
 def absences(log: DataFrame, minutes: int = 5) -> DataFrame:
-    """M11 (batch): stretches of at least ``minutes`` whole minutes without any request, per service.
-
-    Requests are first reduced to the set of active minutes (a combinable aggregate), then consecutive active
-    minutes are compared with lag; the window runs over at most one row per minute of the period.
-    """
-    # date_trunc yields a zoned timestamp; back to wall-clock time without zone, like the input
-    e = enrich(log).select("api", F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")).distinct()
-    prev = F.lag("minute").over(Window.partitionBy("api").orderBy("minute"))
-    gaps = e.withColumn("prev", prev).where(F.col("prev").isNotNull())
-    silent = minute_index("minute") - minute_index("prev") - 1
+    """Stretches of at least ``minutes`` whole minutes without any request, per service."""
+    return absences_between(activity(log, minutes))
+
+
+def absences_between(stretches: DataFrame) -> DataFrame:
+    """M11 from a table of ``activity``, a stream's sink too: an absence is the gap between two stretches of a service."""
+    prev = F.lag("last_minute").over(Window.partitionBy("api").orderBy("first_minute"))  # one row a stretch
+    gaps = stretches.withColumn("prev", prev).where(F.col("prev").isNotNull())
     return gaps.select("api", (F.col("prev") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1))).alias("silent_from"),
-                       F.col("minute").alias("silent_until"), silent.alias("silent_minutes")).where(
-        F.col("silent_minutes") >= minutes)
+                       F.col("first_minute").alias("silent_until"),
+                       (minute_index("first_minute") - minute_index("prev") - 1).alias("silent_minutes"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricedex.session import application_id, parallelism
 from pricedex.sources import landing as L
 from pricedex.sources import standins as S
+from pricedex.streaming.monitor import HEARTBEAT_METHOD
 
 REQUEST_LOG_SCHEMA = "ts timestamp_ntz, method string, path string, status int, latency_s double, category string"
 
@@ -81,8 +82,6 @@ def land_request_log_in_order(spark: SparkSession, sf_dir: str, files: int = 6)
 
 
 def _land_in_order(spark: SparkSession, sf_dir: str, files: int) -> str:
-    from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
-
     path = L.fresh_path(spark, "request_log_ordered")
     log = S.request_log(spark, sf_dir)
     micros = F.unix_micros(F.col("ts").cast("timestamp"))

@@ -1,6 +1,7 @@
 """Monitoring: histogram quantiles, alert runs, absences, and stream = batch."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def test_alert_held_for_and_absence(spark):
 
 def _ordered_log(spark, tmp_path, rows, slices=3):
     """Land rows in time order (one write per slice) plus one heartbeat per service."""
-    from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
+    from pricedex.streaming.monitor import HEARTBEAT_METHOD
 
     path = str(tmp_path / "ordered")
     rows = sorted(rows)
@@ -62,12 +63,12 @@ def _ordered_log(spark, tmp_path, rows, slices=3):
 
 
 def _batch_of(spark, path):
-    from pricedex.streaming.held_for_state import HEARTBEAT_METHOD
+    from pricedex.streaming.monitor import HEARTBEAT_METHOD
     return spark.read.schema(RN.REQUEST_LOG_SCHEMA).parquet(path).where(F.col("method") != HEARTBEAT_METHOD)
 
 
 def test_stateful_stream_forms_equal_batch(spark, tmp_path):
-    from pricedex.streaming import held_for_state as HS
+    from pricedex.plans import registry_monitor as RM
 
     rows = []
     for minute in range(0, 240, 2):  # traffic every 2 minutes, errors between minute 60 and 80, silence 150-170
@@ -79,12 +80,15 @@ def test_stateful_stream_forms_equal_batch(spark, tmp_path):
     path = _ordered_log(spark, tmp_path, rows)
     batch = _batch_of(spark, path)
 
-    runs = RN.run_append_stream(spark, path, lambda log: HS.held_for_stream(log, 3), max_files=1)
+    runs = RN.run_append_stream(spark, path, lambda log: RM._ntz(M.alert_runs(RM._event_time(log), 3), "first_start", "last_start", "fired_at"),
+                                max_files=1)
     expected = M.held_for(M.error_ratio(batch), 3)
     assert sorted(runs.select(*expected.columns).collect()) == sorted(expected.collect())
     assert runs.count() >= 1
 
-    gaps = RN.run_append_stream(spark, path, lambda log: HS.absences_stream(log, 5), max_files=1)
+    stretches = RN.run_append_stream(
+        spark, path, lambda log: RM._ntz(M.activity(RM._event_time(log), 5), "first_minute", "last_minute"), max_files=1)
+    gaps = M.absences_between(stretches)
     expected_gaps = M.absences(batch, 5)
     assert sorted(gaps.select(*expected_gaps.columns).collect()) == sorted(expected_gaps.collect())
     assert any(g.silent_minutes >= 20 for g in gaps.collect())
@@ -115,3 +119,43 @@ def test_sliding_windows_expand_counts_not_requests(spark):
                M.latency_quantiles(log_df(spark, [(T0, "GET", "/api/x", 500, 0.1, None)]))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.index("Expand") < plan.index("functions=[partial_count")
+
+
+def test_runs_and_absences_equal_a_walk_over_minutes(spark):
+    """Sessions against loops over every minute, at the exact lengths where a run fires and an absence counts."""
+    rng, rows = random.Random(2), []
+    for minute in range(1500):
+        if rng.random() < (0.9 if minute // 100 % 2 else 0.15):
+            rows.append((T0 + dt.timedelta(minutes=minute, seconds=rng.randrange(60)), "GET", "/api/x",
+                         500 if rng.random() < 0.1 else 200, 0.1, None))
+    log = log_df(spark, rows)
+    at = {}
+    for r in rows:
+        n = at.setdefault(int((r[0] - T0).total_seconds()) // 60, [0, 0])
+        n[0] += 1
+        n[1] += r[3] == 500
+    runs, start = [], None
+    for w in range(-5, 1502):
+        n, e = (sum(at.get(m, [0, 0])[i] for m in range(w, w + 5)) for i in (0, 1))
+        if n and (e / 300) / (n / 300 + 0.001) > 0.05:
+            start = w if start is None else start
+        elif start is not None:
+            if w - 1 - start >= 3:
+                runs.append((start, w - 1))
+            start = None
+    when = lambda m: T0 + dt.timedelta(minutes=m)
+    got = sorted((r.first_start, r.last_start, r.n_windows) for r in M.alert_runs(log, 3).collect())
+    assert got == [(when(a), when(b), b - a + 1) for a, b in runs] and len(got) > 5
+    assert got == sorted((r.first_start, r.last_start, r.n_windows) for r in M.held_for(M.error_ratio(log), 3).collect())
+    active = sorted(at)
+    gaps = [(when(a + 1), when(b), b - a - 1) for a, b in zip(active, active[1:]) if b - a - 1 >= 5]
+    assert sorted(tuple(r)[1:] for r in M.absences(log, 5).collect()) == gaps and {5} < {g[2] for g in gaps}
+
+
+def test_stream_forms_have_no_python(spark, tmp_path):
+    from pricedex.plans import registry_monitor as RM
+
+    log = log_df(spark, [(T0, "GET", "/api/x", 500, 0.1, None)])
+    for df in (M.alert_runs(RM._event_time(log)), M.activity(RM._event_time(log))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "InPandas" not in plan and "MapIn" not in plan and "session_window" in plan

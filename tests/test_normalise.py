@@ -121,3 +121,20 @@ def test_parameter_validation(spark):
         with pytest.raises(ValueError):
             A.top_n_categories(u, "S", n=n)
     assert A.index_page(u, limit=1000).count() == 1 and A.top_n_categories(u, "S", n=13).count() == 1
+
+
+def test_ordered_sink_over_several_files(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from pricedex.sources import files as FS
+
+    rows = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("k"), F.lit("x").alias("v")).repartition(5)
+    FS.write_ordered(rows, tmp_dir + "/t", ["k"], files=6)
+    table = spark.read.parquet(tmp_dir + "/t")
+    assert table.select("part").distinct().count() >= 4
+    assert table.groupBy("part").count().agg(F.max("count")).first()[0] < 10_000
+    found = FS.read_ordered(spark, tmp_dir + "/t")
+    got = [(r.position, r.k) for r in found.collect()]
+    assert sorted(got) == list(enumerate(sorted(r.k for r in rows.collect())))
+    FS.write_ordered(rows.limit(0), tmp_dir + "/empty", ["k"])
+    assert FS.read_ordered(spark, tmp_dir + "/empty").collect() == []
