@@ -12,7 +12,8 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "S06": ("sources.files.extract_product", ("s06_page_extract",)),
     "S07": ("sources.standins.read_table (pruned scans, tests/test_plans.py)", ("f01_modelling_series",)),
     "S08": ("sources.files.write_table, sources.landing", ("s01_wide_bulk_clean", "s02_long_csv_clean")),
-    "S09": ("sources.files.load_table", ("s09_load_verified",)),
+    "S09": ("sources.files.load_table, sources.files.publish, sources.files.published",
+            ("s09_load_verified", "s09_verified_publish")),
     "S10": ("sources.files.keep_payload", ("s10_payload_kept",)),
     "S11": ("sources.files.write_metrics / read_metrics", ("s11_metrics_json_roundtrip",)),
     "S12": ("sources.files.write_table(dynamic=True)", ("s12_partition_rebuild",)),
@@ -117,8 +118,9 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "M02": ("functions.columns.error_class", ("m02_error_classes",)),
     "M03": ("streaming.monitor.request_counts", ("m03_request_counts", "m03_stream_request_counts")),
     "M04": ("streaming.monitor.latency_histogram", ("m04_latency_histogram",)),
-    "M05": ("streaming.monitor.latency_quantiles",
-            ("m05_latency_quantiles", "m05_predict_latency_quantiles", "m05_stream_latency_quantiles")),
+    "M05": ("streaming.monitor.latency_quantiles, streaming.monitor.sketch_quantiles",
+            ("m05_latency_quantiles", "m05_predict_latency_quantiles", "m05_stream_latency_quantiles",
+             "m05_sketch_quantiles")),
     "M06": ("streaming.monitor.request_rate", ("m06_request_rate", "m06_request_rate_5m")),
     "M07": ("streaming.monitor.error_ratio", ("m07_error_ratio", "m07_stream_error_ratio")),
     "M08": ("streaming.monitor.errors_by_type, predictions_by_category",

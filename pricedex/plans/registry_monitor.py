@@ -68,6 +68,21 @@ register("m05_latency_quantiles", M05_SQL)(lambda spark, sf: M.latency_quantiles
 register("m05_predict_latency_quantiles", _m05_sql("model"))(
     lambda spark, sf: M.latency_quantiles(_log(spark, sf), api="model"))
 
+#: Rank error that a sketch of the default size stays within (its normalised error for single ranks, both sides).
+SKETCH_ERROR = 0.0266
+
+
+@register("m05_sketch_quantiles", W(f"""
+    select ts_w as window_start, count(*) as n, true as p50_within, true as p95_within, true as p99_within
+    from (select unnest([date_trunc('minute', ts) - to_minutes(i) for i in range(0, 5)]) as ts_w
+          from observed where api = 'data' and latency_s is not null) group by 1""", "observed"))
+def _m05_sketch(spark, sf):
+    """M05 from merged sketches of minutes: in every window each quantile's rank is within the sketch's bound."""
+    log = _log(spark, sf)
+    off = M.rank_errors(log, M.sketch_quantiles(M.latency_sketches(log)).select("window_start", "p50", "p95", "p99"))
+    return off.select("window_start", "n", *[(F.col(f"{c}_off") <= SKETCH_ERROR).alias(f"{c}_within") for c in ("p50", "p95", "p99")])
+
+
 M06_SQL = W(f"""
     select date_trunc('minute', ts) as window_start, endpoint, count(*) as requests,
            count(*) / {O.dbl(60)} as rate_per_s

@@ -3,6 +3,8 @@ read it back with the reader, clean it, compare with the stand-in itself."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from pricedex.operators import cleaning as C
@@ -13,6 +15,7 @@ from pricedex.session import parallelism
 from pricedex.sources import files as FS
 from pricedex.sources import landing as L
 from pricedex.sources import standins as S
+from pricedex.sources.store import materialise
 
 
 @register("s01_wide_bulk_clean", W("""
@@ -23,12 +26,16 @@ def _s01(spark, sf):
     return out.withColumn("value", F.col("value").cast("double"))
 
 
+def _long_csv(spark, sf):
+    """The landed long CSV, parsed once per application: the job, its pre-pass and its report read the table."""
+    return materialise(spark, "long_csv", (os.path.abspath(sf),), lambda: FS.read_long_csv(spark, L.land_long_csv(spark, sf)))
+
+
 @register("s02_long_csv_clean", W("""
     select obs_date, cast(value as double) as value, category, 'data.gouv.fr' as source, area
     from datagouv_raw""", "datagouv_raw"))
 def _s02(spark, sf):
-    raw = FS.read_long_csv(spark, L.land_long_csv(spark, sf))
-    return C.clean_long_csv(raw, keep_area="GEO_OBJECT")
+    return C.clean_long_csv(_long_csv(spark, sf), keep_area="GEO_OBJECT")
 
 
 @register("s03_series_csv_clean", W("""
@@ -169,7 +176,7 @@ _P28_COUNTS = """select n + n1 + n2 + n3 + n4 + n5 + n6 + 2 as s0, n + n1 + n2 +
                               count(*) filter (where month(obs_date) = 6) as n6 from datagouv_raw)"""
 register("p28_cleaning_report", _report_sql(
     ["monthly", "index_unit", "index_type", "territory", "aggregate", "base_2015", "valid_row"], _P28_COUNTS, "datagouv_raw"))(
-    lambda spark, sf: C.long_csv_report(FS.read_long_csv(spark, L.land_long_csv(spark, sf))))
+    lambda spark, sf: C.long_csv_report(_long_csv(spark, sf)))
 
 register("p28_price_report", _report_sql(["price", "date", "sane_price"], """
     select count(*) as s0, count(price) as s1, count(*) filter (where price is not null and date is not null) as s2,
@@ -193,3 +200,20 @@ register("p28_wide_report", _report_sql(["unit", "valid_row"], """
     from (select count(distinct (coicop, area)) as keys, count(distinct obs_date) as months, count(*) as n
           from eurostat_raw)""", "eurostat_raw"))(
     lambda spark, sf: C.wide_bulk_report(FS.read_wide_tsv(spark, L.land_wide_bulk(spark, sf))))
+
+
+@register("s09_verified_publish", W("""
+    select source, count(*) as n_rows, 2 as version, false as bad_load_published from unified group by source""", "unified"))
+def _s09_publish(spark, sf):
+    """S09 + S12: a load that lost rows fails and leaves the version before it readable; the next good one replaces it."""
+    root = L.fresh_path(spark, "published")
+    rows = T.unified(spark, sf)
+    FS.publish(rows.where(F.col("source") != "INSEE"), root, partition_by=["source"])
+    try:
+        FS.publish(rows, root, partition_by=["source"], expected=rows.count() + 1)
+        bad = True
+    except FS.PublishError:
+        bad = "INSEE" in [r.source for r in FS.published(spark, root).select("source").distinct().collect()]
+    FS.publish(rows, root, partition_by=["source"], expected=rows.count())
+    return FS.published(spark, root).groupBy("source").agg(F.count("*").alias("n_rows")).withColumns(
+        {"version": F.lit(FS.published_version(spark, root)), "bad_load_published": F.lit(bad)})

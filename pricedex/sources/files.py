@@ -6,7 +6,10 @@ costs an extra pass over the data); typing happens in the cleaning jobs with ``t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +30,7 @@ def read_wide_tsv(spark: SparkSession, path: str, partitions: int | None = None)
 # ------------------------------------------------------------------------------------------------ S02 long CSV
 #: Columns a line must name to be a file's header.
 HEADER_MARKS = ("TIME_PERIOD", "OBS_VALUE")
-MAX_FIELDS = 64
+FIELD = r';("(?:[^"]|"")*"|[^;]*)'  # of a line with a separator put before it
 CP1252 = bytes(b for b in range(0x80, 0xA0)).decode("cp1252", "replace")
 
 
@@ -57,23 +60,29 @@ def read_long_csv(spark: SparkSession, path: str) -> DataFrame:
     """';'-separated files with a header each: columns by name, all strings, plus ``_present`` (the file's columns).
 
     Every file is decoded by itself: UTF-8 if all its lines are, else windows-1252. Lines with more fields than the
-    header are skipped, shorter ones padded with nulls; both whatever columns a query selects. A column that a file
-    lacks is null; a file without a header gives no rows.
+    header are skipped, shorter ones padded with nulls; both whatever columns a query selects. A header may have any
+    number of columns; a column that a file lacks is null; a file without a header gives no rows.
     """
     lines = _text_lines(spark, path)
     headers = file_headers(lines).where("header_line is not null")
     clean = F.regexp_replace(F.regexp_replace("header_line", "^\ufeff", ""), '"', "")
     headers = headers.withColumn("_present", F.transform(F.split(clean, ";"), lambda c: F.upper(F.trim(c))))
+    # where each column of the job stands in the file (0: nowhere), found once per file
+    headers = headers.withColumn("places", F.array(*[F.array_position("_present", c) for c in LONG_CSV_COLUMNS]))
     rows = lines.join(headers, "file").where((F.col("text") != F.col("header_line")) & (F.trim("text") != ""))
     line = F.regexp_replace(decoded(F.col("raw"), F.col("is_utf8")), "\r$", "")
-    schema = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
-    fields = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ";"))
-    rows = rows.where(fields <= F.size("_present")).select(
-        "_present", F.inline(F.array(F.from_csv(line, schema, {"sep": ";"}))))
-    values = F.slice(F.array(*[F.col(f"c{i}") for i in range(MAX_FIELDS)]), F.lit(1), F.size("_present"))
-    # inline and explode of one value: a line is parsed, and its map built, once and not once for each column
-    return rows.select("_present", F.explode(F.array(F.map_from_arrays("_present", values))).alias("m")).select(
-        *[F.col("m").getItem(c).alias(c) for c in LONG_CSV_COLUMNS], "_present")
+    # explode of one value: a line is cut into fields once and not once for each column
+    fields = F.regexp_extract_all(F.concat(F.lit(";"), line), F.lit(FIELD), 1)
+    rows = rows.select("_present", "places", F.explode(F.array(fields)).alias("fields")).where(
+        F.size("fields") <= F.size("_present"))
+    return rows.select(*[_field(F.col("places")[i]).alias(c) for i, c in enumerate(LONG_CSV_COLUMNS)], "_present")
+
+
+def _field(place: Column) -> Column:
+    """The field at a place: without its quotes (two inside stand for one); null if it is empty or not there."""
+    raw = F.get("fields", (place - 1).cast("int"))
+    quoted = F.regexp_replace(F.regexp_replace(raw, '^"|"$', ""), '""', '"')
+    return F.when((place > 0) & (raw != ""), F.when(raw.startswith('"'), quoted).otherwise(raw))
 
 
 # ------------------------------------------------------------------------------------------------ S03 series CSV
@@ -205,6 +214,56 @@ def load_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return written
 
 
+class PublishError(RuntimeError):
+    """A load did not have the rows it should; the version before it stays published."""
+
+
+MANIFEST_SCHEMA = "version int, folder string, n_rows long"
+
+
+def publish(df: DataFrame, root: str, partition_by: list[str] | None = None, expected: int | None = None) -> int:
+    """Load a table as a new version and publish it only once it is verified.
+
+    The rows are counted on their way into a folder of the version's own, and again as read back; both, and ``expected``
+    where given, must agree. Only then a manifest of the new version is written, to a folder that appears as a whole with
+    its success mark. Readers go by the highest manifest, so they see the old version until then, whole.
+    """
+    spark = df.sparkSession
+    version = published_version(spark, root) + 1
+    folder, seen = f"{root}/data/{uuid.uuid4().hex}", Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), folder, partition_by=partition_by)
+    written = spark.read.schema(df.schema).parquet(folder).count()
+    if not written == seen.get["n"] == (written if expected is None else expected):
+        raise PublishError(f"{root}: {written} rows written, {seen.get['n']} read, {expected} expected")
+    spark.createDataFrame([(version, folder, written)], MANIFEST_SCHEMA).coalesce(1).write.json(f"{root}/manifests/version={version}")
+    return version
+
+
+def _manifest(spark: SparkSession, root: str):
+    """The row of the highest version, or None; one small file a version is read."""
+    try:
+        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/manifests")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.orderBy(F.desc("version")).first()
+
+
+def published_version(spark: SparkSession, root: str) -> int:
+    """Number of the published version; 0 before the first."""
+    found = _manifest(spark, root)
+    return found.version if found else 0
+
+
+def published(spark: SparkSession, root: str) -> DataFrame:
+    """The published version of a table."""
+    found = _manifest(spark, root)
+    if found is None:
+        raise PublishError(f"{root}: nothing published")
+    return spark.read.parquet(found.folder)
+
+
 def keep_payload(spark: SparkSession, files: str, path: str) -> DataFrame:
     """Copy the incoming files' bytes unchanged before any cleaning: rows (file, length, sha256, content) as Parquet.
 

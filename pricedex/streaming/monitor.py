@@ -118,6 +118,35 @@ def latency_quantiles(log: DataFrame, window="5 minutes", slide="1 minute", api=
         *[histogram_quantile(q, counts, F.col("n"), bounds).alias(f"p{int(round(q * 100))}") for q in quantiles])
 
 
+def latency_sketches(log: DataFrame, api: str = "data", k: int = 200) -> DataFrame:
+    """M05, sketch form: a mergeable quantile sketch per minute (window ``m``) of the observed latencies, its size bounded
+    by ``k`` whatever the traffic, so that minutes can be kept and any windows of them answered later."""
+    seen = latency_observed(log).where((F.col("api") == api) & F.col("latency_s").isNotNull())
+    return seen.groupBy(F.window("ts", "1 minute").alias("m")).agg(
+        F.kll_sketch_agg_double("latency_s", k).alias("sketch"), F.count(F.lit(1)).alias("n"))
+
+
+def sketch_quantiles(minutes: DataFrame, window="5 minutes", slide="1 minute", quantiles=(0.5, 0.95, 0.99)) -> DataFrame:
+    """Quantiles per sliding window from the minutes' sketches, merged."""
+    merged = minutes.groupBy(F.window(F.window_time("m"), window, slide).alias("w")).agg(
+        F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"))
+    return merged.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", *[
+        F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"p{int(round(q * 100))}") for q in quantiles])
+
+
+def rank_errors(log: DataFrame, found: DataFrame, api: str = "data", quantiles=(0.5, 0.95, 0.99)) -> DataFrame:
+    """How far the share of a window's latencies up to (or below) each found quantile is from what it should be."""
+    seen = latency_observed(log).where((F.col("api") == api) & F.col("latency_s").isNotNull())
+    rows = seen.select(F.window("ts", "5 minutes", "1 minute")["start"].alias("window_start"), "latency_s").join(found, "window_start")
+    names = {q: f"p{int(round(q * 100))}" for q in quantiles}
+    shares = rows.groupBy("window_start").agg(F.count(F.lit(1)).alias("n"), *[
+        agg for q, c in names.items() for agg in (F.count_if(F.col("latency_s") <= F.col(c)).alias(f"{c}_most"),
+                                                  F.count_if(F.col("latency_s") < F.col(c)).alias(f"{c}_least"))])
+    off = [F.greatest(F.lit(0.0), F.col(f"{c}_least") / F.col("n") - q, F.lit(q) - F.col(f"{c}_most") / F.col("n")).alias(f"{c}_off")
+           for q, c in names.items()]
+    return shares.select("window_start", "n", *off)
+
+
 def request_rate(log: DataFrame, window="1 minute", watermark: str | None = None) -> DataFrame:
     """Requests per second per endpoint over tumbling windows."""
     e = enrich(log)

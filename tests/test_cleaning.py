@@ -273,3 +273,33 @@ def test_page_extract(spark):
     assert out[2].product_name is None and out[3].categories is None
     anyh1 = {r.page_id: r.product_name for r in FS.extract_product(pages, h1_class=None).collect()}
     assert anyh1[2] == "Other"
+
+
+def test_long_csv_of_any_width_and_quoting(spark, tmp_dir):
+    names = [f"X{i}" for i in range(280)] + ["TIME_PERIOD", "OBS_VALUE", "FREQ", "COICOP_2018", "GEO_OBJECT"]
+    values = [str(i) for i in range(280)]
+    lines = [";".join(names), ";".join([*values, "2024-01", "1.5", "M", '"01;1"', '"a ""quoted"" name"']),
+             ";".join([*values, "2024-02", "", "M", "02", '""']), ";".join([*values, "2024-03", "2", "M"]),
+             ";".join([*values, "2024-04", "2", "M", "03", "x", "one too many"])]
+    with open(f"{tmp_dir}/wide.csv", "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    got = {r.TIME_PERIOD: r for r in FS.read_long_csv(spark, tmp_dir).collect()}
+    assert set(got) == {"2024-01", "2024-02", "2024-03"}
+    assert got["2024-01"].COICOP_2018 == "01;1" and got["2024-01"].GEO_OBJECT == 'a "quoted" name'
+    assert got["2024-02"].OBS_VALUE is None and got["2024-02"].GEO_OBJECT == ""
+    assert got["2024-03"].COICOP_2018 is None and got["2024-03"].IDX_TYPE is None
+    assert len(got["2024-01"]._present) == 285
+
+
+def test_publish_keeps_the_old_version_until_a_load_is_verified(spark, tmp_dir):
+    root = tmp_dir + "/t"
+    assert FS.published_version(spark, root) == 0
+    with pytest.raises(FS.PublishError):
+        FS.published(spark, root)
+    assert FS.publish(spark.range(5), root) == 1
+    old = FS.published(spark, root)
+    with pytest.raises(FS.PublishError):
+        FS.publish(spark.range(7), root, expected=8)
+    assert FS.published_version(spark, root) == 1 and FS.published(spark, root).count() == 5
+    assert FS.publish(spark.range(7), root, expected=7) == 2
+    assert FS.published(spark, root).count() == 7 and old.count() == 5  # a reader of the old version goes on

@@ -159,3 +159,20 @@ def test_stream_forms_have_no_python(spark, tmp_path):
     for df in (M.alert_runs(RM._event_time(log)), M.activity(RM._event_time(log))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "InPandas" not in plan and "MapIn" not in plan and "session_window" in plan
+
+
+def test_sketch_quantiles_stay_within_their_rank_error(spark):
+    rng = random.Random(6)
+    rows = [(T0 + dt.timedelta(seconds=rng.randrange(900)), "GET", "/api/inflation", 200, rng.expovariate(3.0), None)
+            for _ in range(20_000)]
+    log = log_df(spark, rows)
+    found = M.sketch_quantiles(M.latency_sketches(log)).select("window_start", "p50", "p95", "p99")
+    at = {r.window_start: r for r in found.collect()}
+    assert len(at) == 19  # fifteen minutes and the four before that reach into them
+    for start, r in at.items():
+        values = sorted(v[4] for v in rows if start <= v[0] < start + dt.timedelta(minutes=5))
+        for q, p in ((0.5, r.p50), (0.95, r.p95), (0.99, r.p99)):
+            rank = sum(v <= p for v in values) / len(values)
+            assert abs(rank - q) <= 0.0266 + 1 / len(values)
+    off = M.rank_errors(log, found).collect()
+    assert len(off) == 19 and all(max(r.p50_off, r.p95_off, r.p99_off) <= 0.0266 for r in off)
