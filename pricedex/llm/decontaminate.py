@@ -3,14 +3,15 @@
 Texts are compared as lower-case words joined by single spaces. An item of m characters may differ by
 ``m // chars_per_edit`` edits; split into that many pieces and one, at least one piece of a match is untouched. All
 pieces of the items are found at once (Aho-Corasick), and around every hit Myers' bit-parallel algorithm computes the
-smallest edit distance of the item to any part of the text there.
+smallest edit distance of the item to whole words of the text there: a match begins where a word begins and ends where one
+ends, so a short item is not found inside longer words.
 
 Documents are never shuffled: items go to them, in blocks of at most ``BLOCK_CHARS`` characters of text (a single
 longer item is a block of its own), one pass over the documents for each block.
 
 Cases: null or wordless items match nothing, null or empty texts hold nothing; repeated rows and items are found each;
-null ids are kept; items shorter than an edit's share of characters must be found exactly; extra columns are ignored or
-passed through.
+null ids are kept; items shorter than an edit's share of characters must be found exactly; without items every document
+stays, and without documents nothing is found; extra columns are ignored or passed through.
 """
 
 from __future__ import annotations
@@ -65,6 +66,44 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def anchored(pattern: str, text: str) -> list[int]:
+    """Edit distances of the pattern to the text's beginnings of 0, 1, 2, ... characters (Myers, start held)."""
+    m = len(pattern)
+    where: dict[str, int] = {}
+    for i, c in enumerate(pattern):
+        where[c] = where.get(c, 0) | 1 << i
+    mask, top = (1 << m) - 1, 1 << (m - 1)
+    up, down, score = mask, 0, m
+    scores = [m]
+    for c in text:
+        equal = where.get(c, 0)
+        x = equal | down
+        h = (((equal & up) + up) ^ up) | equal
+        plus = down | ~(h | up) & mask
+        minus = up & h
+        if plus & top:
+            score += 1
+        elif minus & top:
+            score -= 1
+        plus, minus = (plus << 1 | 1) & mask, (minus << 1) & mask
+        up, down = (minus | ~(x | plus)) & mask, plus & x
+        scores.append(score)
+    return scores
+
+
+def whole_words(item: str, budget: int, text: str, near: int) -> tuple[int, int, int] | None:
+    """(distance, start, end) of the closest run of whole words that begins within ``budget`` of ``near``, if close enough."""
+    best = None
+    for a in range(max(0, near - budget), min(len(text), near + budget + 1)):
+        if a and text[a - 1] != " ":
+            continue
+        scores = anchored(item, text[a: a + len(item) + budget])
+        for n in range(max(1, len(item) - budget), len(scores)):
+            if scores[n] <= budget and (a + n == len(text) or text[a + n] == " ") and (best is None or scores[n] < best[0]):
+                best = scores[n], a, a + n
+    return best
+
+
 class Matcher:
     def __init__(self, items: list[tuple[object, str]], chars_per_edit: int):
         self.items = [(key, text) for key, text in items if text]
@@ -96,13 +135,10 @@ class Matcher:
                 if start + len(item) - k <= done or (covered is not None and start <= covered):
                     continue
                 low, high = max(0, start - k), min(len(text), start + len(item) + k)
-                distance, end = myers(item, text[low:high])
                 covered = start
-                if distance <= k:
-                    end += low
-                    back, length = myers(item[::-1], text[low:end][::-1])
-                    found.append((number, distance, end - (length if back == distance else end - low), end))
-                    done = end
+                if myers(item, text[low:high])[0] <= k and (best := whole_words(item, k, text, start)):
+                    found.append((number, *best))
+                    done = best[2]
         return found
 
 

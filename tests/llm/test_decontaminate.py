@@ -26,6 +26,42 @@ def test_myers_against_dynamic_programming():
         assert slow_distance(p, t[:end]) == distance
 
 
+def slow_words(pattern, text):
+    """Smallest edit distance of the pattern to any run of whole words of the text."""
+    starts = [j == 0 or text[j - 1] == " " for j in range(len(text) + 1)]
+    row = [0]
+    for j in range(1, len(text) + 1):
+        row.append(0 if starts[j] else row[-1] + 1)
+    for i, p in enumerate(pattern, 1):
+        new = [row[0] + 1]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (p != t)))
+        row = new
+    return min(v for j, v in enumerate(row) if j == len(text) or text[j] == " ")
+
+
+def test_anchored_against_dynamic_programming():
+    rng = random.Random(8)
+    for _ in range(200):
+        p = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 90)))
+        t = "".join(rng.choice("abc ") for _ in range(rng.randint(0, 120)))
+        row = list(range(len(t) + 1))
+        for i, c in enumerate(p, 1):
+            new = [i]
+            for j, d in enumerate(t, 1):
+                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+            row = new
+        assert D.anchored(p, t) == row
+
+
+def test_items_are_found_as_whole_words(spark):
+    docs = spark.createDataFrame([(1, "we concatenate strings"), (2, "the cat sat"), (3, "cat"), (4, "a cat"), (5, "Cat, dog"),
+                                  (6, "scat"), (7, "cats")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "cat")], "item_id long, text string")
+    assert {r.doc_id for r in D.matches(spark, docs, items).collect()} == {2, 3, 4, 5}
+    assert {r.doc_id for r in D.clean(spark, docs, items).collect()} == {1, 6, 7}
+
+
 WORDS = [f"{a}{b}{c}" for a in ("ba", "to", "ki", "lu") for b in ("ran", "mes", "dol") for c in ("ti", "", "gar")]
 
 
@@ -60,7 +96,7 @@ def brute(items, docs):
         normal = D.normalise(text)
         for i, item in items:
             item = D.normalise(item)
-            if item and normal and (k := slow_distance(item, normal)) <= len(item) // D.CHARS_PER_EDIT:
+            if item and normal and (k := slow_words(item, normal)) <= len(item) // D.CHARS_PER_EDIT:
                 out[d, i] = k
     return out
 
@@ -116,5 +152,5 @@ def test_query_against_brute_force(spark):
     plain = {}  # every exact or nearly exact match has its longest word run whole; the table's passages are exact
     for d, text in docs:
         normal = " ".join(re.findall(r"\w+", text.lower()))
-        plain.update({(d, i): 0 for i, t in items if " ".join(re.findall(r"\w+", t.lower())) in normal})
+        plain.update({(d, i): 0 for i, t in items if f' {" ".join(re.findall(r"\w+", t.lower()))} ' in f" {normal} "})
     assert {k: v for k, v in got.items() if k[0] in short and v == 0} == plain
