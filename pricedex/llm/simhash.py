@@ -8,12 +8,14 @@ from the query's than the radius cannot hold a match). Inside a shard, rows sort
 compared only within ``max_bits`` of each other's distance, and every candidate by its full 64 bits. The trees depend
 on the number of bits and shards alone, never on data, and have at most 2^16 leaves.
 
-Equal fingerprints are one node from the start (a hot text is one fingerprint). A shard with very many distinct
-fingerprints is cut into tiles that different tasks compare. Every task reports a spanning forest of its links, which
+A leaf that the bounds leave is visited only if the ball has a value in it: the balls are small enough to list, once, when
+the tree is built, which spares visits and loses none. Equal fingerprints are one node from the start (a hot text is one
+fingerprint). A shard with very many distinct fingerprints or visitors is cut into tiles that different tasks compare. Every task reports a spanning forest of its links, which
 has the same components; these are found by ``common.connected_components``.
 
 Cases: null text counts as empty; a text without words has fingerprint zero and links like any other; null ids get a
-fingerprint and a component (null only if nothing in it has an id); repeated rows and extra columns do no harm.
+fingerprint and a component (null only if nothing in it has an id); an empty table gives no rows; repeated rows and extra
+columns of any name do no harm.
 """
 
 from __future__ import annotations
@@ -136,8 +138,12 @@ def _bands(fp: np.ndarray, bands: int) -> list[np.ndarray]:
     return [(fp >> np.uint64(width * b)) & np.uint64((1 << width) - 1) for b in range(bands)]
 
 
-def _deal(fp: np.ndarray, tree: VantageTree, bands: int, hot: dict[tuple[int, int], int]) -> Iterator[tuple]:
-    """(band, leaf, tile_a, tile_b, kind, fingerprints): kind 0 and 1 are a tile's two chunks of the shard, 2 visitors."""
+def _deal(fp: np.ndarray, tree: VantageTree, bands: int, hot: dict[tuple[int, int], tuple[int, int]]) -> Iterator[tuple]:
+    """(band, leaf, tile_a, tile_b, kind, fingerprints): kind 0 and 1 are a tile's two chunks of the shard, 2 visitors.
+
+    ``hot`` has the number of chunks of the fingerprints at home in a large shard and of its visitors. A tile is two chunks
+    at home, or one (tile_a) and one of visitors (tile_b below zero).
+    """
     for band, values in enumerate(_bands(fp, bands)):
         values = values.astype(np.int64)
         row, leaf = tree.visits(values)
@@ -147,19 +153,21 @@ def _deal(fp: np.ndarray, tree: VantageTree, bands: int, hot: dict[tuple[int, in
             order = np.argsort(leaves, kind="stable")
             at, start = np.unique(leaves[order], return_index=True)
             for one, part in zip(at.tolist(), np.split(fp[rows[order]], start[1:]), strict=True):
-                tiles = hot.get((band, one), 1)
-                if tiles == 1:
+                if (band, one) not in hot:
                     yield band, one, 0, 0, kind, part
-                elif kind == 2:
-                    for t in range(tiles):
-                        yield band, one, t, t, 2, part
-                else:
-                    chunk = _chunk(part, tiles)
-                    for i in range(tiles):
-                        mine = part[chunk == i]
-                        if len(mine):
-                            for t in range(tiles):
-                                yield band, one, min(i, t), max(i, t), int(t < i), mine
+                    continue
+                tiles, guests = hot[band, one]
+                chunk = _chunk(part, tiles if kind == 0 else guests)
+                for i in np.unique(chunk).tolist():
+                    mine = part[chunk == i]
+                    if kind == 2:
+                        for t in range(tiles):
+                            yield band, one, t, -1 - i, 2, mine
+                    else:
+                        for t in range(tiles):
+                            yield band, one, min(i, t), max(i, t), int(t < i), mine
+                        for g in range(guests):
+                            yield band, one, i, -1 - g, 0, mine
 
 
 def _chunk(fp: np.ndarray, tiles: int) -> np.ndarray:
@@ -193,8 +201,9 @@ def _compare(max_bits: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sides = [np.frombuffer(b"".join(pdf["fps"][pdf["kind"] == k]), np.uint64) for k in (0, 1, 2)]
         home, other, visitors = sides
-        same_tile = int(pdf["tile_a"].iloc[0]) == int(pdf["tile_b"].iloc[0])
-        found = [(home, home, True), (visitors, home, False)] if same_tile else [(home, other, False)]
+        a, b = int(pdf["tile_a"].iloc[0]), int(pdf["tile_b"].iloc[0])
+        found = [(visitors, home, False)] if b < 0 else [(home, home, True), (visitors, home, False)] if a == b else [
+            (home, other, False)]
         u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for a, b, same in found:
             for x, y in _near(a, b, max_bits, same):
@@ -219,17 +228,20 @@ def near_links(distinct: DataFrame, max_bits: int, bands: int = 4) -> DataFrame:
     home = tree.home
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((bands, tree.leaves), np.int64)
+        total, guests = (np.zeros((bands, tree.leaves), np.int64) for _ in range(2))
         for b in batches:
             for band, values in enumerate(_bands(b["fp"].to_numpy(np.int64).view(np.uint64), bands)):
-                total[band] += np.bincount(home[values.astype(np.int64)], minlength=tree.leaves)
-        band, leaf = np.nonzero(total)
-        yield pd.DataFrame({"band": band, "leaf": leaf, "n": total[band, leaf]})
+                values = values.astype(np.int64)
+                total[band] += np.bincount(home[values], minlength=tree.leaves)
+                guests[band] += np.bincount(tree.visits(values)[1], minlength=tree.leaves)
+        band, leaf = np.nonzero(total + guests)
+        yield pd.DataFrame({"band": band, "leaf": leaf, "n": total[band, leaf], "guests": guests[band, leaf]})
 
     # at most bands x 2^16 shards exist; only those too large for one task come to the driver, as counts
-    large = (distinct.select("fp").mapInPandas(count, "band int, leaf int, n long").groupBy("band", "leaf")
-             .agg(F.sum("n").alias("n")).where(F.col("n") > TILE_ROWS).collect())
-    hot = {(r.band, r.leaf): -(-r.n // TILE_ROWS) for r in large}
+    large = (distinct.select("fp").mapInPandas(count, "band int, leaf int, n long, guests long").groupBy("band", "leaf")
+             .agg(F.sum("n").alias("n"), F.sum("guests").alias("guests"))
+             .where((F.col("n") > TILE_ROWS) | (F.col("guests") > TILE_ROWS)).collect())
+    hot = {(r.band, r.leaf): (max(1, -(-r.n // TILE_ROWS)), max(1, -(-r.guests // TILE_ROWS))) for r in large}
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 
 import numpy as np
@@ -132,3 +133,37 @@ def test_query_against_brute_force(spark):
     fps = [slow_fingerprint(r.text, 4) for r in rows]
     low, find = brute_components([r.doc_id for r in rows], fps, 4)
     assert got == {r.doc_id: (f"{fps[i]:016x}", low[find(i)]) for i, r in enumerate(rows)}
+
+
+def test_visitors_of_a_small_leaf_are_dealt_to_several_tasks(spark, monkeypatch):
+    """Many fingerprints that share one band value visit a leaf of few: no group gets them all, and no link is lost."""
+    monkeypatch.setattr(S, "TILE_ROWS", 64)
+    monkeypatch.setattr(S, "SHARD_ROWS", 4)
+    rng = random.Random(12)
+    hot = [0x1234 | rng.getrandbits(48) << 16 for _ in range(1200)]
+    near = [f ^ 1 << rng.randrange(16) for f in hot[::40]] + [f ^ 0b1011 << 20 for f in hot[::60]]
+    values = sorted({v - (1 << 64) if v >> 63 else v for v in hot + near})
+    distinct = spark.createDataFrame([(v,) for v in values], "fp long").repartition(4)
+    tree = S.VantageTree(16, 1, 9)
+    fps = np.array(values, np.int64).view(np.uint64)
+    leaf = int(tree.home[0x1234])
+    guests = sum(len(part) for band, one, _, _, kind, part in S._deal(fps, tree, 4, {}) if kind == 2 and band == 0)
+    assert guests > 640 and leaf >= 0
+    hot_leaves = {(0, one): (2, 5) for one in range(tree.leaves)}
+    largest = max(len(part) for band, one, a, b, kind, part in S._deal(fps, tree, 4, hot_leaves) if kind == 2 and band == 0)
+    assert largest < guests / 2
+    links = S.near_links(distinct, 4).collect()
+    label = {v: v for v in values}
+
+    def find(v):
+        while label[v] != v:
+            v = label[v]
+        return v
+
+    for r in links:
+        label[find(r.u)] = find(r.v)
+    for i, a in enumerate(values):
+        for b in values[i + 1:]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4:
+                assert find(a) == find(b)
+    assert all(((r.u ^ r.v) & (1 << 64) - 1).bit_count() <= 4 for r in links) or len(links) < len(values)
