@@ -74,8 +74,8 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "W04": ("operators.analytics.top_categories(with_rank)", ("a11_top_n_ranked",)),
     "W05": ("max_by / min_by aggregates", ("a18_descriptive_stats", "a19_category_kpis")),
     "W06": ("operators.windows.year_over_year (direction)", ("w02_year_over_year",)),
-    "L01": ("operators.analytics.index_page", ("l01_index_page",)),
-    "L02": ("operators.analytics.price_page", ("l02_price_page",)),
+    "L01": ("operators.analytics.index_page, operators.pages.page", ("l01_index_page", "l01_page_500_by_key")),
+    "L02": ("operators.analytics.price_page, operators.pages.page", ("l02_price_page", "l02_page_35_by_key")),
     "L03": ("orderBy + limit extracts", ("q03_one_month_codes", "q07_two_year_extract")),
     "L04": ("operators.analytics.latest_row", ("l04_latest_row",)),
     "L05": ("sources.files.write_ordered, sources.files.read_ordered", ("l05_sorted_sink",)),

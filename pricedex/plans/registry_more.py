@@ -3,6 +3,13 @@ registered from their own modules, imported at the end."""
 
 from __future__ import annotations
 
+import os
+
+from pyspark.sql import functions as F
+
+from pricedex.operators import pages as PG
+from pricedex.session import application_id
+from pricedex.sources.landing import fresh_path
 from pricedex.operators import windows as WN
 from pricedex.plans import tables as T
 from pricedex.plans.registry import W, flt, register
@@ -57,3 +64,41 @@ register("j11_source_gap", W("""
     left join (select * from unified where source = 'ECB') b
       on a.obs_date = b.obs_date and a.area = b.area and a.category = b.category""", "unified"))(
     lambda spark, sf: WN.source_gap(T.unified(spark, sf), "INSEE", "ECB"))
+
+
+# ---------------------------------------------------------------------------------------------- pages by key
+INDEX_ORDER = [("obs_date", True), ("category", False), ("source", False), ("area", False)]
+PRICE_ORDER = [("collected_on", True), ("category", False), ("product", False), ("url", False)]
+_LISTINGS: dict[tuple, str] = {}
+
+
+def _listing(spark, sf, name, rows, order):
+    """A listing is written once per application."""
+    key = (application_id(spark), name, os.path.abspath(sf))
+    if key not in _LISTINGS:
+        path = fresh_path(spark, f"listing_{name}")
+        PG.write_listing(rows(spark, sf), path, order, files=8)
+        _LISTINGS[key] = path
+    return _LISTINGS[key]
+
+
+@register("l01_page_500_by_key", W("""
+    select obs_date, area, category, cast(value as double) as value, source, base_ref from unified
+    order by obs_date desc, category, source, area limit 20 offset 9980""", "unified"))
+def _l01_by_key(spark, sf):
+    path = _listing(spark, sf, "index", T.unified, INDEX_ORDER)
+    return PG.page(spark, path, INDEX_ORDER, 20, 20 * 499).withColumn("value", F.col("value").cast("double")).select(
+        "obs_date", "area", "category", "value", "source", "base_ref")
+
+
+@register("l02_page_35_by_key", W("""
+    select product, category, cast(unit_price as double) as unit_price, collected_on, url from prices
+    order by collected_on desc, category, product, url limit 50 offset 1700""", "prices"))
+def _l02_by_key(spark, sf):
+    path = _listing(spark, sf, "prices", T.prices, PRICE_ORDER)
+    return PG.page(spark, path, PRICE_ORDER, 50, 50 * 34).withColumn("unit_price", F.col("unit_price").cast("double")).select(
+        "product", "category", "unit_price", "collected_on", "url")
+
+
+register("a16_total_from_index", W("select count(*) as total from unified", "unified"))(
+    lambda spark, sf: PG.total_rows(spark, _listing(spark, sf, "index", T.unified, INDEX_ORDER)))

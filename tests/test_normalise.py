@@ -138,3 +138,26 @@ def test_ordered_sink_over_several_files(spark, tmp_dir):
     assert sorted(got) == list(enumerate(sorted(r.k for r in rows.collect())))
     FS.write_ordered(rows.limit(0), tmp_dir + "/empty", ["k"])
     assert FS.read_ordered(spark, tmp_dir + "/empty").collect() == []
+
+
+def test_pages_by_key_equal_offsets_and_read_little(spark, tmp_dir):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from pricedex.operators import pages as PG
+
+    order = [("day", True), ("name", False), ("k", False)]
+    rows = spark.range(5000).select(
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 40 * F.col("id") % 7 * 6).cast("int")).alias("day"),
+        F.concat(F.lit("n"), F.col("id") % 3).alias("name"), F.col("id").alias("k"))
+    PG.write_listing(rows, tmp_dir + "/l", order, every=100, files=6)
+    expected = [tuple(r) for r in rows.orderBy(F.desc("day"), "name", "k").collect()]
+    for offset, limit in ((0, 20), (95, 10), (100, 100), (2490, 250), (4990, 100), (5000, 10), (9999, 1)):
+        found = PG.page(spark, tmp_dir + "/l", order, limit, offset)
+        assert [tuple(r) for r in found.select("day", "name", "k").collect()] == expected[offset: offset + limit]
+    assert PG.total_rows(spark, tmp_dir + "/l").first().total == 5000
+    plan = PG.page(spark, tmp_dir + "/l", order, 20, 2400)._jdf.queryExecution().executedPlan().toString()
+    assert "(day," in plan[plan.index("PushedFilters"):]
+    PG.write_listing(rows.limit(0), tmp_dir + "/e", order)
+    assert PG.page(spark, tmp_dir + "/e", order).collect() == [] and PG.total_rows(spark, tmp_dir + "/e").first().total == 0
