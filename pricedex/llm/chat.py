@@ -16,8 +16,11 @@ Cases: text that is not such JSON, null or empty is a plain message; a call with
 without a call ``orphan``; of repeated identifiers in a conversation the first call (by turn, then position) is linked,
 the others are ``repeated``; results may repeat and are linked each; dependencies on unknown calls are ignored, calls on
 a cycle, or behind one, have no level; a call without an identifier is ``no identifier``: it has no level, links to
-nothing and is checked like the others; a name without a schema is ``unknown tool``; null conversation ids or turns stay
-rows of their own and link to nothing; extra columns are ignored.
+nothing and is checked like the others; a name without a schema is ``unknown tool``, of several schemas of a name the
+smallest holds; arguments with a repeated key are no object; a message row that stands twice gives its rows twice, and its
+calls, equal in turn and position, are both the first; a plain message or a result may be of any length, the arguments of a
+call up to the 16 MB of a VARIANT; null conversation ids or turns stay rows of their own and link to nothing; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +39,12 @@ def canonical(column: Column) -> Column:
     return F.to_json(F.parse_json(F.to_json(column, {"ignoreNullFields": "false"})))
 
 
+def flat(**fields: Column) -> Column:
+    """The same for fields that are strings, without parsing what was written: texts of any length."""
+    struct = F.struct(*[fields[name].alias(name) for name in sorted(fields)])
+    return F.to_json(struct, {"ignoreNullFields": "false"})
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
     rows = messages.select(F.col("conv_id"), F.col("turn"), F.col("role"), F.col("text"))
     return (rows.withColumn("calls", F.when(F.col("role") == "assistant", F.from_json("text", _CALLS))["tool_calls"])
@@ -145,7 +154,8 @@ def checked(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     found = (F.when(F.col("_fields").isNull(), F.array(F.lit("unknown tool")))
              .when(F.col("_types").isNull(), F.array(F.lit("not an object")))
              .otherwise(F.sort_array(F.concat(missing, wrong, unknown))))
-    joined = calls.join(schemas.select(F.col("name"), F.col("fields").alias("_fields")), "name", "left")
+    known = schemas.groupBy("name").agg(F.min("fields").alias("_fields"))  # one schema a name
+    joined = calls.join(known, "name", "left")
     types = F.when(kind.startswith("OBJECT"), types)
     return joined.withColumn("_types", types).withColumn("errors", found).drop("_types", "_fields")
 
@@ -183,9 +193,9 @@ def format_chat(spark: SparkSession, messages: DataFrame, schemas: DataFrame) ->
     result_rows = kept.join(order, ["conv_id", "call_id"], "left").select(
         "conv_id", "turn", F.lit(0).alias("at"), F.lit("result").alias("kind"), "call_id", "level", "status",
         none.cast("array<string>").alias("errors"),
-        canonical(F.struct(F.lit("result").alias("kind"), F.col("call_id").alias("id"), "content", "status")).alias("json"))
+        flat(kind=F.lit("result"), id=F.col("call_id"), content=F.col("content"), status=F.col("status")).alias("json"))
     text_rows = plain_messages(messages).select(
         "conv_id", "turn", F.lit(0).alias("at"), F.lit("message").alias("kind"), none.cast("string").alias("call_id"),
         none.cast("int").alias("level"), F.lit("plain").alias("status"), none.cast("array<string>").alias("errors"),
-        canonical(F.struct(F.lit("message").alias("kind"), "role", "text")).alias("json"))
+        flat(kind=F.lit("message"), role=F.col("role"), text=F.col("text")).alias("json"))
     return call_rows.unionByName(result_rows).unionByName(text_rows)

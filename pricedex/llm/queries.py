@@ -118,11 +118,12 @@ ANSWER_SCHEMA = [("answer", [("chars", "integer", True), ("question", "string",
 
 def conversations_as_tool_use(conversations: DataFrame) -> DataFrame:
     """Messages with tool calls made of conversations: a user's turn asks for a call of the tool ``answer`` that depends
-    on the call two turns before; an assistant's turn is the result of the call one turn before."""
+    on the call two turns before; an assistant's turn is the result of the call one turn before. In every fourth conversation
+    the calls lack the question that the tool requires."""
     def call_id(back: int):
         return F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), (F.col("turn") - back).cast("string"))
 
-    arguments = F.struct(F.coalesce(F.length("text"), F.lit(0)).alias("chars"), F.col("text").alias("question"), "turn")
+    arguments = F.struct(F.coalesce(F.length("text"), F.lit(0)).alias("chars"), F.when(F.coalesce(F.col("conv_id") % 4 != 1, F.lit(True)), F.col("text")).alias("question"), "turn")
     ask = F.struct(F.array(F.struct(call_id(0).alias("id"), F.lit("answer").alias("name"), arguments.alias("arguments"),
                                     F.array(call_id(2)).alias("depends_on"))).alias("tool_calls"))
     reply = F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content"))
@@ -143,8 +144,9 @@ def conversations_as_tool_use(conversations: DataFrame) -> DataFrame:
               FROM c),
     results AS (SELECT r.*, c.level, CASE WHEN c.call_id IS NULL THEN 'orphan' ELSE 'linked' END AS status
                 FROM r LEFT JOIN c USING (call_id))
-    SELECT conv_id, turn, 'call' AS kind, call_id, level, status, TRUE AS valid,
-           '{"arguments":{"chars":' || length(text) || ',"question":' || to_json(text) || ',"turn":' || turn || '},"id":"'
+    SELECT conv_id, turn, 'call' AS kind, call_id, level, status, conv_id % 4 <> 1 AS valid,
+           '{"arguments":{"chars":' || length(text) || CASE WHEN conv_id % 4 = 1 THEN '' ELSE ',"question":' || to_json(text) END
+           || ',"turn":' || turn || '},"id":"'
            || call_id || '","kind":"call","name":"answer","status":"' || status || '"}' AS json FROM calls
     UNION ALL
     SELECT conv_id, turn, 'result', call_id, level, status, NULL, '{"content":' || to_json(text) || ',"id":"' || call_id

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from pricedex.llm import chat as C
 
 SCHEMAS = [("f", [("q", "string", True), ("n", "integer", False), ("z", "object", False), ("x", "number", False),
@@ -108,3 +110,18 @@ def test_main_path_is_native(spark):
     schemas = spark.createDataFrame(SCHEMAS, "name string, fields array<struct<field:string,type:string,required:boolean>>")
     plan = C.format_chat(spark, messages, schemas)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_long_plain_messages_and_repeated_schemas(spark):
+    rows = spark.createDataFrame([(1, 0, "user", 40_000_000), (1, 2, "user", 3)], "conv_id long, turn long, role string, n int")
+    text = F.repeat(F.lit("ab\\"), (F.col("n") / 3).cast("int"))
+    call = '{"tool_calls": [{"id": "a", "name": "t", "arguments": {"x": 1, "x": 2}}, {"id": "b", "name": "t", "arguments": {"x": 1}}]}'
+    rows = rows.select("conv_id", "turn", "role", text.alias("text")).unionByName(
+        spark.createDataFrame([(1, 1, "assistant", call)], "conv_id long, turn long, role string, text string"))
+    schema = ("t", [("x", "integer", True)])
+    schemas = spark.createDataFrame([schema, schema], "name string, fields array<struct<field:string,type:string,required:boolean>>")
+    found = C.format_chat(spark, rows, schemas).select("turn", "call_id", "errors", F.length("json").alias("n"),
+                                                       F.substring("json", 1, 60).alias("head")).collect()
+    by = {(r.turn, r.call_id): r for r in found}
+    assert len(found) == 4 and by[1, "b"].errors == [] and len(by[1, "a"].errors) == 1
+    assert by[0, None].n > 50_000_000 and by[2, None].head == '{"kind":"message","role":"user","text":"ab\\\\"}'
