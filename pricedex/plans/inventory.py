@@ -9,7 +9,7 @@ INVENTORY: dict[str, tuple[str, tuple[str, ...]]] = {
     "S03": ("sources.files.read_series_csv", ("s03_series_csv_clean",)),
     "S04": ("sources.files.read_sdmx_xml", ("s04_sdmx_xml_clean",)),
     "S05": ("sources.files.read_price_json", ("s05_price_json_clean",)),
-    "S06": ("sources.files.extract_product", ("s06_page_extract",)),
+    "S06": ("sources.files.extract_product, sources.files.html_tokens", ("s06_page_extract", "s06_page_elements")),
     "S07": ("sources.standins.read_table (pruned scans, tests/test_plans.py)", ("f01_modelling_series",)),
     "S08": ("sources.files.write_table, sources.landing", ("s01_wide_bulk_clean", "s02_long_csv_clean")),
     "S09": ("sources.files.load_table, sources.files.publish, sources.files.published",

@@ -82,6 +82,27 @@ def _s06(spark, sf):
     return FS.extract_product(pages.withColumn("html", html), h1_class="title-1")
 
 
+@register("s06_page_elements", r"""
+    select page_id, url,
+           nullif(replace(replace(replace(replace(trim(regexp_replace(inner_html, '<[^>]+>', '', 'g')), '&lt;', '<'), '&gt;', '>'),
+                  '&quot;', '"'), '&amp;', '&'), '') as product_name,
+           'c' || cast(page_id % 7 as varchar) || ' & co' as categories
+    from (select page_id, url,
+                 case when contains(html, '<h1>')
+                      then split_part(split_part(html, '<h1>', 2), '</h1>', 1) else '' end as inner_html from pages)""")
+def _s06_elements(spark, sf):
+    """The same pages with upper-case tags, single and no quotes, an inner element around the heading's text, and headings in a
+    comment, a script and another tag's attribute, none of which must be found."""
+    pages = S.read_table(spark, sf, "pages")
+    extra = F.concat(
+        F.lit("<!-- <h1 class='title-1'>old</h1> --><SCRIPT>var a = \"<h1 class='title-1'>js</h1>\";</SCRIPT>"
+              "<h1 data-note=' class=\"title-1\" '>no</h1><P ID=categories><i> c"),
+        (F.col("page_id") % 7).cast("string"), F.lit("</i> &amp; <B>co</B></P>"))
+    headed = F.replace(F.replace("html", F.lit("<h1>"), F.lit("<H1 lang=fr\n CLASS = 'big title-1'><span class=\"x>y\">")),
+                       F.lit("</h1>"), F.lit("</span></H1 >"))
+    return FS.extract_product(pages.withColumn("html", F.concat(extra, headed)), h1_class="title-1")
+
+
 @register("s09_load_verified", W("select count(*) as rows_written from unified", "unified"))
 def _s09(spark, sf):
     """The load counts the rows on the way in and compares them with the table."""

@@ -154,10 +154,41 @@ def read_price_json(spark: SparkSession, path: str) -> DataFrame:
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
 
 
-def _element_text(html, tag: str, attr: str | None, value: str | None):
-    attr_re = rf'[^>]*\b{attr}="(?:[^"]* )?{value}(?: [^"]*)?"' if attr else ""
-    inner = F.regexp_extract(html, rf"(?s)<{tag}\b{attr_re}[^>]*>(.*?)</{tag}>", 1)
-    text = F.trim(F.regexp_replace(inner, r"<[^>]+>", ""))
+#: Comments, elements whose content is no markup, tags with their quoted attributes, text, and a lone "<".
+HTML_TOKEN = (r"""(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title)\b.*?(?:</\1\s*>|\z)"""
+              r"""|</?[a-z][^\s/>]*(?:"[^"]*"|'[^']*'|[^"'>]++)*+>|[^<]++|<""")
+ATTRIBUTE = r"""([^\s"'=<>/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def html_tokens(html) -> Column:
+    """The page cut into comments, tags and text, in order; nothing is lost."""
+    return F.regexp_extract_all(html, F.lit(HTML_TOKEN), 0)
+
+
+def _has_word(tag, attr: str, word: str) -> Column:
+    """Whether the attribute of a tag, whatever its quotes and letter case, has the word among its words."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1), lambda n: F.lower(n))
+    value = F.get(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2), (F.array_position(names, attr) - 1).cast("int"))
+    words = F.split(F.regexp_replace(value, "^[\"']|[\"']$", ""), r"\s+")
+    return F.coalesce(F.array_contains(words, word) & (F.array_position(names, attr) > 0), F.lit(False))
+
+
+def _element_text(tokens, tag: str, attr: str | None, value: str | None):
+    """Text of the first ``tag`` element (with the word ``value`` in ``attr`` when given): its tokens folded by depth."""
+    opened = rf"(?i)^<{tag}(?=[\s/>])"
+    closed = rf"(?i)^</{tag}(?=[\s/>])"
+
+    def step(s: Column, token: Column) -> Column:
+        starts = token.rlike(opened)
+        wanted = starts & _has_word(token, attr, value) if attr else starts
+        depth = (F.when(s["done"], F.lit(0)).when(s["depth"] == 0, F.when(wanted, F.lit(1)).otherwise(F.lit(0)))
+                 .when(starts, s["depth"] + 1).when(token.rlike(closed), s["depth"] - 1).otherwise(s["depth"]))
+        done = s["done"] | ((s["depth"] > 0) & (depth == 0))
+        text = F.when((s["depth"] > 0) & ~s["done"] & (~token.startswith("<") | (token == "<")), F.concat(s["text"], token))
+        return F.struct(depth.alias("depth"), F.coalesce(text, s["text"]).alias("text"), done.alias("done"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("done"))
+    text = F.trim(F.aggregate(tokens, start, step)["text"])
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return F.when(text == "", F.lit(None)).otherwise(text)
@@ -165,10 +196,12 @@ def _element_text(html, tag: str, attr: str | None, value: str | None):
 
 def extract_product(pages: DataFrame, h1_class: str | None = "title-1") -> DataFrame:
     """Product name (first <h1>, with class ``h1_class`` when given) and categories (<p id="categories">) per
-    page; no match -> null. Native regex extraction, no parser in Python."""
-    name = _element_text(F.col("html"), "h1", "class" if h1_class else None, h1_class)
-    cats = _element_text(F.col("html"), "p", "id", "categories")
-    return pages.select("page_id", "url", name.alias("product_name"), cats.alias("categories"))
+    page; no match -> null. Letter case and quotes of tags do not matter, inner elements' text counts, and what stands in
+    comments and scripts does not. An element that is not closed reaches to the page's end. Native, no parser in Python."""
+    cut = pages.select("page_id", "url", F.explode(F.array(html_tokens(F.coalesce("html", F.lit(""))))).alias("tokens"))
+    name = _element_text(F.col("tokens"), "h1", "class" if h1_class else None, h1_class)
+    cats = _element_text(F.col("tokens"), "p", "id", "categories")
+    return cut.select("page_id", "url", name.alias("product_name"), cats.alias("categories"))
 
 
 # ------------------------------------------------------------------------------------------------ sinks

@@ -303,3 +303,18 @@ def test_publish_keeps_the_old_version_until_a_load_is_verified(spark, tmp_dir):
     assert FS.published_version(spark, root) == 1 and FS.published(spark, root).count() == 5
     assert FS.publish(spark.range(7), root, expected=7) == 2
     assert FS.published(spark, root).count() == 7 and old.count() == 5  # a reader of the old version goes on
+
+
+def test_page_elements_of_any_form(spark):
+    pages = [(1, "<!-- <h1 class='title-1'>old</h1> --><H1 CLASS='big title-1'>Pâte <span class=\"a>b\">à <b>tartiner</b></span> &lt;1</H1>tail"),
+             (2, "<h1 class=title-1>a<h1>inner</h1>b</h1>c"), (3, "<h1 class='title-10'>no</h1>"), (4, None), (5, ""),
+             (6, "<h1 class='title-1'>not closed <i>at all"), (7, "<script><h1 class='title-1'>x</h1></script><p id='a categories'>1 < 2</p>"),
+             (8, "<!-- open comment <h1 class='title-1'>x</h1>"), (9, "x" * 300_000 + "<h1 a='" + "y" * 100_000 + "' class='title-1'>far</h1>"),
+             (10, "<h1x class='title-1'>no</h1x><h1\nclass = 'title-1'\n>yes</h1\n>")]
+    df = spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string")
+    got = {r.page_id: r for r in FS.extract_product(df).collect()}
+    assert [got[i].product_name for i, _ in pages] == ["Pâte à tartiner <1", "ainnerb", None, None, None, "not closed at all", None, None,
+                                                       "far", "yes"]
+    assert got[7].categories == "1 < 2"
+    tokens = df.where("html is not null").select("html", F.array_join(FS.html_tokens(F.col("html")), "").alias("again")).collect()
+    assert all(r.html == r.again for r in tokens)
