@@ -110,8 +110,8 @@ def _s09(spark, sf):
     return spark.range(1).select(F.lit(n).cast("bigint").alias("rows_written"))
 
 
-@register("s10_payload_kept", W("select 'price items' as feed, count(*) as lines, sum(price) as total from ("
-                                "select 1 as k, price from prices_raw) where k = 1", "prices_raw"))
+@register("s10_payload_kept", W("select 'price items' as feed, count(*) as lines, "
+                                "cast(sum(cast(price as decimal(18,2))) as double) as total from prices_raw", "prices_raw"))
 def _s10(spark, sf):
     """The landed price feed is copied unchanged, then read from the copies: nothing is lost."""
     landed = L.land_price_json(spark, sf)
@@ -122,7 +122,7 @@ def _s10(spark, sf):
                                                                  body.alias("value"))
      .write.partitionBy("copy").text(unpacked))
     items = FS.read_price_json(spark, unpacked)
-    return items.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("price").cast("double")).alias("total")).select(
+    return items.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("total")).select(
         F.lit("price items").alias("feed"), "lines", "total")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from pricedex.operators.cleaning import LONG_CSV_COLUMNS
 from pricedex.session import parallelism
+from pricedex.sources.store import written
 
 
 # ------------------------------------------------------------------------------------------------ S01 wide bulk
@@ -125,28 +126,81 @@ def read_sdmx_xml(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------------------------------------ S05 price JSON
 PRICE_ITEM_SCHEMA = ("id long, product_code string, product_name string, category_tag string, price string, "
                      "currency string, location_osm_id long, date string")
-PRICE_ITEM_STRUCT = PRICE_ITEM_SCHEMA.replace(" ", ":").replace(",:", ", ")
 
 
-def read_price_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON price items; missing fields become null.
+#: Up to the first brace outside strings; the rest from that brace on.
+TO_BRACE = r"""(?s)^(?:[^{"]++|"(?:\\.|[^"\\]++)*+")*+(\{.*)$"""
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The files cut behind every closing brace, as a table: file, block (where the split starts), id (order inside), text.
+
+    The text source splits a large file at the brace as it would at line ends, so that one file on one line feeds many
+    tasks."""
+    pieces = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "^\ufeff", "").alias("text"))
+    return written(pieces, "json-pieces")
+
+
+def _before(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the file's pieces before each one: sums inside a split (one task's share of a
+    file), and of the splits before it (one row a split)."""
+    inside = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("file", "block").agg(F.sum(value).alias("n"))
+    offsets = totals.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    return rows.join(offsets, ["file", "block"]).withColumn(
+        name, F.col("offset") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("offset")
+
 
-    A file may hold one item per line, an array of items (on one line or indented), or pages ``{"items": [...]}``.
-    One item per line is read line by line; files whose first character opens an array, or that name ``items``, are
-    read whole, one task per file (a page of the feed is small).
+def _count(text, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def json_items(spark: SparkSession, path: str) -> DataFrame:
+    """(file, item): the JSON text of every item of the files below ``path``.
+
+    A file holds items one after the other (one a line), an array of items, or pages ``{"items": [...]}``; which, its first
+    piece says. Whether a piece begins inside a string, and how deep in braces, are sums over the pieces before it: of
+    quotes, then of braces outside strings. An item ends with the brace that brings the depth back to the list's; most items
+    are one piece, and only the pieces of others are put together.
     """
-    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("value"))
-    starts = text.groupBy("file").agg(F.max(F.col("value").rlike(r'^\[|^\{?\s*"items"\s*:')).alias("whole"))
-    whole = [r.file for r in starts.where("whole").collect()]
-    items = spark.read.schema(PRICE_ITEM_SCHEMA).json(path)
-    names = items.columns[: len(T._parse_datatype_string(PRICE_ITEM_SCHEMA).fields)]  # less the folders' partition columns
-    if not whole:
-        return items.select(*names)
-    items = items.where(~F.col("_metadata.file_path").isin(whole)).select(*names)
-    page = spark.read.text(whole, wholetext=True).select(F.col("value"))
-    array = f"array<struct<{PRICE_ITEM_STRUCT}>>"
-    listed = F.coalesce(F.from_json("value", f"items {array}")["items"], F.from_json("value", array))
-    return items.unionByName(page.select(F.explode(listed).alias("i")).select("i.*"))
+    rows = _pieces(spark, path)
+    bare = F.regexp_replace("text", r"(?s)\\.", "")  # without escaped characters every quote is one
+    first = rows.groupBy("file").agg(F.min_by("text", F.struct("block", "id")).alias("head"))
+    kinds = first.select("file", F.when(F.col("head").rlike(r'^\s*\{[^\[{]*"items"\s*:\s*\['), 1).otherwise(0).alias("base"))
+    rows = _before(rows.withColumns({"bare": bare, "quotes": _count(bare, '"')}), "quotes", "quotes_before")
+    within = F.col("quotes_before") % 2 == 1
+    open_ = F.when(within, F.regexp_replace("bare", '^[^"]*("|$)', "")).otherwise(F.col("bare"))
+    outside = F.regexp_replace(open_, '"[^"]*("|$)', "")
+    closes = (F.col("quotes_before") + F.col("quotes")) % 2 == 0  # the brace behind the piece is no part of a string
+    rows = rows.withColumns({"outside": outside, "closes": closes}).drop("bare", "quotes", "quotes_before")
+    rows = rows.withColumn("rise", _count(F.col("outside"), "{") - _count(F.col("outside"), "}") - F.col("closes").cast("int"))
+    rows = _before(rows, "rise", "depth").join(kinds, "file")
+    base, depth, after = F.col("base"), F.col("depth"), F.col("depth") + F.col("rise")
+    starts = (depth <= base) & (depth + _count(F.col("outside"), "{") > base)
+    rows = rows.withColumns({"starts": starts, "ends": F.col("closes") & (after == base) & (starts | (depth > base))})
+    # a page's first item stands behind the page's own brace
+    body = F.regexp_extract("text", TO_BRACE, 1)
+    inner = F.regexp_extract(F.substr(body, F.lit(2)), TO_BRACE, 1)
+    opened = F.when((base == 1) & (depth == 0), inner).otherwise(body)
+    named = F.col("outside").rlike(r":\s*\{[^{]*$") & (base == 1) & (depth == 1)  # an object of the page, not of its list
+    part = F.concat(F.when(F.col("starts"), opened).otherwise(F.col("text")), F.lit("}"))
+    rows = rows.select("file", "block", "id", "starts", "ends", part.alias("part"), (named & starts).alias("named"),
+                       ((depth > base) | F.col("starts")).alias("inside"), F.col("ends").cast("int").alias("ended"))
+    whole = rows.where("starts AND ends AND NOT named").select("file", F.col("part").alias("item"))
+    split = _before(rows, "ended", "number").where("inside AND NOT (starts AND ends)")
+    joined = split.groupBy("file", "number").agg(
+        F.sort_array(F.collect_list(F.struct("block", "id", "part"))).alias("parts"), F.max("named").alias("named"),
+        F.max("ends").alias("ended")).where("ended AND NOT named")  # the pieces of one item
+    return whole.unionByName(joined.select("file", F.array_join(F.transform("parts", lambda p: p["part"]), "").alias("item")))
+
+
+def read_price_json(spark: SparkSession, path: str) -> DataFrame:
+    """JSON price items; missing fields become null. Files may hold one item per line, an array of items (on one line or
+    indented), or pages ``{"items": [...]}``; a file of any size is read by as many tasks as it has splits."""
+    return json_items(spark, path).select(F.from_json("item", PRICE_ITEM_SCHEMA).alias("i")).select("i.*")
 
 
 # ------------------------------------------------------------------------------------------------ S06 HTML pages
@@ -241,10 +295,10 @@ def load_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     """Truncate-and-load, then verify: the written table must have the rows that were counted on the way in."""
     seen = Observation()
     write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), path, partition_by=partition_by)
-    written = df.sparkSession.read.parquet(path).count()
-    if written != seen.get["n"]:
-        raise RuntimeError(f"{path}: {written} rows written, {seen.get['n']} expected")
-    return written
+    found = df.sparkSession.read.parquet(path).count()
+    if found != seen.get["n"]:
+        raise RuntimeError(f"{path}: {found} rows written, {seen.get['n']} expected")
+    return found
 
 
 class PublishError(RuntimeError):
@@ -265,10 +319,10 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None, exp
     version = published_version(spark, root) + 1
     folder, seen = f"{root}/data/{uuid.uuid4().hex}", Observation()
     write_table(df.observe(seen, F.count(F.lit(1)).alias("n")), folder, partition_by=partition_by)
-    written = spark.read.schema(df.schema).parquet(folder).count()
-    if not written == seen.get["n"] == (written if expected is None else expected):
-        raise PublishError(f"{root}: {written} rows written, {seen.get['n']} read, {expected} expected")
-    spark.createDataFrame([(version, folder, written)], MANIFEST_SCHEMA).coalesce(1).write.json(f"{root}/manifests/version={version}")
+    found = spark.read.schema(df.schema).parquet(folder).count()
+    if not found == seen.get["n"] == (found if expected is None else expected):
+        raise PublishError(f"{root}: {found} rows written, {seen.get['n']} read, {expected} expected")
+    spark.createDataFrame([(version, folder, found)], MANIFEST_SCHEMA).coalesce(1).write.json(f"{root}/manifests/version={version}")
     return version
 
 

@@ -318,3 +318,32 @@ def test_page_elements_of_any_form(spark):
     assert got[7].categories == "1 < 2"
     tokens = df.where("html is not null").select("html", F.array_join(FS.html_tokens(F.col("html")), "").alias("again")).collect()
     assert all(r.html == r.again for r in tokens)
+
+
+def test_price_feeds_of_any_form_and_split(spark, tmp_dir):
+    import json
+
+    def item(i, **more):
+        return {"id": i, "product_name": f'a "quoted" {{brace}} \\\\ {i}, [x] }}', "price": "1.5", **more}
+
+    def names(items):
+        return sorted((d["id"], d["product_name"]) for d in items)
+
+    flat, nested = [item(i) for i in range(400)], [item(1000 + i, extra={"a": {"b": "}{"}, "c": [1, {"d": 2}]}) for i in range(300)]
+    forms = {"lines": "\n".join(json.dumps(d) for d in flat[:100]) + "\n", "array": json.dumps(flat[100:200]),
+             "indented": json.dumps(flat[200:300], indent=2), "page": json.dumps({"items": flat[300:400], "total": 100}),
+             "nested": json.dumps(nested[:100]), "page2": json.dumps({"page": 3, "items": nested[100:200], "meta": {"a": {"b": 1}}, "n": 1}),
+             "lines2": "\n".join(json.dumps(d) for d in nested[200:]), "empty": "", "none": "[]", "nopage": '{"items": [], "total": 0}'}
+    for name, text in forms.items():
+        with open(f"{tmp_dir}/{name}.json", "w", encoding="utf-8") as f:
+            f.write(text)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in (before, "2000"):  # one split a file, and many
+            spark.conf.set(key, size)
+            got = FS.read_price_json(spark, tmp_dir).collect()
+            assert sorted((r.id, r.product_name) for r in got) == names(flat + nested)
+        assert spark.read.option("lineSep", "}").text(f"{tmp_dir}/array.json").rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set(key, before)
