@@ -25,13 +25,12 @@ def test_base_obs_scans_are_pruned(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("s0", "s1", "m03_stream",
-                                                                              "m05_stream", "m07_stream"))))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_and_no_row_udf(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDF anywhere
-    assert "InPandas" not in plan.replace("FlatMapGroupsInPandasWithState", "") and "ArrowEvalPython" not in plan
+    assert "InPandas" not in plan and "ArrowEvalPython" not in plan
 
 
 def test_source_filter_is_pushed_to_partitioned_stand_in(spark):
