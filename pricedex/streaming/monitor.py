@@ -41,14 +41,18 @@ def enrich(log: DataFrame) -> DataFrame:
 
 #: Labels of paths that are no pattern; a stream counts every other one as ``other``, so that its state is bounded.
 PLAIN_ENDPOINTS = ("/", "/health", "/metrics", "/docs", "/openapi.json")
+METHODS = ("GET", "HEAD", "POST", "PUT", "PATCH", "DELETE", "OPTIONS")
 
 
 def request_counts(log: DataFrame, known_only: bool = False) -> DataFrame:
-    """M03. ``known_only`` (streams) keeps the labels to a fixed set: unknown paths count as ``other``."""
+    """M03. ``known_only`` (streams) keeps the labels to a fixed set: unknown paths, methods and codes count as ``other``."""
     e = enrich(log)
     if known_only:
         known = F.col("endpoint").isin(*API_ENDPOINTS, *PLAIN_ENDPOINTS)
-        e = e.withColumn("endpoint", F.when(known, F.col("endpoint")).otherwise("other"))
+        e = e.withColumns({
+            "endpoint": F.when(known, F.col("endpoint")).otherwise("other"),
+            "method": F.when(F.col("method").isin(*METHODS), F.col("method")).otherwise("other"),
+            "status_code": F.when(F.col("status").between(100, 599), F.col("status_code")).otherwise("other")})
     return e.groupBy("method", "endpoint", "status_code").agg(F.count(F.lit(1)).alias("requests"))
 
 

@@ -111,6 +111,9 @@ def test_unknown_paths_of_a_stream_are_one_label(spark):
     rows = [(T0, "GET", p, 200, 0.1, None) for p in ("/x/1", "/x/2", "/health", "/api/predict/01")]
     got = {r.endpoint: r.requests for r in M.request_counts(log_df(spark, rows), known_only=True).collect()}
     assert got == {"other": 2, "/health": 1, "/api/predict/{categorie}": 1}
+    odd = [(T0, m, "/health", s, 0.1, None) for m, s in (("GET", 200), ("XYZ1", 200), ("XYZ2", 70000), ("GET", -1))]
+    got = {(r.method, r.status_code): r.requests for r in M.request_counts(log_df(spark, odd), known_only=True).collect()}
+    assert got == {("GET", "200"): 1, ("other", "200"): 1, ("other", "other"): 1, ("GET", "other"): 1}
 
 
 def test_sliding_windows_expand_counts_not_requests(spark):
