@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricedex import reference_data as R
-from pricedex.functions.columns import slug
+from pricedex.functions.columns import half_even, slug
 from pricedex.operators import additive, monthly
 from pricedex.sources.store import written
 
@@ -163,9 +163,9 @@ def metrics(fc: DataFrame, by=("source", "area", "category", "model")) -> DataFr
     e = fc.where(F.col("kind") == "eval").withColumn("err", F.col("y") - F.col("yhat"))
     denom = F.when(F.col("y") != 0, F.col("y")).otherwise(F.lit(1.0))
     return e.groupBy(*by).agg(
-        F.bround(F.avg(F.abs("err")), 4).alias("mae"),
-        F.bround(F.sqrt(F.avg(F.col("err") * F.col("err"))), 4).alias("rmse"),
-        F.bround(F.avg(F.abs(F.col("err") / denom)) * 100, 2).alias("mape_pct"),
+        half_even(F.avg(F.abs("err")), 4).alias("mae"),
+        half_even(F.sqrt(F.avg(F.col("err") * F.col("err"))), 4).alias("rmse"),
+        half_even(F.avg(F.abs(F.col("err") / denom)) * 100, 2).alias("mape_pct"),
         F.max("n_train").alias("n_train"), F.count(F.lit(1)).alias("n_eval"))
 
 
