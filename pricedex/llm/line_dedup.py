@@ -1,12 +1,16 @@
 """Line dedup with a log-template tree: lines whose template recurs across documents are dropped.
 
 Tree: a line's first level is its number of tokens, the next ``DEPTH`` levels its leading tokens (a token with a digit
-is a variable field and stands as ``<*>``). In a leaf, two lines may differ in as many positions as ``similarity`` leaves
-open. The positions after the leading ones are cut into one block more than that, so two such lines agree on a whole
-block; the lines that share a block have its first line (by hash) as leader, and a line joins the first of its blocks'
-leaders that it agrees with on enough positions. Lines joined to each other, directly or through others, are one template
-whose differing positions are variable fields. Nothing in this looks at how many lines there are: a leaf of any size is cut
-alike, no leaf or block is gathered anywhere, and a line is compared with one leader a block.
+is a variable field and stands as ``<*>``). Two lines of a leaf that agree on the share ``similarity`` of their positions are
+linked, every such pair; lines linked to each other, directly or through others, are one template whose differing positions
+are variable fields. This is the definition at every size; how pairs are found depends on the leaf:
+
+A small leaf is compared whole, many leaves to a task. In a large one the positions after the leading ones are cut into one
+block more than may differ, so linked lines agree on a whole block; which positions go together follows from how often their
+tokens are equal in this leaf, so that a block of constant positions, which all lines share, arises only if nothing else is
+left. The lines that share a block are first compared with one of them. Those that are then of several components are
+compared pair by pair: in one task or, when they are many, in tiles that different tasks take. Pairs of one component are not
+looked at again, and a task reports a spanning forest of its links.
 
 A template recurs if documents with at least ``min_docs`` different texts have it. It stays in the text with the smallest
 id that has it and is dropped everywhere else, so nothing is lost from the corpus; equal texts are treated alike (copies
@@ -19,6 +23,7 @@ larger than all; repeated rows are equal texts; an empty table stays empty; extr
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from array import array
@@ -33,12 +38,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricedex.llm.common import as_row, connected_components, materialise, row_fields
+from pricedex.llm.common import _forest, as_row, connected_components, materialise, row_fields
 
 DEPTH = 4
 FILTER_BITS = 1 << 26  # of the bitmap that keeps most lines from being shuffled: 8 MB, whatever the input
 MIN_DOCS = 2
 SIMILARITY = 0.8
+FEW_LINES = 16  # a leaf of as many lines is compared whole, however long they are
+SMALL_LINES, SMALL_TOKENS = 2048, 1 << 18  # so is one of as many lines and tokens
+TILE_LINES, TILE_TOKENS = 16_384, 1 << 21  # more lines that share a block are compared in tiles
+GROUP = ["leaf", "block", "key", "tile_a", "tile_b"]  # what a task compares at a time
 VARIABLE = "<*>"
 _DIGIT = re.compile(rb"[0-9]")
 
@@ -124,6 +133,36 @@ def _bitmap(leaves: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _order(weights: list[float], bounds: list[tuple[int, int]]) -> list[int]:
+    """Positions of a line, permuted so that the blocks cut at ``bounds`` are about equal in weight: the heaviest position
+    goes to the block with the least weight that has a place left."""
+    slots = [list(range(x, y)) for x, y in bounds]
+    total = [(0.0, i) for i, free in enumerate(slots) if free]
+    out = list(range(len(weights)))
+    for position in sorted(range(DEPTH, len(weights)), key=lambda p: -weights[p]) if total else []:
+        weight, i = heapq.heappop(total)
+        out[slots[i].pop()] = position
+        if slots[i]:
+            heapq.heappush(total, (weight + weights[position], i))
+    return out
+
+
+def _orders(bodies: DataFrame, similarity: float) -> DataFrame:
+    """(leaf, order): the positions of the leaf's lines as the blocks take them. A position weighs more the fewer pairs of
+    lines have the same token there."""
+    at = bodies.select("leaf", F.posexplode(F.split("body", " ")).alias("position", "token"))
+    same = at.groupBy("leaf", "position", "token").agg(F.count("*").cast("double").alias("n")).groupBy("leaf", "position").agg(
+        (2 * F.log(F.sum("n")) - F.log(F.sum(F.col("n") * F.col("n")))).alias("weight"))
+    weights = same.groupBy("leaf").agg(  # bounded by a line's tokens
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "weight"))), lambda x: x["weight"]).alias("weights"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"leaf": b["leaf"], "order": [_order(w.tolist(), block_bounds(len(w), similarity)) for w in b["weights"]]})
+
+    return weights.mapInPandas(run, "leaf long, order array<int>")
+
+
 def _blocks(similarity: float):
     """(leaf, line, block, key) for every block of every line; keys of different tokens may be equal, at the cost of a look."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +170,9 @@ def _blocks(similarity: float):
         digest = xxhash.xxh64_intdigest
         for b in batches:
             row, block, key = array("q"), array("i"), array("Q")
-            for i, body in enumerate(b.column("body").to_pylist()):
+            for i, (body, order) in enumerate(zip(b.column("body").to_pylist(), b.column("order").to_pylist(), strict=True)):
                 words = body.split(" ")
+                words = [words[p] for p in order]
                 n = len(words)
                 if n not in bounds:
                     bounds[n] = block_bounds(n, similarity)
@@ -154,30 +194,120 @@ def _agreeing(similarity: float):
             for mine, other in zip(b.column("body").to_pylist(), b.column("leader_body").to_pylist(), strict=True):
                 words = mine.split(" ")
                 keep.append(sum(map(eq, words, other.split(" "))) >= needed(len(words), similarity))
-            yield pa.RecordBatch.from_arrays([b.column("line"), b.column("leader")], ["line", "leader"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column("line"), b.column("leader")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def _near(codes: np.ndarray, label: np.ndarray, side: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of labels that join the lines (columns of ``codes``) of which at most ``differ`` positions (rows) are unlike.
+
+    Lines of side 0 are compared with those of side 1 or, if there are none, with each other, unless their labels are joined
+    already; in blocks of bounded size.
+    """
+    names, label = np.unique(label, return_inverse=True)
+    root = np.arange(len(names))
+    codes = np.ascontiguousarray(codes[(codes != codes[:, :1]).any(axis=1)])
+    if len(codes) <= differ:  # any two agree on enough
+        root[:] = 0
+    elif len(label) > 2:
+        mine, other = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        other = other if len(other) else mine
+        step = max(1, (1 << 20) // len(other))
+        for at in range(0, len(mine), step):
+            rows, now = mine[at: at + step], root[label]
+            if (now == now[0]).all():
+                break
+            unlike = np.zeros((len(rows), len(other)), np.int32)
+            for position in codes:
+                unlike += position[rows, None] != position[None, other]
+            i, j = np.nonzero((unlike <= differ) & (now[rows, None] != now[None, other]))
+            if len(i):
+                node, low = _forest(now[rows[i]], now[other[j]])
+                to = np.arange(len(names))
+                to[node] = low
+                root = to[root]
+    far = root != np.arange(len(names))
+    return names[far], names[root[far]]
+
+
+def _compare(similarity: float):
+    """Links (u, v) between the labels of the lines of each group; the rows of a group come one after the other."""
+    def links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        ids: dict[str, int] = {}
+        codes = np.array([[ids.setdefault(t, len(ids)) for t in body.split(" ")] for r in rows for body in r[0]], np.int32).T
+        label, side = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
+        return _near(codes, label, side, len(codes) - needed(len(codes), similarity))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, of = [], None  # the group that may go on in the next batch
+        for b in batches:
+            if not len(b):
+                continue
+            key = b[GROUP].to_numpy(np.int64)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(b)]
+            body, label, side = b["body"].tolist(), b["label"].to_numpy(np.int64), b["side"].to_numpy()
+            found = []
+            for x, y in pairwise(cuts):
+                if held and not np.array_equal(of, key[x]):
+                    found.append(links(held))
+                    held = []
+                held.append((body[x:y], label[x:y], side[x:y]))
+                of = key[x]
+            if found:
+                u, v = (np.concatenate(z) for z in zip(*found, strict=True))
+                yield pd.DataFrame({"u": u, "v": v})
+        if held:
+            u, v = links(held)
+            yield pd.DataFrame({"u": u, "v": v})
+    return run
+
+
+def _dealt(bodies: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """For the lines of large leaves: links (u, v) with the first line that has the same block, and the groups of lines that
+    share a block and that these links leave in several components, as rows for ``_compare`` labelled with the component."""
+    ordered = bodies.join(_orders(bodies, similarity), "leaf")
+    blocks = materialise(ordered.mapInArrow(_blocks(similarity), "leaf long, line long, block int, key long"), "line-blocks")
+    shared = ["leaf", "block", "key"]
+    leaders = blocks.groupBy(*shared).agg(F.min("line").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    pairs = blocks.join(leaders.drop("n"), shared).where("leader < line").select("leaf", "line", "leader").distinct()
+    named = bodies.select("leaf", F.col("line").alias("leader"), F.col("body").alias("leader_body"))
+    pairs = pairs.join(bodies, ["leaf", "line"]).join(named, ["leaf", "leader"])
+    stars = materialise(pairs.select("line", "leader", "body", "leader_body").mapInArrow(_agreeing(similarity), "u long, v long"), "leaders")
+    joined = connected_components(stars).select(F.col("node").alias("line"), F.col("component").alias("label"))
+    labelled = blocks.join(joined, "line", "left").withColumn("label", F.coalesce("label", "line"))
+    apart = labelled.groupBy(*shared).agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    apart = apart.where("low < high").drop("low", "high")
+    size = F.greatest(F.lit(FEW_LINES), F.least(F.lit(TILE_LINES), F.floor(F.lit(TILE_TOKENS) / F.col("n_tokens"))))
+    tiles = F.ceil(F.col("n") / size)
+    rows = labelled.join(apart, shared).join(bodies, ["leaf", "line"]).withColumn("tiles", tiles)
+    rows = rows.withColumn("mine", F.expr("pmod(line, tiles)")).withColumn("tile", F.explode(F.expr("sequence(0L, tiles - 1)")))
+    return stars, rows.select(
+        "leaf", F.col("block").cast("long").alias("block"), "key", F.least("mine", "tile").alias("tile_a"),
+        F.greatest("mine", "tile").alias("tile_b"), (F.col("tile") < F.col("mine")).cast("int").alias("side"), "label", "body")
+
+
 def _templates(rows: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """(line, template) for the lines that are joined with others: a template goes by the hash of its first line.
+    """(line, template) for the lines that are linked with others: a template goes by the hash of its first line.
 
     Only leaves with several different lines are looked at. They are a table; a bitmap of bounded size of their hashes keeps
     most other lines from being shuffled to it.
     """
-    leaves = lines.where(F.col("n_tokens") > DEPTH).groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
-    leaves = materialise(leaves, "leaves")
+    total = F.col("leaf_lines") * F.col("n_tokens")
+    large = (F.col("leaf_lines") > FEW_LINES) & ((F.col("leaf_lines") > SMALL_LINES) | (total > SMALL_TOKENS))
+    leaves = lines.where(F.col("n_tokens") > DEPTH).groupBy("leaf").agg(F.count("*").alias("leaf_lines"), F.max("n_tokens").alias("n_tokens"))
+    leaves = materialise(leaves.where("leaf_lines > 1").select("leaf", "n_tokens", large.alias("large")), "leaves")
     bitmap = rows.sparkSession.sparkContext.broadcast(_bitmap(leaves))
     bodies = materialise(rows.select("text").mapInPandas(_texts(bitmap), "leaf long, line long, body string").join(leaves, "leaf")
                          .dropDuplicates(["leaf", "line"]), "line-bodies")
-    blocks = materialise(bodies.mapInArrow(_blocks(similarity), "leaf long, line long, block int, key long"), "line-blocks")
-    leaders = blocks.groupBy("leaf", "block", "key").agg(F.min("line").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    pairs = blocks.join(leaders.drop("n"), ["leaf", "block", "key"]).where("leader < line").select("leaf", "line", "leader").distinct()
-    named = bodies.select("leaf", F.col("line").alias("leader"), F.col("body").alias("leader_body"))
-    pairs = pairs.join(bodies, ["leaf", "line"]).join(named, ["leaf", "leader"])
-    agree = pairs.select("line", "leader", "body", "leader_body").mapInArrow(_agreeing(similarity), "line long, leader long")
-    joined = agree.groupBy("line").agg(F.min("leader").alias("leader"))
-    return connected_components(joined.select(F.col("line").alias("u"), F.col("leader").alias("v"))).select(
-        F.col("node").alias("line"), F.col("component").alias("template"))
+    whole = [F.lit(0).cast("long").alias(c) for c in GROUP[1:]]
+    groups = bodies.where(~F.col("large")).select("leaf", *whole, F.lit(0).alias("side"), F.col("line").alias("label"), "body")
+    stars = None
+    if not leaves.where("large").isEmpty():
+        stars, dealt = _dealt(bodies.where("large").drop("large"), similarity)
+        groups = groups.unionByName(dealt)
+    links = groups.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(_compare(similarity), "u long, v long")
+    links = links.unionByName(stars) if stars else links
+    return connected_components(links).select(F.col("node").alias("line"), F.col("component").alias("template"))
 
 
 def dropped_lines(docs: DataFrame, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -17,25 +18,25 @@ def hashed(line):
 
 
 def templates(found):
-    """Line -> the first line of its template, for the lines of one leaf, by the definition."""
-    up = {}
-    for line in found:
-        t = line.split(" ")
-        bounds = D.block_bounds(len(t), D.SIMILARITY) if len(t) > D.DEPTH else []
-        up[line] = {(x, y, tuple(t[x:y])) for x, y in bounds}
-    leader = {}
-    for line, keys in up.items():
-        for k in keys:
-            leader[k] = min(leader.get(k, line), line, key=hashed)
-    for line, keys in up.items():
-        t = line.split(" ")
-        near = [m for m in {leader[k] for k in keys}
-                if sum(a == b for a, b in zip(t, m.split(" "))) >= D.SIMILARITY * len(t) - 1e-9]
-        up[line] = min([*near, line], key=hashed)
-    for line in up:
-        while up[up[line]] != up[line]:
-            up[line] = up[up[line]]
-    return up
+    """Line -> the first line of its template, for the lines of one leaf, by the definition: every pair is compared."""
+    found = sorted(found, key=hashed)
+    ids, by_length, up = {}, defaultdict(list), list(range(len(found)))
+    for i, line in enumerate(found):
+        by_length[line.count(" ") + 1].append(i)
+
+    def root(i):
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    for n, at in by_length.items():
+        columns = np.array([[ids.setdefault(t, len(ids)) for t in found[i].split(" ")] for i in at], np.int32).T.copy()
+        for i in range(len(at) if n > D.DEPTH else 0):
+            agree = sum((c[i + 1:] == c[i]).astype(np.int32) for c in columns)
+            for j in np.flatnonzero(agree >= D.SIMILARITY * n - 1e-9).tolist():
+                a, b = sorted((root(at[i]), root(at[i + 1 + j])))
+                up[b] = a
+    return {line: found[root(i)] for i, line in enumerate(found)}
 
 
 def brute(rows):
@@ -57,13 +58,13 @@ def brute(rows):
             if (t := of(line)) is not None:
                 key = (doc_id is None, doc_id or 0)
                 texts[t][text] = min(texts[t].get(text, key), key)
+    keepers = {t: min(found.items(), key=lambda kv: kv[1])[0] for t, found in texts.items()}
     out = []
     for doc_id, text in rows:
         kept, cut = [], 0
         for line in (text or "").split("\n"):
             t = of(line)
-            keeper = t and min(texts[t].items(), key=lambda kv: kv[1])[0]
-            if t and len(texts[t]) >= D.MIN_DOCS and keeper != text:
+            if t and len(texts[t]) >= D.MIN_DOCS and keepers[t] != text:
                 cut += 1
             else:
                 kept.append(line)
@@ -130,6 +131,46 @@ def test_a_leaf_of_many_lines_that_do_not_merge(spark):
     assert 0 < sum(r[2] > 0 for r in got)
 
 
+def test_lines_that_agree_but_not_with_the_first_of_their_block(spark):
+    pair = [f"sold in the town {who} green and blue here" for who in ("ann", "bob")]
+    first = next(x for x in (f"sold in the town w{chr(97 + i % 26)} x{chr(97 + i // 26)} and blue here" for i in range(676))
+                 if hashed(x) < min(map(hashed, pair)))
+    chain = sorted((f"kept by the sea {a} {b} and {c} here" for a, b, c in ["one two red".split(), "one two tan".split(), "six two tan".split()]),
+                   key=hashed)
+    rows = [(1, first), (2, pair[0]), (3, pair[1] + "\nown"), (4, chain[0]), (5, chain[1]), (6, chain[2])]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert {r[0]: r[2] for r in got} == {1: 0, 2: 0, 3: 1, 4: 0, 5: 1, 6: 1}
+
+
+def test_large_leaves_in_blocks_and_tiles(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "bdfgklmn" for b in "aeiou"]
+
+    def line(n, vary):
+        return " ".join(["in", "all", "of", "it", *(rng.choice(words) if i in vary else f"c{'xyz'[i % 3]}" for i in range(4, n))])
+
+    lines = {line(n, set(vary)) for n, vary in [(6, [4, 5]), (9, [4, 5]), (9, [4, 6, 8]), (12, range(5, 11)), (26, range(4, 13))] for _ in range(150)}
+    lines = sorted(lines | {line(5, {4}) for _ in range(30)})
+    rows = list(enumerate(lines))
+    want = brute(rows)
+    assert 100 < sum(r[2] for r in want) < len(rows)
+    for few, small, tile in [(16, 2048, 1 << 14), (2, 20, 1 << 14), (2, 20, 7)]:
+        monkeypatch.setattr(D, "FEW_LINES", few)
+        monkeypatch.setattr(D, "SMALL_LINES", small)
+        monkeypatch.setattr(D, "TILE_LINES", tile)
+        assert run(spark, rows) == want
+
+
+def test_blocks_of_about_equal_weight():
+    bounds = D.block_bounds(100, 0.8)
+    for heavy in ({*range(4, 34)}, {*range(10, 100, 4)}, set()):
+        order = D._order([float(p in heavy) for p in range(100)], bounds)
+        assert sorted(order) == list(range(100)) and order[: D.DEPTH] == list(range(D.DEPTH))
+        assert not heavy or min(len(heavy & set(order[a:b])) for a, b in bounds) >= 1
+    assert D._order([0.0] * 5, D.block_bounds(5, 0.8)) == list(range(5))
+
+
 def test_empty_table(spark):
     assert D.drop_lines(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
